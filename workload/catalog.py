@@ -103,14 +103,13 @@ def cardinality_results(spark, sf_dir) -> DataFrame:
         F.lit("ID").alias("FROM_COLUMN"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("TO_TABLE"),
         F.lit("ID").alias("TO_COLUMN"),
-        F.when(F.col("l_returnflag") == "A", "1:N").otherwise("N:M").alias("CARDINALITY_TYPE"),
+        F.when(F.col("l_orderkey") > F.col("l_partkey"), "1:N").otherwise("N:M").alias("CARDINALITY_TYPE"),
         F.col("l_shipdate").alias("CREATED_AT"),
     )
 
 
 def latest_cardinalities(spark, sf_dir) -> DataFrame:
-    # Run id and time can tie only on rows of one order, part, supplier and day.
-    return latest_cardinality(cardinality_results(spark, sf_dir)).drop("CARDINALITY_TYPE")
+    return latest_cardinality(cardinality_results(spark, sf_dir))
 
 
 QUERIES = {
@@ -140,11 +139,10 @@ GROUP BY "TARGET_COLUMN" HAVING count(DISTINCT "TARGET_TABLE") > 1""",
     "\"TARGET_TABLE\", \"TARGET_COLUMN\", \"TARGET_DATA_TYPE\" FROM latest_columns "
     "WHERE \"SOURCE_SYSTEM\" = 'SYS_A' AND \"TARGET_TABLE\" = 'T_A_F_3' ORDER BY \"SOURCE_ORDINAL_POSITION\"",
     "latest_cardinality": """
-SELECT "CARDINALITY_RUN_ID", "SOURCE_SYSTEM", "FROM_TABLE", "FROM_COLUMN", "TO_TABLE", "TO_COLUMN", "CREATED_AT"
-FROM (
+SELECT * FROM (
   SELECT cast(l_orderkey AS VARCHAR) AS "CARDINALITY_RUN_ID", 'SYS_' || l_linestatus AS "SOURCE_SYSTEM",
     'S' || l_suppkey AS "FROM_TABLE", 'ID' AS "FROM_COLUMN", 'P' || l_partkey AS "TO_TABLE", 'ID' AS "TO_COLUMN",
-    l_shipdate AS "CREATED_AT"
+    CASE WHEN l_orderkey > l_partkey THEN '1:N' ELSE 'N:M' END AS "CARDINALITY_TYPE", l_shipdate AS "CREATED_AT"
   FROM lineitem
 ) QUALIFY row_number() OVER (
   PARTITION BY "SOURCE_SYSTEM", "FROM_TABLE", "FROM_COLUMN", "TO_TABLE", "TO_COLUMN"
