@@ -19,19 +19,22 @@ def has_text_order(dtype: str) -> bool:
     return not is_nested(dtype) and dtype != "binary"
 
 
-def text_form(column: Column, dtype: str) -> Column:
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+# The expressions below are SQL text over a column name: a job over many tables applies them to
+# hundreds of columns, and ``selectExpr`` takes each as one string.
+
+
+def text_form(name: str, dtype: str) -> str:
     """The text of a value.  ``-0.0`` reads as ``0.0``: both are one typed value."""
+    column = quoted(name)
     if is_nested(dtype):
-        return F.to_json(F.struct(column.alias("v")))
+        return f"to_json(struct({column} AS v))"
     if dtype in FRACTIONAL:
-        return (column + F.lit(0.0)).cast("string")
-    return column.cast("string")
-
-
-def normalized_key(column: Column) -> Column:
-    """Text of a join key, trimmed, with blank as NULL."""
-    text = F.trim(column.cast("string"))
-    return F.when(text != "", text)
+        return f"cast({column} + cast(0 AS {dtype}) AS string)"
+    return column if dtype == "string" else f"cast({column} AS string)"
 
 
 def common_domain(left: str, right: str) -> str:
@@ -45,15 +48,17 @@ def common_domain(left: str, right: str) -> str:
     return left if left == right and not is_nested(left) else "string"
 
 
-def in_domain(column: Column, dtype: str, domain: str) -> Column:
-    return text_form(column, dtype) if domain == "string" else column.cast(domain)
+def in_domain(name: str, dtype: str, domain: str) -> str:
+    if domain == "string":
+        return text_form(name, dtype)
+    return quoted(name) if domain == dtype else f"cast({quoted(name)} AS {domain})"
 
 
-def join_key(column: Column, dtype: str, domain: str) -> Column:
-    """Normalised join key.  Trimming only matters for text."""
+def join_key(name: str, dtype: str, domain: str) -> str:
+    """Normalised join key: text is trimmed, with blank as NULL; other types need neither."""
     if domain == "string":
-        return normalized_key(text_form(column, dtype))
-    return column.cast(domain)
+        return f"nullif(trim({text_form(name, dtype)}), '')"
+    return in_domain(name, dtype, domain)
 
 
 def ratio(part: Column, whole: Column) -> Column:

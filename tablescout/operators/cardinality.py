@@ -25,12 +25,12 @@ def key_counts(frames: Mapping[str, DataFrame], columns: Mapping[tuple[str, str]
     Rows are counted per (column, key) with map-side combining, so a key with a large share of
     the rows costs one row per map task.
     """
+    dtypes = {table: dict(frames[table].dtypes) for table, _ in columns}
     kinds: dict[str, list[Cell]] = {}
     for (table, column), cell_id in columns.items():
-        dtype = frames[table].schema[column].dataType.simpleString()
+        dtype = dtypes[table][column]
         kind = "bigint" if dtype in INTEGRAL else "string" if is_nested(dtype) else dtype
-        value = join_key(frames[table][f"`{column}`"], dtype, kind)
-        kinds.setdefault(kind, []).append(Cell(cell_id, table, value))
+        kinds.setdefault(kind, []).append(Cell(cell_id, table, join_key(column, dtype, kind)))
     parts = []
     for kind, cells in kinds.items():
         rows = unpivoted(frames, cells).where(F.col("V").isNotNull())

@@ -10,8 +10,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Longer texts are grouped by their SHA-256, so whole documents are not shuffled.
 LONG_TEXT_BYTES = 64
@@ -19,11 +18,11 @@ LONG_TEXT_BYTES = 64
 
 @dataclass(frozen=True)
 class Cell:
-    """A column to unpivot: its id, table, and the expression of its value."""
+    """A column to unpivot: its id, table, and the SQL expression of its value."""
 
     id: str
     table: str
-    value: Column
+    value: str
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -32,22 +31,17 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 def unpivoted(frames: Mapping[str, DataFrame], cells: Iterable[Cell]) -> DataFrame:
     """(C, V) rows of all given cells, which must have one type; one scan per table."""
-    by_table: dict[str, list[Cell]] = {}
+    by_table: dict[str, list[str]] = {}
     for cell in cells:
-        by_table.setdefault(cell.table, []).append(cell)
+        by_table.setdefault(cell.table, []).append(f"{cell.value} AS `{cell.id}`")
     return union_all(
-        frames[table]
-        .select([cell.value.alias(cell.id) for cell in group])
-        .unpivot([], [F.col(f"`{cell.id}`") for cell in group], "C", "V")
-        for table, group in by_table.items()
+        frames[table].selectExpr(*values).unpivot([], None, "C", "V") for table, values in by_table.items()
     )
 
 
 def digested(rows: DataFrame) -> DataFrame:
     """(C, HASHED, K): long texts replaced by their digest, kept apart from equal-looking short ones."""
-    hashed = F.octet_length("V") > LONG_TEXT_BYTES
-    return rows.select(
-        "C",
-        F.coalesce(hashed, F.lit(False)).alias("HASHED"),
-        F.when(hashed, F.sha2("V", 256)).otherwise(F.col("V")).alias("K"),
+    hashed = f"octet_length(V) > {LONG_TEXT_BYTES}"
+    return rows.selectExpr(
+        "C", f"coalesce({hashed}, false) AS HASHED", f"CASE WHEN {hashed} THEN sha2(V, 256) ELSE V END AS K"
     )

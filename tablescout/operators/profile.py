@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablescout.functions.values import INTEGRAL, has_text_order, is_nested, ratio, text_form
+from tablescout.functions.values import INTEGRAL, has_text_order, in_domain, is_nested, quoted, ratio, text_form
 from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.cells import Cell, digested, union_all, unpivoted
 from tablescout.operators.conform import LINEAGE_COLUMNS
 
+_NOTHING = "cast(NULL AS string)"
 _IDS = T.StructType([T.StructField(n, T.StringType()) for n in ("C", "TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE")])
 
 
@@ -40,14 +41,28 @@ def profile_cataloged(spark: SparkSession, frames: Mapping[str, DataFrame], colu
 
 
 def _distinct_cells(frames: Mapping[str, DataFrame], kind: str, cells: list[Cell]) -> DataFrame:
-    """Per distinct value: C, N rows, FILLED, and its text where that is cheap to carry."""
+    """Per distinct value: its rows, filled rows, values, and its text where that is cheap to carry."""
     rows = unpivoted(frames, cells)
     if kind in ("string", "nested"):
-        grouped = digested(rows).groupBy("C", "HASHED", "K").agg(F.count(F.lit(1)).alias("N"))
-        return grouped.select("C", "N", F.col("K").isNotNull().alias("FILLED"), F.lit(None).cast("string").alias("TEXT"))
-    grouped = rows.groupBy("C", "V").agg(F.count(F.lit(1)).alias("N"))
-    text = text_form(F.col("V"), kind) if has_text_order(kind) else F.lit(None).cast("string")
-    return grouped.select("C", "N", F.col("V").isNotNull().alias("FILLED"), text.alias("TEXT"))
+        rows, keys, value, text = digested(rows), ["C", "HASHED", "K"], "K", _NOTHING
+    else:
+        keys, value, text = ["C", "V"], "V", text_form("V", kind) if has_text_order(kind) else _NOTHING
+    filled = f"{value} IS NOT NULL"
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("N")).selectExpr(
+        "C",
+        "N AS ROWS",
+        f"CASE WHEN {filled} THEN N ELSE 0L END AS FILLED",
+        f"cast({filled} AS bigint) AS VALUES",
+        f"{text} AS LO",
+        f"{text} AS HI",
+    )
+
+
+def _extremes(frame: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """MIN and MAX of text columns: a partial aggregate per task, no shuffle of the texts."""
+    pairs = [f"struct('{i}' AS C, min({quoted(c)}) AS LO, max({quoted(c)}) AS HI)" for i, c in columns]
+    found = frame.agg(F.expr(f"array({', '.join(pairs)})").alias("E")).selectExpr("inline(E)")
+    return found.selectExpr("C", "0L AS ROWS", "0L AS FILLED", "0L AS VALUES", "LO", "HI")
 
 
 def profile_tables(
@@ -68,56 +83,32 @@ def profile_tables(
         columns = [(t, c) for t, frame in frames.items() for c in frame.columns if c not in LINEAGE_COLUMNS]
     kinds: dict[str, list[Cell]] = {}
     texts: dict[str, list[tuple[str, str]]] = {}
+    dtypes = {table: dict(frame.dtypes) for table, frame in frames.items()}
     ids = []
     for position, (table, column) in enumerate(columns):
-        cell_id = str(position)
-        source = frames[table][f"`{column}`"]
-        dtype = frames[table].schema[column].dataType.simpleString()
+        cell_id, dtype = str(position), dtypes[table][column]
         declared = (data_types or {}).get((table, column), dtype)
         ids.append({"C": cell_id, "TARGET_TABLE": table, "TARGET_COLUMN": column, "DATA_TYPE": declared})
         if dtype == "string":
             texts.setdefault(table, []).append((cell_id, column))
         kind = "bigint" if dtype in INTEGRAL else "nested" if is_nested(dtype) else dtype
-        value = text_form(source, dtype) if kind == "nested" else source.cast(kind)
+        value = in_domain(column, dtype, "string" if kind == "nested" else kind)
         kinds.setdefault(kind, []).append(Cell(cell_id, table, value))
 
-    nothing = F.lit(None).cast("string")
-    parts = [
-        _distinct_cells(frames, kind, cells).select(
-            "C",
-            F.col("N").alias("ROWS"),
-            F.when(F.col("FILLED"), F.col("N")).otherwise(F.lit(0)).cast("long").alias("FILLED"),
-            F.col("FILLED").cast("long").alias("VALUES"),
-            F.col("TEXT").alias("LO"),
-            F.col("TEXT").alias("HI"),
-        )
-        for kind, cells in kinds.items()
-    ]
-    zero = F.lit(0).cast("long")
-    for table, group in texts.items():
-        extremes = frames[table].agg(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("C"), F.min(f"`{c}`").alias("LO"), F.max(f"`{c}`").alias("HI"))
-                    for i, c in group
-                ]
-            ).alias("E")
-        )
-        parts.append(
-            extremes.select(F.inline("E")).select(
-                "C", zero.alias("ROWS"), zero.alias("FILLED"), zero.alias("VALUES"), "LO", "HI"
-            )
-        )
-    named = [part.withColumns({n: nothing for n in ("TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE")}) for part in parts]
-    seeds = local_frame(spark, ids, _IDS).select(
-        "C", zero.alias("ROWS"), zero.alias("FILLED"), zero.alias("VALUES"), nothing.alias("LO"), nothing.alias("HI"),
-        "TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE",
+    measured = union_all(
+        [_distinct_cells(frames, kind, cells) for kind, cells in kinds.items()]
+        + [_extremes(frames[table], group) for table, group in texts.items()]
+    )
+    names = ["TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE"]
+    # The column names join the same final aggregate as rows of their own.
+    seeds = local_frame(spark, ids, _IDS).selectExpr(
+        "C", "0L AS ROWS", "0L AS FILLED", "0L AS VALUES", f"{_NOTHING} AS LO", f"{_NOTHING} AS HI", *names
     )
     counted = (
-        union_all([*named, seeds])
+        measured.unionByName(seeds, allowMissingColumns=True)
         .groupBy("C")
         .agg(
-            *[F.max(n).alias(n) for n in ("TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE")],
+            *[F.max(n).alias(n) for n in names],
             F.sum("ROWS").alias("ROW_COUNT"),
             F.sum("FILLED").alias("NON_NULL_COUNT"),
             F.sum("VALUES").alias("DISTINCT_COUNT"),

@@ -92,12 +92,11 @@ def _has(column_id: Column) -> Column:
     return F.getbit(word, F.pmod(column_id, F.lit(WORD_BITS)).cast("int")) == 1
 
 
-def _mask(words: int) -> list[Column]:
+def _mask(words: int) -> list[str]:
     """Mask words of a cell: the bit of its column id, in its word."""
-    column_id = F.col("C").cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(column_id, F.lit(WORD_BITS)))
+    bit = f"shiftleft(1L, cast(C AS int) % {WORD_BITS})"
     return [
-        F.when(_word(column_id) == word, bit).otherwise(F.lit(0).cast("long")).alias(f"W{word}")
+        f"CASE WHEN cast(C AS int) div {WORD_BITS} = {word} THEN {bit} ELSE 0L END AS W{word}"
         for word in range(words)
     ]
 
@@ -115,7 +114,7 @@ def _signatures(frames: Mapping[str, DataFrame], domain: str, cells: list[Cell])
     else:
         key = ["V"]
     names = [f"W{word}" for word in range(words)]
-    per_value = rows.select(*key, *_mask(words)).groupBy(*key).agg(*[F.bit_or(n).alias(n) for n in names])
+    per_value = rows.selectExpr(*key, *_mask(words)).groupBy(*key).agg(*[F.bit_or(n).alias(n) for n in names])
     return per_value.groupBy(*names).agg(F.count(F.lit(1)).alias("N")).select(F.array(*names).alias("WORDS"), "N")
 
 
@@ -141,7 +140,7 @@ def value_overlap(
     counted = []
     for domain, known in ids.items():
         cells = [
-            Cell(str(i), t, in_domain(frames[t][f"`{c}`"], dtypes[t][c], domain)) for (t, c), i in known.items()
+            Cell(str(i), t, in_domain(c, dtypes[t][c], domain)) for (t, c), i in known.items()
         ]
         members = [row for row in pair_rows if row["DOMAIN"] == domain]
         children = sorted({row["CHILD_ID"] for row in members})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.functions.names import Naming
-from tablescout.functions.values import common_domain, join_key
+from tablescout.functions.values import common_domain, join_key, quoted
 from tablescout.operators.cells import union_all
 from tablescout.operators.conform import LINEAGE_COLUMNS
 
@@ -46,18 +46,13 @@ def _constants(edge: Edge, with_class: bool = False) -> list[Column]:
     return constants
 
 
-def _column(rows: DataFrame, name: str) -> Column:
-    return rows[f"`{name}`"]
-
-
-def _keys(parent: DataFrame, child: DataFrame, edge: Edge) -> tuple[Column, Column, str]:
+def _keys(parent: DataFrame, child: DataFrame, edge: Edge) -> tuple[Column, Column]:
     """Normalised keys of both sides, in a type where typed and text equality agree."""
-    kinds = [dict(parent.dtypes)[edge.from_column], dict(child.dtypes)[edge.to_column]]
-    domain = "bigint" if common_domain(*kinds) == "bigint" else "string"
+    left, right = dict(parent.dtypes)[edge.from_column], dict(child.dtypes)[edge.to_column]
+    domain = "bigint" if common_domain(left, right) == "bigint" else "string"
     return (
-        join_key(_column(parent, edge.from_column), kinds[0], domain),
-        join_key(_column(child, edge.to_column), kinds[1], domain),
-        domain,
+        F.expr(join_key(edge.from_column, left, domain)),
+        F.expr(join_key(edge.to_column, right, domain)),
     )
 
 
@@ -70,7 +65,7 @@ def _check_names(names: Sequence[str]) -> None:
 
 def _side(rows: DataFrame, prefix: str, key: Column) -> DataFrame:
     """Columns renamed by position (still prunable), with the join key added."""
-    return rows.select(*[_column(rows, c).alias(f"{prefix}{i}") for i, c in enumerate(rows.columns)], key.alias(prefix))
+    return rows.select(*[F.col(quoted(c)).alias(f"{prefix}{i}") for i, c in enumerate(rows.columns)], key.alias(prefix))
 
 
 def _joined(parent: DataFrame, child: DataFrame, edge: Edge) -> DataFrame:
@@ -81,7 +76,7 @@ def _joined(parent: DataFrame, child: DataFrame, edge: Edge) -> DataFrame:
     broadcast a small parent and lets AQE split a hot key on either side, plus the parents that
     match nothing (a left join can do neither for its right side).
     """
-    parent_key, child_key, _ = _keys(parent, child, edge)
+    parent_key, child_key = _keys(parent, child, edge)
     left = _side(parent, "P", parent_key)
     right = _side(child, "C", child_key).where("C is not null")
     keyed = left.where("P is not null")
@@ -123,7 +118,7 @@ def object_view(parent: DataFrame, child: DataFrame, edge: Edge) -> DataFrame:
 
 
 def _key_rows(parent: DataFrame, child: DataFrame, edge: Edge) -> tuple[DataFrame, DataFrame]:
-    parent_key, child_key, _ = _keys(parent, child, edge)
+    parent_key, child_key = _keys(parent, child, edge)
     return (
         parent.select(parent_key.alias("K")).where("K is not null"),
         child.select(child_key.alias("K")).where("K is not null"),

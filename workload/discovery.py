@@ -96,24 +96,24 @@ def td_overlap_high(spark, sf_dir) -> DataFrame:
 # Edges of every label and class
 
 
+def _source(name: str, change=None):
+    return lambda spark, sf_dir: change(table(spark, sf_dir, name)) if change else table(spark, sf_dir, name)
+
+
+INJECTED_FRAMES = {
+    **{n: _source(n) for n in ("documents", "lineitem", "orders", "events", "conversations", "pages")},
+    "doc_review": doc_reviews,
+    "line_r": _source("lineitem", lambda rows: rows.where("l_returnflag = 'R'")),
+    "orders_late": _source("orders", lambda rows: rows.where("o_orderdate >= timestamp_ntz '1995-05-06'")),
+    "orders_calm": _source("orders", lambda rows: rows.where("o_orderpriority <> '1-URGENT'")),
+    "orders_done": _source("orders", lambda rows: rows.where("o_orderstatus = 'F'")),
+    "customer_code": _source("customer", lambda rows: rows.selectExpr("cast(c_custkey AS string) AS code")),
+    "page_links": _source("pages", lambda rows: rows.selectExpr("concat(' ', url, ' ') AS link")),
+}
+
+
 def injected_frames(spark, sf_dir) -> dict[str, DataFrame]:
-    orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
-    return {
-        "documents": table(spark, sf_dir, "documents"),
-        "doc_review": doc_reviews(spark, sf_dir),
-        "lineitem": lines,
-        "orders": orders,
-        "events": table(spark, sf_dir, "events"),
-        "conversations": table(spark, sf_dir, "conversations"),
-        "line_r": lines.where("l_returnflag = 'R'"),
-        "orders_late": orders.where(F.col("o_orderdate") >= F.lit("1995-05-06").cast("timestamp_ntz")),
-        "orders_calm": orders.where("o_orderpriority <> '1-URGENT'"),
-        "orders_done": orders.where("o_orderstatus = 'F'"),
-        "customer_code": table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code")),
-        "pages": table(spark, sf_dir, "pages"),
-        "page_links": table(spark, sf_dir, "pages").select(F.concat(F.lit(" "), "url", F.lit(" ")).alias("link")),
-    }
+    return {name: build(spark, sf_dir) for name, build in INJECTED_FRAMES.items()}
 
 
 INJECTED_RELATIONS = {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablescout.functions.names import Naming
 from tablescout.operators.graph import entity_map, relationship_graph, usable_relationships
+from tablescout.operators.relate import candidate_pairs, value_overlap
 from tablescout.operators.views import Edge, bridge_view, entity_view, flat_view, object_view, summary_view
 from tablescout.plans.discover import held
 from tablescout.plans.semantic import (
@@ -27,29 +28,30 @@ from tablescout.plans.semantic import (
 from workload import sql
 from workload.discovery import (
     INJECTED_CARDINALITY,
+    INJECTED_FRAMES,
     INJECTED_OVERLAP,
     NAMING,
     injected_cardinality,
-    injected_frames,
     injected_overlap,
     td_candidates,
-    td_overlap,
 )
 from workload.ingest import DOC_REVIEW
-from workload.tables import SYSTEM, renamed_views, table
+from workload.tables import SYSTEM, TABLES, renamed_view, renamed_views, table
 
 # Views
 
 
 def entity_rows(spark, sf_dir) -> DataFrame:
-    return entity_view(renamed_views(spark, sf_dir)["ORDERS_TD"], "ORDER", "ORDERS_TD")
+    return entity_view(renamed_view(spark, sf_dir, "ORDERS_TD"), "ORDER", "ORDERS_TD")
 
 
 def _view(build, parent: str, parent_column: str, child: str, child_column: str, kind: str | None, *args):
     def query(spark, sf_dir) -> DataFrame:
-        frames = injected_frames(spark, sf_dir) | renamed_views(spark, sf_dir)
-        edge = Edge(parent, parent_column, child, child_column, kind)
-        return build(frames[parent], frames[child], edge, *args)
+        sides = [
+            INJECTED_FRAMES[name](spark, sf_dir) if name in INJECTED_FRAMES else renamed_view(spark, sf_dir, name)
+            for name in (parent, child)
+        ]
+        return build(*sides, Edge(parent, parent_column, child, child_column, kind), *args)
 
     return query
 
@@ -119,7 +121,7 @@ def _labels(parent, parent_column, child, child_column) -> str:
 
 
 def _join_oracle(name: str, select: str) -> str:
-    """The row-level join the reference's templates describe."""
+    """The row-level join the view stands for."""
     parent, parent_column, child, child_column, kind = VIEW_EDGES[name]
     left, right = sql.key(f'p."{parent_column}"'), sql.key(f'c."{child_column}"')
     outer = "LEFT JOIN" if kind != "N:M" else "JOIN"
@@ -145,8 +147,6 @@ def _object_columns(parent: str, child: str) -> str:
     def names(table_name: str) -> list[str]:
         if table_name.endswith("_TD"):
             return [new for v, new, _, _, _ in sql.renamed_columns() if v == table_name]
-        from workload.tables import TABLES
-
         return TABLES[table_name]
 
     return ", ".join(
@@ -172,7 +172,17 @@ def _view_oracles() -> dict:
             selects[name] = _BRIDGE
         elif name.startswith("summary"):
             selects[name] = _SUMMARY
-    return {name: _join_oracle(name, select) for name, select in selects.items()}
+    made = {name: _join_oracle(name, select) for name, select in selects.items()}
+    # The same row-level join, on the integers themselves: text keys take DuckDB far longer.
+    for column in ("p", "c"):
+        made["summary_view_hot_keys"] = made["summary_view_hot_keys"].replace(
+            sql.key(f'{column}."l_linenumber"'), f"{column}.l_linenumber"
+        )
+    made["summary_view_hot_keys"] = (
+        f"SELECT * REPLACE (cast(\"PARENT_KEY_VALUE\" AS VARCHAR) AS \"PARENT_KEY_VALUE\") "
+        f"FROM ({made['summary_view_hot_keys']})"
+    )
+    return made
 
 
 # Model and catalog
@@ -185,7 +195,8 @@ def _joined_lists(frame: DataFrame) -> DataFrame:
 def td_graph(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Key candidates and graph of the renamed views, each found once."""
     candidates = held(td_candidates(spark, sf_dir))
-    stamped = held(td_overlap(spark, sf_dir)).withColumns(
+    overlap = value_overlap(spark, renamed_views(spark, sf_dir), candidate_pairs(candidates))
+    stamped = held(overlap).withColumns(
         {"RELATIONSHIP_RUN_ID": F.lit("run-1"), "CREATED_AT": F.lit("2024-01-01").cast("timestamp")}
     )
     return candidates, usable_relationships(stamped)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SYSTEM = "TD_SQLSERVER"
 
@@ -44,18 +44,27 @@ RENAMED = {
 RENAMED = {view: (table, names.split()) for view, (table, names) in RENAMED.items()}
 
 
+# Schemas of files read before; the given tables do not change, so they are inferred once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf_dir, name) for name in TABLES}
 
 
+def renamed_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    source, names = RENAMED[view]
+    return table(spark, sf_dir, source).selectExpr(
+        *[f"{old} AS {new}" for old, new in zip(TABLES[source], names, strict=True)]
+    )
+
+
 def renamed_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        view: table(spark, sf_dir, source).select(
-            [F.col(old).alias(new) for old, new in zip(TABLES[source], names, strict=True)]
-        )
-        for view, (source, names) in RENAMED.items()
-    }
+    return {view: renamed_view(spark, sf_dir, view) for view in RENAMED}
