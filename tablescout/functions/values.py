@@ -31,7 +31,8 @@ def text_form(name: str, dtype: str) -> str:
     """The text of a value.  ``-0.0`` reads as ``0.0``: both are one typed value."""
     column = quoted(name)
     if is_nested(dtype):
-        return f"to_json(struct({column} AS v))"
+        json = f"to_json(struct({column} AS v), map('ignoreNullFields', 'false'))"
+        return f"CASE WHEN {column} IS NOT NULL THEN {json} END"
     if dtype in FRACTIONAL:
         return f"cast({column} + cast(0 AS {dtype}) AS string)"
     return column if dtype == "string" else f"cast({column} AS string)"
