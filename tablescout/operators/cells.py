@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame
 # Longer texts are grouped by their SHA-256, so whole documents are not shuffled.
 LONG_TEXT_BYTES = 64
 
+# Columns unpivoted at once.  Wide tables are read in groups of columns: no column is read twice,
+# and the generated code of one unpivot stays small.
+COLUMNS_PER_UNPIVOT = 64
+
 
 @dataclass(frozen=True)
 class Cell:
@@ -30,12 +34,14 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def unpivoted(frames: Mapping[str, DataFrame], cells: Iterable[Cell]) -> DataFrame:
-    """(C, V) rows of all given cells, which must have one type; one scan per table."""
+    """(C, V) rows of all given cells, which must have one type; each column is scanned once."""
     by_table: dict[str, list[str]] = {}
     for cell in cells:
         by_table.setdefault(cell.table, []).append(f"{cell.value} AS `{cell.id}`")
     return union_all(
-        frames[table].selectExpr(*values).unpivot([], None, "C", "V") for table, values in by_table.items()
+        frames[table].selectExpr(*values[start : start + COLUMNS_PER_UNPIVOT]).unpivot([], None, "C", "V")
+        for table, values in by_table.items()
+        for start in range(0, len(values), COLUMNS_PER_UNPIVOT)
     )
 
 

@@ -96,6 +96,12 @@ def observed_write(rows: DataFrame, watermark: str | None, write) -> tuple[int,
     return result["n"], result["newest"]
 
 
+def gathered(rows: DataFrame) -> DataFrame:
+    """Rows shuffled by bucket for writing.  Rebalancing lets AQE split large and join small buckets,
+    so writers get even shares whatever the number of buckets or shuffle partitions."""
+    return rows.hint("rebalance", F.col(BUCKET))
+
+
 def plan_increment(source: Source, table: str, config: IncrementalTable, since: Watermark | None) -> int:
     """Rows the next incremental load would read."""
     return source.count_since(table, config.watermark_column, since)
@@ -302,12 +308,11 @@ class Ingestion:
         return [row.C for row in catalog_rows(frame.orderBy("I").select(clean_identifier(F.col("N")).alias("C")))]
 
     def _laid_out(self, rows: DataFrame, key: list[str]) -> DataFrame:
-        """Rows of a keyed table carry their bucket and are shuffled by it, one writer per bucket."""
+        """Rows of a keyed table carry their bucket and are gathered by it before the write."""
         if not key:
             return rows
         hashed = [c for c in rows.columns if c != "_INGESTED_AT"]
-        bucketed = rows.withColumn(BUCKET, key_bucket(hashed, key, self.options.merge_buckets))
-        return bucketed.repartition(BUCKET)
+        return gathered(rows.withColumn(BUCKET, key_bucket(hashed, key, self.options.merge_buckets)))
 
     def _writer(self, rows: DataFrame, key: list[str]):
         return rows.write.partitionBy(BUCKET) if key else rows.write
@@ -348,7 +353,7 @@ class Ingestion:
         target = self.store.read_raw(target_table).where(F.col(BUCKET).isin(touched))
         merged = merge_upsert(target, stage.select(target.columns), key)
         (
-            merged.repartition(BUCKET)
+            gathered(merged)
             .write.partitionBy(BUCKET)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

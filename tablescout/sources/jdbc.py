@@ -116,7 +116,7 @@ class JdbcSource(Source):
         bounds = split and self._bounds(table, split)
         if bounds:
             reader = reader.options(
-                partitionColumn=self.quoted(split.column) if self.dialect == "sqlserver" else split.column,
+                partitionColumn=split.column,
                 lowerBound=str(bounds[0]),
                 upperBound=str(bounds[1]),
                 numPartitions=str(split.partitions),

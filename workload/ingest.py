@@ -244,15 +244,15 @@ FROM events"""
 
 # Merge
 
-FIRST_OF_2000 = F.lit("2000-01-01").cast("timestamp_ntz")
+FIRST_OF_2000 = "timestamp_ntz '2000-01-01'"
 
 
 def base_and_stage(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Orders up to 2000 as target; later orders and re-sent urgent ones (status X) as stage."""
     orders = table(spark, sf_dir, "orders")
-    old = orders.where(F.col("o_orderdate") <= FIRST_OF_2000)
+    old = orders.where(f"o_orderdate <= {FIRST_OF_2000}")
     resent = old.where("o_orderpriority = '1-URGENT'").withColumn("o_orderstatus", F.lit("X"))
-    return old, resent.unionByName(orders.where(F.col("o_orderdate") > FIRST_OF_2000))
+    return old, resent.unionByName(orders.where(f"o_orderdate > {FIRST_OF_2000}"))
 
 
 STAGED = """
@@ -295,7 +295,7 @@ def merge_null_keys(spark, sf_dir) -> DataFrame:
 def merge_repeated_keys(spark, sf_dir) -> DataFrame:
     """A target key on several rows: each of them takes the stage's values."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
-    totals = table(spark, sf_dir, "orders").where(F.col("o_orderdate") > FIRST_OF_2000).select(
+    totals = table(spark, sf_dir, "orders").where(f"o_orderdate > {FIRST_OF_2000}").select(
         F.col("o_orderkey").alias("l_orderkey"), F.lit("T").alias("l_returnflag"),
         F.col("o_totalprice").alias("l_quantity"),
     )
