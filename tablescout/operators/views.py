@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.functions.names import Naming
-from tablescout.functions.values import common_domain, join_key, quoted
+from tablescout.functions.values import INTEGRAL, join_key, quoted
 from tablescout.operators.cells import union_all
 from tablescout.operators.conform import LINEAGE_COLUMNS
 
@@ -47,9 +47,14 @@ def _constants(edge: Edge, with_class: bool = False) -> list[Column]:
 
 
 def _keys(parent: DataFrame, child: DataFrame, edge: Edge) -> tuple[Column, Column]:
-    """Normalised keys of both sides, in a type where typed and text equality agree."""
+    """Normalised keys of both sides: whole numbers as they are, everything else as text.
+
+    Columns of one integer type stay uncast, so their NULL tests reach the scan.
+    """
     left, right = dict(parent.dtypes)[edge.from_column], dict(child.dtypes)[edge.to_column]
-    domain = "bigint" if common_domain(left, right) == "bigint" else "string"
+    domain = "string"
+    if left in INTEGRAL and right in INTEGRAL:
+        domain = left if left == right else "bigint"
     return (
         F.expr(join_key(edge.from_column, left, domain)),
         F.expr(join_key(edge.to_column, right, domain)),

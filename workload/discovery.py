@@ -207,20 +207,21 @@ def cardinality(spark, sf_dir) -> DataFrame:
     return detect_cardinality(spark, renamed_views(spark, sf_dir), edges)
 
 
-def _td_cardinality() -> str:
+def td_cardinality_oracle(with_overlap: bool = False) -> str:
     """Key counts of all columns of the renamed views, looked up by the discovered pairs."""
     keys = sql.union_all(
         f"SELECT '{view}' AS t, '{new}' AS c, count(*) AS d, count(*) FILTER (n > 1) AS dup FROM "
         f"(SELECT {sql.key(old)} AS k, count(*) AS n FROM {source} WHERE {sql.key(old)} IS NOT NULL GROUP BY 1)"
         for view, new, source, old, _ in sql.renamed_columns()
     )
+    rated = ', "CONFIDENCE_LABEL", "MATCH_RATE"' if with_overlap else ""
     return f"""{sql.discovery_ctes()},
 keys AS ({keys})
 SELECT '{SYSTEM}' AS "SOURCE_SYSTEM", *, {sql.CLASS} FROM (
   SELECT "PARENT_TABLE" AS "FROM_TABLE", "PARENT_COLUMN" AS "FROM_COLUMN", "CHILD_TABLE" AS "TO_TABLE",
     "CHILD_COLUMN" AS "TO_COLUMN", p.d AS "FROM_DISTINCT_KEYS", ch.d AS "TO_DISTINCT_KEYS",
-    p.dup AS "FROM_DUPLICATE_KEYS", ch.dup AS "TO_DUPLICATE_KEYS"
-  FROM pairs JOIN keys p ON p.t = "PARENT_TABLE" AND p.c = "PARENT_COLUMN"
+    p.dup AS "FROM_DUPLICATE_KEYS", ch.dup AS "TO_DUPLICATE_KEYS"{rated}
+  FROM {"overlap" if with_overlap else "pairs"} JOIN keys p ON p.t = "PARENT_TABLE" AND p.c = "PARENT_COLUMN"
   JOIN keys ch ON ch.t = "CHILD_TABLE" AND ch.c = "CHILD_COLUMN")"""
 
 
@@ -290,7 +291,7 @@ SELECT {sql.entity("t", GRAPH_WORDS, "replace(upper(t), '_TD', '')")} AS "ENTITY
   t AS "TARGET_TABLE", r AS "ENTITY_ROLE",
   CASE WHEN bool_or(l = 'HIGH') THEN 'HIGH' ELSE 'MEDIUM' END AS "CONFIDENCE_LABEL"
 FROM roles GROUP BY t, r""",
-    "cardinality": _td_cardinality(),
+    "cardinality": td_cardinality_oracle(),
     "cardinality_edges": INJECTED_CARDINALITY,
     "name_compatibility": f"""
 WITH names AS (SELECT p_partkey,
