@@ -6,14 +6,13 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablescout.functions.names import clean_identifier, target_table_name
 from tablescout.functions.types import spark_type, target_type
 from tablescout.functions.values import FRACTIONAL, INTEGRAL, is_nested
-from tablescout.local import catalog_rows
 
 # Fixed value: blank text.  (?U) makes \s cover all Unicode white space; the four
 # separators \x1c-\x1f count as white space as well, which Java leaves out.
@@ -46,13 +45,10 @@ def planned_columns(source_columns: DataFrame, dialect: str, suffix: str = "") -
     )
 
 
-def column_plan(planned: DataFrame) -> list[ColumnPlan]:
-    """The rename-and-cast plan of one table, in ordinal order."""
-    ordered = planned.orderBy("SOURCE_ORDINAL_POSITION")
-    return [
-        ColumnPlan(r.SOURCE_COLUMN, r.TARGET_COLUMN, r.TARGET_DATA_TYPE)
-        for r in catalog_rows(ordered.select("SOURCE_COLUMN", "TARGET_COLUMN", "TARGET_DATA_TYPE"))
-    ]
+def column_plan(planned: Sequence[Row]) -> list[ColumnPlan]:
+    """The rename-and-cast plan of one table from its collected column metadata."""
+    ordered = sorted(planned, key=lambda r: r.SOURCE_ORDINAL_POSITION)
+    return [ColumnPlan(r.SOURCE_COLUMN, r.TARGET_COLUMN, r.TARGET_DATA_TYPE) for r in ordered]
 
 
 def conformed(column: Column, dtype: str, target: str, strict_boolean: bool = True) -> Column:

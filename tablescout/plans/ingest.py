@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -13,20 +13,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablescout.functions.names import clean_identifier, target_table_name
+from tablescout.functions.names import target_table_name
 from tablescout.functions.rules import counts_match, counts_text, load_status
+from tablescout.functions.values import watermark_text
 from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.catalog import latest_watermarks
-from tablescout.operators.conform import column_plan, conform, planned_columns, with_lineage
+from tablescout.operators.conform import ColumnPlan, column_plan, conform, planned_columns, with_lineage
 from tablescout.operators.merge import duplicate_keys, key_bucket, latest_per_key, merge_upsert
-from tablescout.plans.store import BUCKET, TableStore, new_run_id
+from tablescout.plans.store import BUCKET, TableStore, Version, new_run_id
 from tablescout.schemas import WATERMARK_KEY
-from tablescout.functions.values import watermark_text
 from tablescout.sources.base import Source, Watermark, discover_tables, unknown_tables
 
 MODES = ("full_refresh", "incremental", "incremental_plan")
 FULL = "full_refresh"
 BY_TIMESTAMP = "timestamp"
+
+# Names of validations, and how much of an error is kept.
+COUNT_CHECK = "SOURCE_LOADED_TARGET_ROW_COUNT_MATCH"
+LOAD_ERROR = "TABLE_LOAD_ERROR"
 ERROR_TEXT_LENGTH = 500
 
 
@@ -61,17 +65,16 @@ class LoadOptions:
     parallel_tables: int = 4
 
 
-@dataclass
-class _Load:
-    """What happened to one table."""
-
-    strategy: str
-    source_rows: int
-    loaded_rows: int = 0
-    target_rows: int = 0
-    planned_rows: int | None = None
-    merged: bool = False
-    max_watermark: str | None = None
+# What happened to one table; the catalogs are derived from these rows.
+FACTS = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("SOURCE_TABLE", "TARGET_TABLE", "STRATEGY", "ERROR")]
+    + [T.StructField(n, T.LongType()) for n in ("SOURCE_ROWS", "LOADED_ROWS", "TARGET_ROWS", "PLANNED_ROWS")]
+    + [
+        T.StructField("MERGED", T.BooleanType()),
+        T.StructField("LOAD_SECONDS", T.DoubleType()),
+        T.StructField("LOADED_AT", T.TimestampType()),
+    ]
+)
 
 
 def load_strategy(mode: str, config: IncrementalTable | None, since: Watermark | None) -> str:
@@ -81,7 +84,9 @@ def load_strategy(mode: str, config: IncrementalTable | None, since: Watermark |
     return BY_TIMESTAMP if mode != FULL and config and since else FULL
 
 
-def observed_write(rows: DataFrame, watermark: str | None, write) -> tuple[int, str | None]:
+def observed_write(
+    rows: DataFrame, watermark: str | None, write: Callable[[DataFrame], None]
+) -> tuple[int, str | None]:
     """Write rows and return (row count, newest watermark) measured by that same write.
 
     The observation sits directly under the write, in the final stage of the job, where Spark
@@ -102,9 +107,52 @@ def gathered(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", F.col(BUCKET))
 
 
-def plan_increment(source: Source, table: str, config: IncrementalTable, since: Watermark | None) -> int:
-    """Rows the next incremental load would read."""
-    return source.count_since(table, config.watermark_column, since)
+def key_columns(plan: Sequence[ColumnPlan], names: Sequence[str]) -> list[str]:
+    """Target columns of key columns given by source or target name, in any case."""
+    found = {c.target.lower(): c.target for c in plan} | {c.source.lower(): c.target for c in plan}
+    missing = [name for name in names if name.lower() not in found]
+    if missing:
+        raise ValueError(f"no such key columns: {missing}")
+    return [found[name.lower()] for name in names]
+
+
+def table_catalog(facts: DataFrame, mode: str) -> DataFrame:
+    """Table catalog rows of a run."""
+    failed, planned = F.col("ERROR").isNotNull(), F.col("PLANNED_ROWS").isNotNull()
+    counts = [F.col(n) for n in ("SOURCE_ROWS", "LOADED_ROWS", "TARGET_ROWS")]
+    matched = F.when(failed, False).when(planned, True).otherwise(counts_match(F.col("STRATEGY"), *counts))
+    status = load_status(F.lit(mode), F.col("STRATEGY"), F.col("MERGED"), counts[0])
+    return facts.select(
+        "SOURCE_TABLE",
+        "TARGET_TABLE",
+        F.col("SOURCE_ROWS").alias("SOURCE_ROW_COUNT"),
+        F.col("TARGET_ROWS").alias("TARGET_ROW_COUNT"),
+        matched.alias("ROW_COUNT_MATCH"),
+        F.when(failed, "FAILED").when(planned, "PLANNED").otherwise(status).alias("LOAD_STATUS"),
+        "LOAD_SECONDS",
+        "LOADED_AT",
+    )
+
+
+def validation_results(facts: DataFrame, mode: str) -> DataFrame:
+    """Validation rows of a run: the row count check, or the error of a failed table."""
+    failed, planned = F.col("ERROR").isNotNull(), F.col("PLANNED_ROWS").isNotNull()
+    counts = [F.col(n) for n in ("SOURCE_ROWS", "LOADED_ROWS", "TARGET_ROWS")]
+    plan_text = F.format_string(
+        "incremental_plan_only=true; source_total=%d; planned_rows_not_loaded=%d",
+        F.col("SOURCE_ROWS"), F.col("PLANNED_ROWS"),
+    )
+    checked = table_catalog(facts, mode).select("SOURCE_TABLE", "ROW_COUNT_MATCH")
+    return facts.join(checked, "SOURCE_TABLE").select(
+        "TARGET_TABLE",
+        F.when(failed, LOAD_ERROR).otherwise(COUNT_CHECK).alias("VALIDATION_NAME"),
+        F.when(F.col("ROW_COUNT_MATCH"), "PASS").otherwise("FAIL").alias("VALIDATION_STATUS"),
+        F.when(failed, F.left(F.col("ERROR"), F.lit(ERROR_TEXT_LENGTH)))
+        .when(planned, plan_text)
+        .otherwise(counts_text(F.col("STRATEGY"), *counts))
+        .alias("VALIDATION_VALUE"),
+        F.col("LOADED_AT").alias("VALIDATED_AT"),
+    )
 
 
 class Ingestion:
@@ -128,23 +176,19 @@ class Ingestion:
             "TARGET_DATABASE": target.database,
             "TARGET_SCHEMA": target.schema,
         }
+        self._versions: dict[str, Version] = {}
+        self._watermarks: dict[tuple, Watermark] = {}
 
     # Run life-cycle
 
     def run(self) -> DataFrame:
         """Load every table, write the catalogs and return this run's table catalog rows."""
-        started = datetime.now(UTC)
-        base = {**self._place, "LOAD_MODE": self.options.mode, "STARTED_AT": started}
+        base = {**self._place, "LOAD_MODE": self.options.mode, "STARTED_AT": datetime.now(UTC)}
         self.store.append_rows("INGESTION_RUN_LOG", [{**base, "STATUS": "RUNNING"}])
         try:
             outcomes = self._load_all()
-            for name, kind in (
-                ("INGESTION_TABLE_CATALOG", "table"),
-                ("INGESTION_COLUMN_CATALOG", "columns"),
-                ("INGESTION_VALIDATION_RESULTS", "validation"),
-            ):
-                self.store.append_rows(name, [row for outcome in outcomes for row in outcome[kind]])
-            failed = sum(outcome["failed"] for outcome in outcomes)
+            self._write_catalogs(outcomes)
+            failed = sum(fact["ERROR"] is not None for fact, _ in outcomes)
             self._finish(base, "PARTIAL_SUCCESS" if failed else "SUCCESS", f"{failed} table(s) failed" if failed else None)
         except Exception as error:
             self._finish(base, "FAILED", str(error))
@@ -155,157 +199,111 @@ class Ingestion:
         row = {**base, "FINISHED_AT": datetime.now(UTC), "STATUS": status, "ERROR_MESSAGE": message}
         self.store.append_rows("INGESTION_RUN_LOG", [row])
 
-    def _load_all(self) -> list[dict]:
+    def _write_catalogs(self, outcomes: list[tuple[dict, list[dict]]]) -> None:
+        place = {name: F.lit(value) for name, value in self._place.items()}
+        if outcomes:
+            facts = local_frame(self.spark, [fact for fact, _ in outcomes], FACTS)
+            mode = self.options.mode
+            self.store.append("INGESTION_TABLE_CATALOG", table_catalog(facts, mode).withColumns(place))
+            self.store.append("INGESTION_VALIDATION_RESULTS", validation_results(facts, mode).withColumns(place))
+        columns = [{**row, **self._place} for _, rows in outcomes for row in rows]
+        self.store.append_rows("INGESTION_COLUMN_CATALOG", columns)
+
+    def _load_all(self) -> list[tuple[dict, list[dict]]]:
         options = self.options
-        missing = unknown_tables(self.source, options.include)
+        missing = unknown_tables(self.source, options.include) if options.include else []
         found = discover_tables(self.source, options.include, options.exclude).select(
             "TABLE_NAME", target_table_name(F.col("TABLE_NAME"), self.target.suffix).alias("TARGET_TABLE")
         )
         pairs = [(row.TABLE_NAME, row.TARGET_TABLE) for row in catalog_rows(found)]
-        outcomes = [self._failure(name, None, ValueError("table not found in the source"), 0.0) for name in missing]
+        # Versions and watermarks are read once for all tables.
+        self._versions = self.store.versions()
+        self._watermarks = self._stored_watermarks() if options.incremental else {}
+        outcomes = [(self._failure(name, None, "table not found in the source", 0.0), []) for name in missing]
         with ThreadPoolExecutor(max(1, options.parallel_tables)) as pool:
             outcomes += pool.map(inheritable_thread_target(self.spark)(lambda pair: self._load_table(*pair)), pairs)
         return outcomes
 
-    def _load_table(self, table: str, target_table: str) -> dict:
+    def _failure(self, table: str, target_table: str | None, error: str, seconds: float) -> dict:
+        return {
+            "SOURCE_TABLE": table, "TARGET_TABLE": target_table, "ERROR": error, "LOAD_SECONDS": seconds,
+            "LOADED_AT": datetime.now(UTC),
+        }
+
+    def _load_table(self, table: str, target_table: str) -> tuple[dict, list[dict]]:
+        """Facts and column catalog rows of one table; a failure is recorded, not raised."""
         start = perf_counter()
         try:
-            return self._loaded(table, target_table, start)
+            planned = catalog_rows(planned_columns(self.source.columns(table), self.source.dialect))
+            fact = {
+                "SOURCE_TABLE": table, "TARGET_TABLE": target_table, "ERROR": None,
+                **self._load(table, target_table, column_plan(planned)),
+                "LOAD_SECONDS": perf_counter() - start, "LOADED_AT": datetime.now(UTC),
+            }
+            columns = [
+                {**row.asDict(), "TARGET_TABLE": target_table, "CATALOGED_AT": fact["LOADED_AT"]} for row in planned
+            ]
+            return fact, columns
         except Exception as error:  # one bad table must not stop the others
-            return self._failure(table, target_table, error, perf_counter() - start)
+            return self._failure(table, target_table, str(error), perf_counter() - start), []
 
-    # Catalog rows
+    # Watermarks
 
-    def _failure(self, table: str, target_table: str | None, error: Exception, seconds: float) -> dict:
-        at = datetime.now(UTC)
-        return {
-            "failed": True,
-            "table": [
-                {
-                    **self._place, "SOURCE_TABLE": table, "TARGET_TABLE": target_table, "ROW_COUNT_MATCH": False,
-                    "LOAD_STATUS": "FAILED", "LOAD_SECONDS": seconds, "LOADED_AT": at,
-                }
-            ],
-            "columns": [],
-            "validation": [
-                {
-                    **self._place, "TARGET_TABLE": target_table, "VALIDATION_NAME": "TABLE_LOAD_ERROR",
-                    "VALIDATION_STATUS": "FAIL", "VALIDATION_VALUE": str(error)[:ERROR_TEXT_LENGTH],
-                    "VALIDATED_AT": at,
-                }
-            ],
-        }
+    def _watermark_key(self, table: str, target_table: str, column: str) -> tuple:
+        values = {**self._place, "SOURCE_TABLE": table, "TARGET_TABLE": target_table, "WATERMARK_COLUMN": column}
+        return tuple(values[name] for name in WATERMARK_KEY)
 
-    def _loaded(self, table: str, target_table: str, start: float) -> dict:
-        planned = planned_columns(self.source.columns(table), self.source.dialect)
-        column_rows = [row.asDict() for row in catalog_rows(planned.orderBy("SOURCE_ORDINAL_POSITION"))]
-        load = self._load(table, target_table, planned)
-        seconds = perf_counter() - start
-        at = datetime.now(UTC)
-        matched, text, status = self._verdict(load)
-        common = {**self._place, "TARGET_TABLE": target_table}
-        if load.max_watermark is not None:
-            self._store_watermark(table, target_table, load.max_watermark)
+    def _stored_watermarks(self) -> dict[tuple, Watermark]:
+        own = self.store.read("INGESTION_WATERMARKS").where(F.col("SOURCE_SYSTEM") == self.source.name)
         return {
-            "failed": False,
-            "table": [
-                {
-                    **common, "SOURCE_TABLE": table, "SOURCE_ROW_COUNT": load.source_rows,
-                    "TARGET_ROW_COUNT": load.target_rows, "ROW_COUNT_MATCH": matched, "LOAD_STATUS": status,
-                    "LOAD_SECONDS": seconds, "LOADED_AT": at,
-                }
-            ],
-            "columns": [{**row, **common, "SOURCE_TABLE": table, "CATALOGED_AT": at} for row in column_rows],
-            "validation": [
-                {
-                    **common, "VALIDATION_NAME": "SOURCE_LOADED_TARGET_ROW_COUNT_MATCH",
-                    "VALIDATION_STATUS": "PASS" if matched else "FAIL", "VALIDATION_VALUE": text,
-                    "VALIDATED_AT": at,
-                }
-            ],
+            tuple(row[name] for name in WATERMARK_KEY): Watermark(row.WATERMARK_VALUE, row.WATERMARK_TYPE)
+            for row in catalog_rows(latest_watermarks(own))
         }
 
-    def _verdict(self, load: _Load) -> tuple[bool, str, str]:
-        mode, strategy = F.lit(self.options.mode), F.lit(load.strategy)
-        counts = [F.lit(n).cast("long") for n in (load.source_rows, load.loaded_rows, load.target_rows)]
-        row = self.spark.range(1).select(
-            counts_match(strategy, *counts), counts_text(strategy, *counts),
-            load_status(mode, strategy, F.lit(load.merged), counts[0]),
-        ).head()
-        if load.planned_rows is not None:
-            text = (
-                f"incremental_plan_only=true; source_total={load.source_rows}; "
-                f"planned_rows_not_loaded={load.planned_rows}"
-            )
-            return True, text, "PLANNED"
-        return tuple(row)
-
-    # Watermarks
-
-    def _watermark_key(self, table: str, target_table: str, column: str) -> dict:
-        values = {**self._place, "SOURCE_TABLE": table, "TARGET_TABLE": target_table, "WATERMARK_COLUMN": column}
-        return {name: values[name] for name in WATERMARK_KEY}
-
-    def _stored_watermark(self, table: str, target_table: str, column: str) -> Watermark | None:
-        rows = self.store.read("INGESTION_WATERMARKS")
-        for name, value in self._watermark_key(table, target_table, column).items():
-            rows = rows.where(F.col(name) == value)
-        found = latest_watermarks(rows).head()
-        return found and Watermark(found.WATERMARK_VALUE, found.WATERMARK_TYPE)
-
-    def _store_watermark(self, table: str, target_table: str, newest: str) -> None:
-        column = self.options.incremental[table].watermark_column
-        dtype = self.source.read(table).schema[column].dataType.simpleString()
+    def _store_watermark(self, key: tuple, newest: str, dtype: str) -> None:
         row = {
-            **self._watermark_key(table, target_table, column), "WATERMARK_VALUE": newest,
-            "WATERMARK_TYPE": dtype, "LAST_SUCCESSFUL_RUN_ID": self.run_id, "UPDATED_AT": datetime.now(UTC),
+            **dict(zip(WATERMARK_KEY, key, strict=True)), "WATERMARK_VALUE": newest, "WATERMARK_TYPE": dtype,
+            "LAST_SUCCESSFUL_RUN_ID": self.run_id, "UPDATED_AT": datetime.now(UTC),
         }
         self.store.append_rows("INGESTION_WATERMARKS", [row])
 
     # Loading
 
-    def _load(self, table: str, target_table: str, planned: DataFrame) -> _Load:
+    def _load(self, table: str, target_table: str, plan: list[ColumnPlan]) -> dict:
         options, source = self.options, self.source
         config = options.incremental.get(table)
-        since = config and self._stored_watermark(table, target_table, config.watermark_column)
+        mark_key = config and self._watermark_key(table, target_table, config.watermark_column)
+        since = self._watermarks.get(mark_key) if config else None
         strategy = load_strategy(options.mode, config, since)
-        load = _Load(strategy, source.row_count(table))
-        current = self.store.version(target_table)
+        current = self._versions.get(target_table)
+        fact = {"STRATEGY": strategy, "SOURCE_ROWS": source.row_count(table), "MERGED": False}
         if options.mode == "incremental_plan":
             # Planning never writes rows, whatever is stored.
-            load.planned_rows = plan_increment(source, table, config, since) if config else load.source_rows
-            load.target_rows = self.store.read_raw(target_table).count() if current else 0
-            return load
+            planned = source.count_since(table, config.watermark_column, since) if config else fact["SOURCE_ROWS"]
+            present = self.store.open(target_table, current).count() if current else 0
+            return {**fact, "PLANNED_ROWS": planned, "LOADED_ROWS": 0, "TARGET_ROWS": present}
 
-        plan = column_plan(planned)
         rows = source.read_since(table, config.watermark_column, since) if strategy != FULL else source.read(table)
-        watermark = None
-        if config:
-            # The newest watermark is taken from the rows being written, in source type.
-            watermark = next(c.target for c in plan if c.source == config.watermark_column)
         conformed = with_lineage(
             conform(rows, plan, options.strict_boolean), source.name, source.database, source.schema, table
         )
-        key = self._clean_names(config.primary_key) if config else []
-        load.merged = strategy != FULL and bool(key) and options.mode == "incremental"
+        # The newest watermark comes from the very rows being written.
+        watermark = key_columns(plan, [config.watermark_column])[0] if config else None
+        key = key_columns(plan, config.primary_key) if config else []
+        fact["MERGED"] = strategy != FULL and bool(key)
+        laid_out = self._laid_out(conformed, key)
         if strategy == FULL or current is None:
-            self._full(conformed, target_table, key, watermark, load)
-        elif load.merged:
-            self._merge(conformed, target_table, current, key, watermark, config, load)
+            # A full refresh writes a version of its own and then makes it current.
+            current = Version(self.run_id, laid_out.schema)
+            loaded, newest = self._write(laid_out, key, watermark, "overwrite", target_table, current.name)
+            self.store.commit(target_table, current)
+        elif fact["MERGED"]:
+            loaded, newest = self._merge(laid_out, target_table, current, key, watermark, config.on_duplicate)
         else:
-            path = self.store.path(target_table, current)
-            load.loaded_rows, load.max_watermark = observed_write(
-                self._laid_out(conformed, key), watermark, lambda df: self._writer(df, key).mode("append").parquet(path)
-            )
-        load.target_rows = self.store.read_raw(target_table).count()
-        return load
-
-    def _clean_names(self, names: Sequence[str]) -> list[str]:
-        if not names:
-            return []
-        schema = T.StructType([T.StructField("I", T.IntegerType()), T.StructField("N", T.StringType())])
-        frame = local_frame(self.spark, [{"I": i, "N": n} for i, n in enumerate(names)], schema)
-        return [row.C for row in catalog_rows(frame.orderBy("I").select(clean_identifier(F.col("N")).alias("C")))]
+            loaded, newest = self._write(laid_out, key, watermark, "append", target_table, current.name)
+        if newest is not None:
+            self._store_watermark(mark_key, newest, dict(rows.dtypes)[config.watermark_column])
+        return {**fact, "LOADED_ROWS": loaded, "TARGET_ROWS": self.store.open(target_table, current).count()}
 
     def _laid_out(self, rows: DataFrame, key: list[str]) -> DataFrame:
         """Rows of a keyed table carry their bucket and are gathered by it before the write."""
@@ -314,51 +312,45 @@ class Ingestion:
         hashed = [c for c in rows.columns if c != "_INGESTED_AT"]
         return gathered(rows.withColumn(BUCKET, key_bucket(hashed, key, self.options.merge_buckets)))
 
-    def _writer(self, rows: DataFrame, key: list[str]):
-        return rows.write.partitionBy(BUCKET) if key else rows.write
+    def _write(self, rows: DataFrame, key: list[str], watermark: str | None, mode: str, table: str,
+               version: str) -> tuple[int, str | None]:
+        path = self.store.path(table, version)
 
-    def _full(self, rows: DataFrame, target_table: str, key: list[str], watermark: str | None, load: _Load) -> None:
-        version = self.run_id
-        path = self.store.path(target_table, version)
-        laid_out = self._laid_out(rows, key)
-        load.loaded_rows, load.max_watermark = observed_write(
-            laid_out, watermark, lambda df: self._writer(df, key).mode("overwrite").parquet(path)
-        )
-        self.store.commit(target_table, version, laid_out.schema)
+        def write(observed: DataFrame) -> None:
+            writer = observed.write.partitionBy(BUCKET) if key else observed.write
+            writer.mode(mode).parquet(path)
 
-    def _merge(self, rows: DataFrame, target_table: str, current: str, key: list[str], watermark: str | None,
-               config: IncrementalTable, load: _Load) -> None:
+        return observed_write(rows, watermark, write)
+
+    def _merge(self, rows: DataFrame, target_table: str, current: Version, key: list[str], watermark: str,
+               on_duplicate: str) -> tuple[int, str | None]:
         """Stage the delta, then rewrite the buckets of the current version it touches.
 
         Staging reads the source once; the duplicate check, the touched buckets and the merge read
         the staged files.  The rewrite uses dynamic partition overwrite: new files replace a bucket
         only when the whole job commits, and repeating a merge gives the same rows.
         """
-        stage_path = self.store.path(f"{target_table}_STG", self.run_id)
-        load.loaded_rows, load.max_watermark = observed_write(
-            self._laid_out(rows, key), watermark,
-            lambda df: self._writer(df, key).mode("overwrite").parquet(stage_path),
-        )
-        if load.loaded_rows == 0:
-            return
-        stage = self.spark.read.parquet(stage_path)
-        if config.on_duplicate == "latest":
-            filled = stage.dropna(subset=key)
+        stage_table = f"{target_table}_STG"
+        loaded, newest = self._write(rows, key, watermark, "overwrite", stage_table, self.run_id)
+        if loaded == 0:
+            return loaded, newest
+        stage = self.store.open(stage_table, Version(self.run_id, rows.schema))
+        if on_duplicate == "latest":
             keyless = stage.where(" or ".join(f"`{name}` is null" for name in key))
-            stage = latest_per_key(filled, key, [F.desc(watermark)]).unionByName(keyless)
+            stage = latest_per_key(stage.dropna(subset=key), key, [F.desc(watermark)]).unionByName(keyless)
         elif duplicate_keys(stage, key).limit(1).count():
             raise ValueError(f"the delta of {target_table} holds a key more than once")
         # At most one row per bucket comes to the driver; the list prunes the scan to these buckets.
         touched = [row[0] for row in stage.select(BUCKET).distinct().collect()]
-        target = self.store.read_raw(target_table).where(F.col(BUCKET).isin(touched))
-        merged = merge_upsert(target, stage.select(target.columns), key)
+        target = self.store.open(target_table, current).where(F.col(BUCKET).isin(touched))
         (
-            gathered(merged)
+            gathered(merge_upsert(target, stage.select(target.columns), key))
             .write.partitionBy(BUCKET)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.store.path(target_table, current))
+            .parquet(self.store.path(target_table, current.name))
         )
+        return loaded, newest
 
 
 def ingest(spark: SparkSession, source: Source, target: Target, store: TableStore,
