@@ -169,3 +169,16 @@ def test_measured_columns(spark, sf_dir):
     found = {r.SOURCE_COLUMN: r for r in measured_columns(FrameSource(spark, frames), "t").collect()}
     assert found["s"].SOURCE_CHARACTER_MAXIMUM_LENGTH == 3 and found["s"].SOURCE_IS_NULLABLE == "NO"
     assert found["n"].SOURCE_CHARACTER_MAXIMUM_LENGTH is None and found["n"].SOURCE_IS_NULLABLE == "YES"
+
+
+def test_concurrent_catalog_appends(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+    from datetime import UTC, datetime
+
+    def add(i):
+        row = {"SOURCE_SYSTEM": f"S{i}", "WATERMARK_VALUE": str(i), "UPDATED_AT": datetime.now(UTC)}
+        store.append_rows("INGESTION_WATERMARKS", [row])
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(add, range(24)))
+    assert store.read("INGESTION_WATERMARKS").select("SOURCE_SYSTEM").distinct().count() == 24

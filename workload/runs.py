@@ -141,5 +141,6 @@ UNION ALL SELECT 'events', 'EVENTS_TD', 'ts', cast(max(ts) AS VARCHAR) FROM even
 WITH edges AS ({td_cardinality_oracle(with_overlap=True)})
 SELECT "FROM_TABLE" AS from_table, "FROM_COLUMN" AS from_column, "TO_TABLE" AS to_table, "TO_COLUMN" AS to_column,
   'PARENT_CHILD' AS relationship_type, "CONFIDENCE_LABEL" AS confidence_label, "MATCH_RATE" AS match_rate,
-  "CARDINALITY_TYPE" AS cardinality_type FROM edges""",
+  "CARDINALITY_TYPE" AS cardinality_type FROM edges
+WHERE "CONFIDENCE_LABEL" IN ('HIGH', 'MEDIUM')""",
 }
