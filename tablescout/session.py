@@ -17,6 +17,15 @@ SETTINGS = {
     "spark.scheduler.mode": "FAIR",
 }
 
+# For a large cluster, to pass to build_session.  Aggregates cannot be split after the fact, so the
+# shuffle starts with many partitions (about shuffled bytes / 128 MB); AQE joins the small ones.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(app_name: str = "tablescout", **overrides: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

@@ -64,7 +64,7 @@ def test_conform_passes_binary_and_nested(spark):
 PAIRS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 9)), max_size=12)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(target=PAIRS, stage=st.dictionaries(st.one_of(st.none(), st.integers(0, 4)), st.integers(10, 19), max_size=5))
 def test_merge_equals_row_by_row_merge(spark, target, stage):
     expected = [(k, stage[k] if k is not None and k in stage else v) for k, v in target]
@@ -154,7 +154,7 @@ def compatible(parent, child):
     return parent in child or child in parent or bool(base(parent)) and base(parent) == base(child)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(
     st.lists(
         st.tuples(
@@ -221,7 +221,7 @@ def test_cardinality_trims_text_keys(spark):
 KEYS = st.lists(st.one_of(st.none(), st.sampled_from(["a", " a", "b", "", "  ", "c"])), max_size=8)
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(parents=KEYS, children=KEYS, kind=st.sampled_from(["1:N", "N:M", None]))
 def test_views_equal_the_row_level_join(spark, parents, children, kind):
     parent = spark.createDataFrame(list(enumerate(parents)), "p int, k string")

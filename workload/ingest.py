@@ -17,7 +17,7 @@ from tablescout.sources.base import Watermark, discover_tables
 from tablescout.sources.files import FileSource, measured_columns
 from tablescout.local import catalog_rows
 from workload import sql
-from workload.tables import TABLES, table
+from workload.tables import TABLES, shown, table
 
 CUTOFFS = {
     "orders": ("o_orderdate", "2000-01-01 00:00:00"),
@@ -84,9 +84,10 @@ def column_catalog(spark, sf_dir) -> DataFrame:
     source = files(spark, sf_dir)
     found = catalog_rows(discover_tables(source, exclude=EXCLUDED))
     measured = union_all(measured_columns(source, row.TABLE_NAME) for row in found)
-    return planned_columns(measured, source.dialect, "_TD")
+    return shown(planned_columns(measured, source.dialect, "_TD"), *SIZES)
 
 
+SIZES = ["SOURCE_CHARACTER_MAXIMUM_LENGTH", "SOURCE_NUMERIC_PRECISION", "SOURCE_NUMERIC_SCALE"]
 REDSHIFT_NAMES = {
     "int": "integer",
     "bigint": "bigint",
@@ -164,7 +165,7 @@ def type_mapping(spark, sf_dir) -> DataFrame:
                 target_type(dialect, declared, F.col("LENGTH"), F.col("PRECISION"), F.col("SCALE")).alias("TARGET"),
             )
         )
-    return union_all(parts)
+    return shown(union_all(parts), "LENGTH", "PRECISION", "SCALE")
 
 
 def _type_oracle() -> str:
@@ -289,7 +290,8 @@ DOC_REVIEW = (
 def merge_null_keys(spark, sf_dir) -> DataFrame:
     """NULL keys never match: such stage rows are added again."""
     target = doc_reviews(spark, sf_dir)
-    return merge_upsert(target, target.where("lang = 'en'").withColumn("quality", F.lit(9)), ["DOC_ID"])
+    stage = target.where("lang = 'en'").withColumn("quality", F.lit(9))
+    return shown(merge_upsert(target, stage, ["DOC_ID"]), "DOC_ID", "quality")
 
 
 def merge_repeated_keys(spark, sf_dir) -> DataFrame:
@@ -518,7 +520,7 @@ UNION ALL SELECT 'lineitem', cast(max(l_shipdate) AS VARCHAR) FROM lineitem""",
     "table_discovery": sql.union_all(
         f"SELECT '{n}' AS \"SOURCE_TABLE\", count(*) AS \"SOURCE_ROW_COUNT\" FROM {n}" for n in CATALOGED
     ),
-    "column_catalog": _catalog_oracle(),
+    "column_catalog": sql.shown(_catalog_oracle(), *SIZES),
     "clean_identifiers": 'SELECT "NAME", '
     + sql.clean('"NAME"')
     + ' AS "CLEANED" FROM ('
@@ -526,16 +528,20 @@ UNION ALL SELECT 'lineitem', cast(max(l_shipdate) AS VARCHAR) FROM lineitem""",
         f'SELECT {column} AS "NAME" FROM {name}' for name, columns in NAME_COLUMNS.items() for column in columns
     )
     + ")",
-    "type_mapping": _type_oracle(),
+    "type_mapping": sql.shown(_type_oracle(), "LENGTH", "PRECISION", "SCALE"),
     "conform_rows": CONFORM_ORACLE,
     "merge_upsert": STAGED
     + "SELECT * FROM base ANTI JOIN stage USING (o_orderkey) UNION ALL SELECT * FROM stage",
     "append_delta": STAGED + "SELECT * FROM base UNION ALL SELECT * FROM stage",
-    "merge_null_keys": f"""
+    "merge_null_keys": sql.shown(
+        f"""
 WITH target AS (SELECT * FROM {DOC_REVIEW}),
 stage AS (SELECT {_DOC_REVIEW_COLUMNS}, 9 AS quality FROM target WHERE lang = 'en')
 SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM stage s WHERE s."DOC_ID" = t."DOC_ID")
 UNION ALL SELECT * FROM stage""",
+        "DOC_ID",
+        "quality",
+    ),
     "merge_repeated_keys": """
 WITH stage AS (SELECT o_orderkey AS k, o_totalprice AS p FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01')
 SELECT l_orderkey, CASE WHEN k IS NULL THEN l_returnflag ELSE 'T' END AS l_returnflag,

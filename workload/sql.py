@@ -222,3 +222,9 @@ def clean(name: str) -> str:
 def entity(name: str, words, fallback: str) -> str:
     cases = " ".join(f"WHEN contains(upper({name}), '{word}') THEN '{word}'" for word in words)
     return f"CASE {cases} ELSE {fallback} END"
+
+
+def shown(query: str, *columns: str) -> str:
+    """A query with the given columns as text."""
+    casts = ", ".join(f'cast("{c}" AS VARCHAR) AS "{c}"' for c in columns)
+    return f"SELECT * REPLACE ({casts}) FROM ({query})"

@@ -68,3 +68,8 @@ def renamed_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 
 def renamed_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {view: renamed_view(spark, sf_dir, view) for view in RENAMED}
+
+
+def shown(rows: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be NULL as text, so every client shows them alike (not as 1.0 and NaN)."""
+    return rows.withColumns({name: rows[name].cast("string") for name in columns})
