@@ -6,6 +6,7 @@ or doubles is far cheaper than grouping on their text, and text is only made per
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -29,6 +30,14 @@ class Cell:
     value: str
 
 
+def has_column(frames: Mapping[str, DataFrame], table: str, column: str) -> bool:
+    """Whether a cataloged column is there; one that is not is skipped with a warning."""
+    found = table in frames and column in frames[table].columns
+    if not found:
+        warnings.warn(f"{table}.{column} is cataloged but not readable; skipped", stacklevel=3)
+    return found
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

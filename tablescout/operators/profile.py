@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablescout.functions.values import INTEGRAL, has_text_order, in_domain, is_nested, quoted, ratio, text_form
 from tablescout.local import catalog_rows, local_frame
-from tablescout.operators.cells import Cell, digested, union_all, unpivoted
+from tablescout.operators.cells import Cell, digested, has_column, union_all, unpivoted
 from tablescout.operators.conform import LINEAGE_COLUMNS
 
 _NOTHING = "cast(NULL AS string)"
@@ -83,6 +83,7 @@ def profile_tables(
         columns = [(t, c) for t, frame in frames.items() for c in frame.columns if c not in LINEAGE_COLUMNS]
     kinds: dict[str, list[Cell]] = {}
     texts: dict[str, list[tuple[str, str]]] = {}
+    columns = [(table, column) for table, column in columns if has_column(frames, table, column)]
     dtypes = {table: dict(frame.dtypes) for table, frame in frames.items()}
     ids = []
     for position, (table, column) in enumerate(columns):
@@ -95,6 +96,8 @@ def profile_tables(
         value = in_domain(column, dtype, "string" if kind == "nested" else kind)
         kinds.setdefault(kind, []).append(Cell(cell_id, table, value))
 
+    if not ids:
+        raise ValueError("no columns to profile")
     measured = union_all(
         [_distinct_cells(frames, kind, cells) for kind, cells in kinds.items()]
         + [_extremes(frames[table], group) for table, group in texts.items()]

@@ -12,7 +12,7 @@ from tablescout.functions.names import name_base
 from tablescout.functions.rules import LABEL_ORDER, confidence_label, confidence_score, label_rank
 from tablescout.functions.values import common_domain, in_domain, ratio
 from tablescout.local import catalog_rows, local_frame
-from tablescout.operators.cells import Cell, digested, union_all, unpivoted
+from tablescout.operators.cells import Cell, digested, has_column, union_all, unpivoted
 
 # Fixed values.
 PARENT_TYPES = ["PRIMARY_KEY", "BUSINESS_KEY", "UNIQUE_ATTRIBUTE"]
@@ -125,7 +125,11 @@ def value_overlap(
 
     Values compare as text; columns of one kind are compared typed, which is the same and cheaper.
     """
-    pair_rows = [row.asDict() for row in catalog_rows(pairs.orderBy(*PAIR_KEY))]
+    pair_rows = [
+        row.asDict()
+        for row in catalog_rows(pairs.orderBy(*PAIR_KEY))
+        if all(has_column(frames, row[f"{side}_TABLE"], row[f"{side}_COLUMN"]) for side in ("PARENT", "CHILD"))
+    ]
     dtypes = {table: dict(frame.dtypes) for table, frame in frames.items()}
     ids: dict[str, dict[tuple[str, str], int]] = {}
     for number, row in enumerate(pair_rows):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,26 @@ def find_relationships(spark: SparkSession, frames: Mapping[str, DataFrame], pla
     return value_overlap(spark, frames, candidate_pairs(candidates))
 
 
+def store_profiles(
+    spark: SparkSession, frames: Mapping[str, DataFrame], place: Place, store: TableStore, run_id: str,
+    tables_per_job: int = 50,
+) -> None:
+    """Profile tables a group per job; when a group fails, its tables one by one, skipping bad ones."""
+
+    def profile(group: Mapping[str, DataFrame]) -> None:
+        store.append("COLUMN_PROFILE", stamped_profile(profile_tables(spark, group), place, run_id))
+
+    for group in batched(frames.items(), tables_per_job):
+        try:
+            profile(dict(group))
+        except Exception:  # find out which table it is
+            for table, frame in group:
+                try:
+                    profile({table: frame})
+                except Exception as error:
+                    warnings.warn(f"{table} could not be profiled: {error}", stacklevel=2)
+
+
 def discover(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
@@ -62,7 +84,7 @@ def discover(
     """Run all discovery steps and append each result to its catalog table."""
     now = F.current_timestamp()
     profile_run, relationship_run, cardinality_run = (new_run_id() for _ in range(3))
-    store.append("COLUMN_PROFILE", stamped_profile(profile_tables(spark, frames), place, profile_run))
+    store_profiles(spark, frames, place, store, profile_run)
     profile = store.read("COLUMN_PROFILE").where(F.col("PROFILE_RUN_ID") == profile_run)
     store.append("KEY_CANDIDATES", key_candidates(profile).withColumn("CREATED_AT", now))
     candidates = store.read("KEY_CANDIDATES").where(F.col("PROFILE_RUN_ID") == profile_run)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tablescout.functions.names import Naming
 from tablescout.operators.graph import entity_map, relationship_graph, usable_relationships
-from tablescout.plans.discover import Place, discover, find_relationships
+from tablescout.operators.relate import value_overlap
+from tablescout.plans.discover import Place, discover, find_relationships, store_profiles
 from tablescout.plans.semantic import (
     asset_counts,
     catalog_assets,
@@ -143,3 +144,19 @@ def test_discovery_stores_every_step(spark, sf_dir):
     summary = spark.table("V_SUMMARY_CUSTOMER_TO_ORDERS_BY_CUSTOMER_ID_TD")
     assert "V_CUSTOMER_TD" in names and summary.agg(F.sum("JOINED_ROW_COUNT")).head()[0] == frames["ORDERS_TD"].count()
     assert spark.table("V_CUSTOMER_TD").select("_SEMANTIC_ENTITY_NAME").distinct().collect() == [("CUSTOMER",)]
+
+
+def test_unreadable_tables_and_columns_are_skipped(spark):
+    good = spark.createDataFrame([(1, "a")], "A_ID int, NAME string")
+    bad = spark.createDataFrame([("x",)], "T string").select(F.col("T").cast("int").alias("B_ID"))
+    store = TableStore(spark, tempfile.mkdtemp(prefix="tablescout-"))
+    with pytest.warns(UserWarning, match="BAD could not be profiled"):
+        store_profiles(spark, {"GOOD": good, "BAD": bad}, Place(SYSTEM), store, "run")
+    assert rows(store.read("COLUMN_PROFILE").select("TARGET_COLUMN")) == [("A_ID",), ("NAME",)]
+
+    pairs = spark.createDataFrame(
+        [("GOOD", "A_ID", "GOOD", "NAME"), ("GOOD", "A_ID", "GONE", "X"), ("GOOD", "GONE", "GOOD", "NAME")],
+        "PARENT_TABLE string, PARENT_COLUMN string, CHILD_TABLE string, CHILD_COLUMN string",
+    )
+    with pytest.warns(UserWarning, match="not readable"):
+        assert value_overlap(spark, {"GOOD": good}, pairs).count() == 1
