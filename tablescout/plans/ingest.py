@@ -107,13 +107,30 @@ def gathered(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", F.col(BUCKET))
 
 
-def key_columns(plan: Sequence[ColumnPlan], names: Sequence[str]) -> list[str]:
+def laid_out(rows: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Rows of a keyed table carry their bucket and are gathered by it before the write."""
+    if not key:
+        return rows
+    hashed = [c for c in rows.columns if c != "_INGESTED_AT"]
+    return gathered(rows.withColumn(BUCKET, key_bucket(hashed, key, buckets)))
+
+
+def check_schema(rows: DataFrame, current: Version) -> None:
+    """There is no schema evolution: a delta must have the columns and types of its target."""
+    expected = {f.name: f.dataType for f in current.schema if f.name != BUCKET}
+    found = {f.name: f.dataType for f in rows.schema}
+    changed = sorted(n for n in expected.keys() | found.keys() if expected.get(n) != found.get(n))
+    if changed:
+        raise ValueError(f"columns differ from the target, load it in full: {changed}")
+
+
+def key_columns(plan: Sequence[ColumnPlan], names: Sequence[str]) -> tuple[str, ...]:
     """Target columns of key columns given by source or target name, in any case."""
     found = {c.target.lower(): c.target for c in plan} | {c.source.lower(): c.target for c in plan}
     missing = [name for name in names if name.lower() not in found]
     if missing:
         raise ValueError(f"no such key columns: {missing}")
-    return [found[name.lower()] for name in names]
+    return tuple(found[name.lower()] for name in names)
 
 
 def table_catalog(facts: DataFrame, mode: str) -> DataFrame:
@@ -289,60 +306,72 @@ class Ingestion:
         )
         # The newest watermark comes from the very rows being written.
         watermark = key_columns(plan, [config.watermark_column])[0] if config else None
-        key = key_columns(plan, config.primary_key) if config else []
+        key = key_columns(plan, config.primary_key) if config else ()
         fact["MERGED"] = strategy != FULL and bool(key)
-        laid_out = self._laid_out(conformed, key)
+        if strategy != FULL and current:
+            check_schema(conformed, current)
         if strategy == FULL or current is None:
-            # A full refresh writes a version of its own and then makes it current.
-            current = Version(self.run_id, laid_out.schema)
-            loaded, newest = self._write(laid_out, key, watermark, "overwrite", target_table, current.name)
-            self.store.commit(target_table, current)
+            current, loaded, newest = self._new_version(conformed, target_table, key, watermark)
         elif fact["MERGED"]:
-            loaded, newest = self._merge(laid_out, target_table, current, key, watermark, config.on_duplicate)
+            current, loaded, newest = self._merge(
+                conformed, target_table, current, key, watermark, config.on_duplicate
+            )
         else:
-            loaded, newest = self._write(laid_out, key, watermark, "append", target_table, current.name)
+            loaded, newest = self._write(
+                laid_out(conformed, current.key, current.buckets), watermark, "append", target_table, current.name
+            )
         if newest is not None:
             self._store_watermark(mark_key, newest, dict(rows.dtypes)[config.watermark_column])
         return {**fact, "LOADED_ROWS": loaded, "TARGET_ROWS": self.store.open(target_table, current).count()}
 
-    def _laid_out(self, rows: DataFrame, key: list[str]) -> DataFrame:
-        """Rows of a keyed table carry their bucket and are gathered by it before the write."""
-        if not key:
-            return rows
-        hashed = [c for c in rows.columns if c != "_INGESTED_AT"]
-        return gathered(rows.withColumn(BUCKET, key_bucket(hashed, key, self.options.merge_buckets)))
-
-    def _write(self, rows: DataFrame, key: list[str], watermark: str | None, mode: str, table: str,
+    def _write(self, rows: DataFrame, watermark: str | None, mode: str, table: str,
                version: str) -> tuple[int, str | None]:
         path = self.store.path(table, version)
 
         def write(observed: DataFrame) -> None:
-            writer = observed.write.partitionBy(BUCKET) if key else observed.write
+            writer = observed.write.partitionBy(BUCKET) if BUCKET in observed.columns else observed.write
             writer.mode(mode).parquet(path)
 
         return observed_write(rows, watermark, write)
 
-    def _merge(self, rows: DataFrame, target_table: str, current: Version, key: list[str], watermark: str,
-               on_duplicate: str) -> tuple[int, str | None]:
+    def _new_version(self, rows: DataFrame, target_table: str, key: tuple[str, ...],
+                     watermark: str | None) -> tuple[Version, int, str | None]:
+        """Write rows as a version of their own and then make it current."""
+        placed = laid_out(rows, key, self.options.merge_buckets)
+        version = Version(self.run_id, placed.schema, key, self.options.merge_buckets if key else 0)
+        loaded, newest = self._write(placed, watermark, "overwrite", target_table, version.name)
+        self.store.commit(target_table, version)
+        return version, loaded, newest
+
+    def _merge(self, rows: DataFrame, target_table: str, current: Version, key: tuple[str, ...], watermark: str,
+               on_duplicate: str) -> tuple[Version, int, str | None]:
         """Stage the delta, then rewrite the buckets of the current version it touches.
 
         Staging reads the source once; the duplicate check, the touched buckets and the merge read
         the staged files.  The rewrite uses dynamic partition overwrite: new files replace a bucket
-        only when the whole job commits, and repeating a merge gives the same rows.
+        only when the whole job commits, and repeating a merge gives the same rows.  A table that is
+        not laid out by this key is rewritten whole, as a new version.
         """
+        in_place = current.key == key
+        placed = laid_out(rows, key, current.buckets if in_place else self.options.merge_buckets)
         stage_table = f"{target_table}_STG"
-        loaded, newest = self._write(rows, key, watermark, "overwrite", stage_table, self.run_id)
+        loaded, newest = self._write(placed, watermark, "overwrite", stage_table, self.run_id)
         if loaded == 0:
-            return loaded, newest
-        stage = self.store.open(stage_table, Version(self.run_id, rows.schema))
+            return current, loaded, newest
+        stage = self.store.open(stage_table, Version(self.run_id, placed.schema))
         if on_duplicate == "latest":
             keyless = stage.where(" or ".join(f"`{name}` is null" for name in key))
-            stage = latest_per_key(stage.dropna(subset=key), key, [F.desc(watermark)]).unionByName(keyless)
+            stage = latest_per_key(stage.dropna(subset=list(key)), key, [F.desc(watermark)]).unionByName(keyless)
         elif duplicate_keys(stage, key).limit(1).count():
             raise ValueError(f"the delta of {target_table} holds a key more than once")
+        target = self.store.open(target_table, current)
+        if not in_place:
+            target = target.drop(BUCKET)
+            merged = merge_upsert(target, stage.select(target.columns), key)
+            return self._new_version(merged, target_table, key, None)[0], loaded, newest
         # At most one row per bucket comes to the driver; the list prunes the scan to these buckets.
         touched = [row[0] for row in stage.select(BUCKET).distinct().collect()]
-        target = self.store.open(target_table, current).where(F.col(BUCKET).isin(touched))
+        target = target.where(F.col(BUCKET).isin(touched))
         (
             gathered(merge_upsert(target, stage.select(target.columns), key))
             .write.partitionBy(BUCKET)
@@ -350,7 +379,7 @@ class Ingestion:
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self.store.path(target_table, current.name))
         )
-        return loaded, newest
+        return current, loaded, newest
 
 
 def ingest(spark: SparkSession, source: Source, target: Target, store: TableStore,

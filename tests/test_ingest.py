@@ -182,3 +182,41 @@ def test_concurrent_catalog_appends(spark, store):
     with ThreadPoolExecutor(8) as pool:
         list(pool.map(add, range(24)))
     assert store.read("INGESTION_WATERMARKS").select("SOURCE_SYSTEM").distinct().count() == 24
+
+
+def test_layout_changes_between_loads(spark, store):
+    """Another bucket count, then another key, then no key: rows stay whole."""
+    from datetime import datetime
+
+    def load(day, data, key, buckets):
+        rows_ = [(k, g, datetime(2024, 1, day)) for k, g in data]
+        source = FrameSource(spark, {"t": spark.createDataFrame(rows_, "id int, grp int, at timestamp_ntz")})
+        options = LoadOptions("incremental", incremental={"t": IncrementalTable("at", key)}, merge_buckets=buckets)
+        return outcome(ingest(spark, source, TARGET, store, options))["T_TD"].LOAD_STATUS
+
+    def now():
+        return rows(store.table("T_TD").select("ID", "GRP"))
+
+    assert load(1, [(1, 1), (2, 2), (3, 3)], ["id"], 2) == "LOADED"
+    assert load(2, [(1, 10), (4, 4)], ["ID"], 7) == "MERGED"
+    assert now() == [(1, 10), (2, 2), (3, 3), (4, 4)]
+    assert load(3, [(9, 2), (5, 5)], ["grp"], 3) == "MERGED"
+    assert now() == sorted([(1, 10), (9, 2), (3, 3), (4, 4), (5, 5)], key=lambda r: [(True, str(v)) for v in r])
+    assert load(4, [(7, 7)], [], 3) == "LOADED"
+    assert (7, 7) in now() and len(now()) == 6
+    assert load(5, [(8, 7)], ["grp"], 3) == "MERGED"
+    assert (8, 7) in now() and len(now()) == 6
+    assert load(6, [(8, 7)], ["nope"], 3) == "FAILED"
+
+
+def test_changed_columns_fail_an_increment(spark, store):
+    options = LoadOptions("incremental", incremental={"t": IncrementalTable("n")})
+
+    def load(frame):
+        return outcome(ingest(spark, FrameSource(spark, {"t": frame}), TARGET, store, options))["T_TD"].LOAD_STATUS
+
+    assert load(spark.createDataFrame([(1, "a")], "n int, s string")) == "LOADED"
+    assert load(spark.createDataFrame([(2, "a", 1)], "n int, s string, extra int")) == "FAILED"
+    assert load(spark.createDataFrame([(2, 5)], "n int, s int")) == "FAILED"
+    assert load(spark.createDataFrame([(2, "b")], "n bigint, s string")) == "LOADED"
+    assert store.table("T_TD").count() == 2
