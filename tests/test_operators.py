@@ -276,3 +276,34 @@ def test_summary_never_joins_rows(spark, sf_dir):
 def test_ansi_is_on(spark):
     with pytest.raises(NumberFormatException):
         spark.sql("select cast('x' as int)").collect()
+
+
+def test_overlap_shuffles_do_not_grow_with_pairs(spark):
+    wide = spark.range(20).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(40)])
+
+    def shuffles(count):
+        edges = [("wide", f"c{i}", "wide", f"c{i + 1}") for i in range(count)]
+        pairs = spark.createDataFrame(edges, ", ".join(f"{n} string" for n in PAIR_KEY))
+        plan = value_overlap(spark, {"wide": wide}, pairs)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    assert shuffles(1) == shuffles(39)
+
+
+def test_latest_row_is_limited_before_the_shuffle(spark):
+    runs = spark.range(10).select((F.col("id") % 2).alias("k"), "id")
+    plan = latest_per_key(runs, ["k"], [F.desc("id")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_hot_and_null_keys_in_joined_views(spark):
+    """A third of the child rows on one key, a third of the parents without one."""
+    parent = spark.range(300).select(
+        F.when(F.col("id") < 200, F.col("id")).alias("k"), F.col("id").alias("p")
+    )
+    child = spark.range(3000).select(
+        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id") % 250).cast("long").alias("k"), F.col("id").alias("c")
+    )
+    view = flat_view(parent, child, Edge("P", "k", "C", "k", "1:N"))
+    expected = parent.join(child, parent.k == child.k, "left").select("p", "c")
+    assert rows(view.select("p", "c")) == rows(expected)
