@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import decontaminate, language, licences, mixing, neighbours, quality, token_counts, token_store
+from tablescout.llm import context_tree, decontaminate, language, licences, mixing, near_duplicates, neighbours, quality, token_counts, token_store
 from tablescout.llm.common import fold, scratch, table
 
 TOKENIZERS = None  # a folder of vocabulary files; by default the installed package of public ones
@@ -23,6 +23,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
@@ -66,13 +74,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op4_nearest_neighbours, op5_licence_scan, op6_language_id,
+        op1_token_counts, op2_near_duplicates, op3_context_tree, op4_nearest_neighbours, op5_licence_scan, op6_language_id,
         op7_decontamination, op8_token_store, op9_quality, op10_mixing,
     )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
 _NEIGHBOURS = """
 WITH ready AS (
   SELECT vec_id, embedding::DOUBLE[] AS v, list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) AS n
@@ -136,6 +161,7 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 ORACLES = {
+    "op2_near_duplicates": _NEAR_DUPLICATES,
     "op4_nearest_neighbours": _NEIGHBOURS,
     "op5_licence_scan": _licence_sql(),
     "op7_decontamination": _DECONTAMINATION,
