@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tablescout.llm.common import fold, lowered, pieces, separators, staged, text_bytes, word_hashes
 
-DEPTH = 4  # bytes of context
+DEPTH = 5  # bytes of context
 BLOCK_BYTES = 32 << 20
 _GAPS = separators(b" \n")
 _LOWER = bytes(lowered(np.arange(256, dtype=np.uint8)))
