@@ -114,15 +114,13 @@ def scan_benchmark(
     each scans all documents, what it hits is written, and the spans of all parts are joined to the documents.
     """
     wanted = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.where(F.length("text") > 0)
-    parts = max(1, -(-(items.select(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes))
+    items, parts = _parts(benchmark, part_bytes)
     if parts == 1:
         return _scanned(wanted, items, n, lambda batch, hits, found: _summary(batch, hits, found, clean), _schema(clean))
     key = F.sha2("text", 256)
     found = []
     for part in range(parts):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
+        some = items.where(_part_of(parts) == part)
         hits = _scanned(wanted, some, n, _spans, _SPANS).where(F.size("runs") > 0)
         found.append(staged(hits.select("doc_id", key.alias("key"), "runs", "items").distinct(), "benchmark-hits"))
     merged = reduce(DataFrame.unionAll, found).groupBy("doc_id", "key").agg(
@@ -163,7 +161,37 @@ def _summary(batch: pa.RecordBatch, hits: list[np.ndarray], found: list[set[str]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _scanned(documents: DataFrame, items: DataFrame, n: int, out, schema: str) -> DataFrame:
+def without_benchmark(
+    documents: DataFrame, benchmark: DataFrame, n: int = NGRAM, part_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The rows, with all their columns, whose text holds no window of the benchmark; the rest goes whole.
+
+    Edge cases as in `scan_benchmark`.  Of a benchmark in parts, each part scans what the one before has left.
+    """
+    items, parts = _parts(benchmark, part_bytes)
+    schema = documents.schema
+    for part in range(parts):
+        some = items if parts == 1 else items.where(_part_of(parts) == part)
+        documents = _scanned(
+            documents, some, n, lambda batch, hits, _: batch.filter(pa.array([not h.any() for h in hits], pa.bool_())), schema
+        )
+        if part + 1 < parts:
+            documents = staged(documents, "clean-so-far")
+    return documents
+
+
+def _parts(benchmark: DataFrame, part_bytes: int) -> tuple[DataFrame, int]:
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.where(F.length("text") > 0)
+    size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    return items, max(1, -(-size // part_bytes))
+
+
+def _part_of(parts: int):
+    return F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+
+
+def _scanned(documents: DataFrame, items: DataFrame, n: int, out, schema) -> DataFrame:
     """What `out` makes of each batch, its rows' hit words and its rows' items."""
     shared = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in items.collect()])
 

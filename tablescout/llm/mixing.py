@@ -11,7 +11,7 @@ off its target, a document of fitting size makes up for it, twice at most, the o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -86,7 +86,7 @@ def _rounded(p: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np
     return p
 
 
-_ROW = "doc_id long, source string, size long, source_size long, target double, sure long, rank long, node long, p double"
+_ROW = "doc_id long, source string, size long, nth int, source_size long, target double, sure long, rank long, node long, p double"
 _NAMES = [column.split()[0] for column in _ROW.split(", ")]
 
 
@@ -133,8 +133,10 @@ def mix(
     seed: int = 42,
     group: int = GROUP,
     fan_in: int = FAN_IN,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Per row of documents: doc_id, source, size, source_size, target (its source's), copies and taken words.
+    """Per row of documents: doc_id, source, size, source_size, target (its source's), copies and taken words,
+    and the columns to keep.
 
     Null texts have size 0.  Documents of size 0 have no copies and take nothing.  A null source is a source of
     its own; null and repeated doc_ids are rows like others, and rows equal in doc_id, source and size share
@@ -145,23 +147,30 @@ def mix(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
     )
-    return mix_sizes(staged(rows, "sizes"), weights, most, seed, group, fan_in)
+    equal = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
+    mixed = mix_sizes(staged(rows.withColumn("nth", F.row_number().over(equal)), "sizes"), weights, most, seed, group, fan_in)
+    if not keep:
+        return mixed.drop("nth")
+    mine = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        word_count(F.col("text")).alias("size"), *keep,
+    ).withColumn("nth", F.row_number().over(equal))
+    same = reduce(Column.__and__, (mine[c].eqNullSafe(mixed[c]) for c in ("doc_id", "source", "size", "nth")))
+    extra = ["source_size", "target", "copies", "taken"]
+    return mine.join(mixed, same).select(*(mine[c] for c in ("doc_id", "source", "size", *keep)), *(mixed[c] for c in extra))
 
 
 def mix_sizes(rows: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=42, group=GROUP, fan_in=FAN_IN) -> DataFrame:
-    """`mix` for rows (doc_id, source, size)."""
+    """`mix` for rows (doc_id, source, size, nth), nth telling apart rows that are equal else."""
     targets = source_targets(rows, weights, most)
     groups = max(1, -(-rows.count() // group))
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sure = F.when(F.col("size") > 0, F.floor(due + _SURE)).otherwise(0).cast("long")
-    # equal rows would share a hash, so they are told apart by their place among themselves
-    equal = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
-    ranked = rows.withColumn("nth", F.row_number().over(equal))
     mark = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size", "nth")
-    joined = ranked.join(targets, ranked["source"].eqNullSafe(targets["source"]), "inner").drop(targets["source"])
+    joined = rows.join(targets, rows["source"].eqNullSafe(targets["source"]), "inner").drop(targets["source"])
     rated = staged(
         joined.select(
-            "doc_id", "source", "size", "source_size", "target", sure.alias("sure"), mark.alias("rank"),
+            "doc_id", "source", "size", "nth", "source_size", "target", sure.alias("sure"), mark.alias("rank"),
             F.pmod(mark, F.lit(groups)).alias("node"),
             F.when(F.col("size") > 0, F.greatest(due - F.floor(due + _SURE), F.lit(0.0))).otherwise(0.0).alias("p"),
         ),
@@ -182,7 +191,7 @@ def mix_sizes(rows: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=42, group
         rows = staged(_corrected(rows, most), "corrected")
     copies = F.col("sure") + F.col("extra")
     return rows.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "nth", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 

@@ -317,3 +317,16 @@ def _texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
     )
     rows = rows.join(needed, ["node", "mark"], "left_semi").groupBy("node", "mark").agg(F.first("text").alias("text"))
     return rows.select("node", "text")
+
+
+def first_of_each_id(documents: DataFrame) -> DataFrame:
+    """Of rows that share a doc_id, the first by its other columns; rows without doc_id stay.
+
+    Only rows of repeated ids are shuffled whole.
+    """
+    several = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if several.isEmpty():
+        return documents
+    rest = [F.col(c) for c in documents.columns if c != "doc_id"]
+    first = documents.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("first"))
+    return documents.join(several, "doc_id", "left_anti").unionByName(first.select("doc_id", "first.*"))

@@ -8,7 +8,7 @@ use Cholesky factors computed once on the driver from k x k matrices.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,21 +97,25 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ])
 
 
-def document_statistics(documents: DataFrame) -> DataFrame:
-    """(doc_id, features) for each row; null texts count as empty."""
+def document_statistics(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, *keep, features) for each row; null texts count as empty."""
+    names = ["doc_id", *keep, "features"]
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat_bytes(batch.column("text"))
+            data, offsets = flat_bytes(batch.column(batch.num_columns - 1))
             for a, b in pieces(np.diff(offsets), 1 << 20):
                 rows = statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 values = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel())
                 )
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], values], names=["doc_id", "features"])
+                columns = [batch.column(k)[a:b] for k in range(batch.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*columns, values], names=names)
 
-    wanted = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
-    return wanted.mapInArrow(computed, "doc_id long, features array<double>")
+    kept = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *keep)
+    kinds = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes)
+    wanted = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, text_bytes(F.col("text")).alias("statistics of"))
+    return wanted.mapInArrow(computed, f"{kinds}, features array<double>")
 
 
 @dataclass(frozen=True)
@@ -199,17 +203,19 @@ def score(features: DataFrame, model: Discriminant, threshold: float = THRESHOLD
                 names=[*rest, "score", "predicted"],
             )
 
-    kinds = ", ".join(f"{c} {kind}" for c, kind in features.dtypes if c != "features")
+    kinds = ", ".join(f"`{c}` {kind}" for c, kind in features.dtypes if c != "features")
     return features.mapInArrow(scored, f"{kinds}, score double, predicted int")
 
 
-def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of documents: doc_id, score (the posterior of quality 1) and predicted (score >= threshold).
+def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: Sequence[str] = ()) -> DataFrame:
+    """Per row of documents: doc_id, columns to keep, score (the posterior of quality 1), predicted (score >=
+    threshold).
 
     Learns from all documents with one label whose crc32(doc_id as text) mod 4 is not 2.  Null texts count as
     empty and get a score like others.  Null and repeated doc_ids stay, a row for a row, and a null one has no
     label; empty tables give no rows, or scores without features (see `fit`).  Other columns are ignored.
+    Columns to keep are passed by while the statistics are computed anew, so that they need not be shuffled.
     """
     features = staged(document_statistics(documents), "statistics")
     training = features.where(fold(F.col("doc_id"), 4) != 2).join(single_labels(labels), "doc_id")
-    return score(features, fit(training), threshold)
+    return score(document_statistics(documents, keep) if keep else features, fit(training), threshold)

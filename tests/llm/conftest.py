@@ -1,0 +1,13 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from helpers import awkward  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return awkward(spark).cache()
