@@ -40,6 +40,9 @@ MAX_PRECISION = 38
 DEFAULT_SCALE = 4
 MAX_TEXT_LENGTH = 16777216
 
+# Source types of whole numbers that fit 64 bits.
+WHOLE_TYPES = ["bigint", "int", "integer", "smallint", "tinyint"]
+
 # Spark types in the vocabulary of each dialect, for sources that have no information schema.
 SPARK_TYPE_NAMES = {
     "redshift": {
@@ -86,11 +89,16 @@ def target_type(dialect: str, data_type: Column, length: Column, precision: Colu
     return result.otherwise("VARCHAR")
 
 
-def spark_type(target: str) -> T.DataType:
-    """The Spark type a target type is stored as."""
+def spark_type(target: str, source_type: str = "") -> T.DataType:
+    """The Spark type a target type is stored as.
+
+    NUMBER(38,0) holds both the source's integers, which are stored as LONG, and its decimals of that
+    size, which keep all their digits.
+    """
     if target.startswith("NUMBER"):
         precision, scale = (int(part) for part in re.findall(r"\d+", target))
-        return T.LongType() if scale == 0 and precision == MAX_PRECISION else T.DecimalType(precision, scale)
+        whole = scale == 0 and precision == MAX_PRECISION and source_type.lower() in WHOLE_TYPES
+        return T.LongType() if whole else T.DecimalType(precision, scale)
     return {
         "FLOAT": T.DoubleType(),
         "BOOLEAN": T.BooleanType(),

@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Catalog frames hold one row per table, column or relationship.  Anything larger
-# than this reaching the driver is a bug in the caller, so it is refused.
-MAX_CATALOG_ROWS = 1_000_000
-
 
 def local_frame(spark: SparkSession, rows: Iterable[Mapping], schema: T.StructType) -> DataFrame:
     """A DataFrame over driver rows; planned as a local relation, so its size is known."""
@@ -23,9 +19,9 @@ def local_frame(spark: SparkSession, rows: Iterable[Mapping], schema: T.StructTy
     return spark.createDataFrame(table, schema=schema)
 
 
-def catalog_rows(frame: DataFrame, limit: int = MAX_CATALOG_ROWS) -> list[Row]:
-    """Collect a catalog-sized frame, failing loudly when it is larger than ``limit``."""
-    rows = frame.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"refusing to collect more than {limit} catalog rows")
-    return rows
+def catalog_rows(frame: DataFrame) -> list[Row]:
+    """Rows of which there is one for each table or column, to plan by.
+
+    Not for pairs of columns or relationships: those grow with the square of the columns and stay in Spark.
+    """
+    return frame.collect()

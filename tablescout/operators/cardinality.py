@@ -14,9 +14,7 @@ from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.cells import Cell, digested, union_all, unpivoted
 from tablescout.schemas import EDGE_KEY
 
-_EDGES = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("SOURCE_SYSTEM", *EDGE_KEY, "FROM_ID", "TO_ID")]
-)
+_COLUMNS = T.StructType([T.StructField(n, T.StringType()) for n in ("T", "N", "C")])
 
 
 def key_counts(frames: Mapping[str, DataFrame], columns: Mapping[tuple[str, str], str]) -> DataFrame:
@@ -50,38 +48,31 @@ def detect_cardinality(spark: SparkSession, frames: Mapping[str, DataFrame], edg
 
     Every column is counted once however many edges it takes part in.
     """
-    edge_rows = [row.asDict() for row in catalog_rows(edges.orderBy(*EDGE_KEY))]
-    ids: dict[tuple[str, str], str] = {}
-    for row in edge_rows:
-        row["FROM_ID"] = ids.setdefault((row["FROM_TABLE"], row["FROM_COLUMN"]), str(len(ids)))
-        row["TO_ID"] = ids.setdefault((row["TO_TABLE"], row["TO_COLUMN"]), str(len(ids)))
-    local = local_frame(spark, edge_rows, _EDGES)
-    if not ids:
-        no_count = F.lit(None).cast("long")
-        sided = local.withColumns(
-            {f"{side}_{kind}_KEYS": no_count for side in ("FROM", "TO") for kind in ("DISTINCT", "DUPLICATE")}
-        )
+    carried = [n for n in ("SOURCE_SYSTEM",) if n in edges.columns]
+    sides = [(side, F.col(f"{side}_TABLE").alias("T"), F.col(f"{side}_COLUMN").alias("N")) for side in ("FROM", "TO")]
+    columns = union_all(edges.select(t, n) for _, t, n in sides).distinct()
+    known = sorted((r.T, r.N) for r in catalog_rows(columns))  # a row a column; edges stay in Spark
+    ids = {column: str(number) for number, column in enumerate(known)}
+    if "SOURCE_SYSTEM" not in edges.columns:
+        edges = edges.withColumn("SOURCE_SYSTEM", F.lit(None).cast("string"))
+    key = ["SOURCE_SYSTEM", *EDGE_KEY]
+    # One row per edge and side, so the counts are computed and joined once.
+    ends = edges.select(
+        *key, F.inline(F.array(*[F.struct(F.lit(side).alias("SIDE"), t, n) for side, t, n in sides]))
+    )
+    if ids:
+        numbered = local_frame(spark, [{"T": t, "N": n, "C": c} for (t, n), c in ids.items()], _COLUMNS)
+        counted = ends.join(numbered.join(key_counts(frames, ids), "C", "left"), ["T", "N"], "left")
     else:
-        # One row per edge and side, so the counts are computed and joined once.
-        sides = local.select(
-            "SOURCE_SYSTEM",
-            *EDGE_KEY,
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(side).alias("SIDE"), F.col(f"{side}_ID").alias("C")) for side in ("FROM", "TO")]
-                )
-            ),
-        )
-        counted = sides.join(key_counts(frames, ids), "C", "left")
-        sided = counted.groupBy("SOURCE_SYSTEM", *EDGE_KEY).agg(
-            *[
-                F.max(F.when(F.col("SIDE") == side, F.coalesce(f"{kind}_KEYS", F.lit(0)))).alias(f"{side}_{kind}_KEYS")
-                for kind in ("DISTINCT", "DUPLICATE")
-                for side in ("FROM", "TO")
-            ]
-        )
+        counted = ends.withColumns({f"{kind}_KEYS": F.lit(None).cast("long") for kind in ("DISTINCT", "DUPLICATE")})
+    sided = counted.groupBy(*key).agg(
+        *[
+            F.max(F.when(F.col("SIDE") == side, F.coalesce(f"{kind}_KEYS", F.lit(0)))).alias(f"{side}_{kind}_KEYS")
+            for kind in ("DISTINCT", "DUPLICATE")
+            for side in ("FROM", "TO")
+        ]
+    )
     kind = cardinality_type(F.col("FROM_DUPLICATE_KEYS"), F.col("TO_DUPLICATE_KEYS"))
-    carried = [n for n in ("SOURCE_SYSTEM",) if n in edges.columns]
     return sided.select(
         *carried,
         *EDGE_KEY,

@@ -26,6 +26,8 @@ class ColumnPlan:
     source: str
     target: str
     target_type: str
+    # The source's own type name; a whole number without one is stored by the type it is read as.
+    source_type: str = ""
 
 
 def planned_columns(source_columns: DataFrame, dialect: str, suffix: str = "") -> DataFrame:
@@ -48,12 +50,12 @@ def planned_columns(source_columns: DataFrame, dialect: str, suffix: str = "") -
 def column_plan(planned: Sequence[Row]) -> list[ColumnPlan]:
     """The rename-and-cast plan of one table from its collected column metadata."""
     ordered = sorted(planned, key=lambda r: r.SOURCE_ORDINAL_POSITION)
-    return [ColumnPlan(r.SOURCE_COLUMN, r.TARGET_COLUMN, r.TARGET_DATA_TYPE) for r in ordered]
+    return [ColumnPlan(r.SOURCE_COLUMN, r.TARGET_COLUMN, r.TARGET_DATA_TYPE, r.SOURCE_DATA_TYPE or "") for r in ordered]
 
 
-def conformed(column: Column, dtype: str, target: str, strict_boolean: bool = True) -> Column:
+def conformed(column: Column, dtype: str, target: str, strict_boolean: bool = True, source_type: str = "") -> Column:
     """A source value in its target type.  Bad values become NULL, except bad booleans, which fail."""
-    wanted = spark_type(target)
+    wanted = spark_type(target, source_type or dtype)
     if is_nested(dtype) or dtype == "binary":
         return column
     if isinstance(wanted, T.BooleanType):
@@ -83,9 +85,9 @@ def conform(rows: DataFrame, plan: Sequence[ColumnPlan], strict_boolean: bool =
     dtypes = dict(rows.dtypes)
     return rows.select(
         [
-            conformed(rows[f"`{c.source.replace('`', '``')}`"], dtypes[c.source], c.target_type, strict_boolean).alias(
-                c.target
-            )
+            conformed(
+                rows[f"`{c.source.replace('`', '``')}`"], dtypes[c.source], c.target_type, strict_boolean, c.source_type
+            ).alias(c.target)
             for c in plan
         ]
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,11 +29,15 @@ def merge_upsert(target: DataFrame, stage: DataFrame, key: Sequence[str]) -> Dat
     """Target after merging ``stage``: matched rows take the stage's values, the rest is added.
 
     Stage keys must be unique.  Every target row with a matching key is replaced (also repeated
-    ones), rows with a NULL key never match.  A small stage is broadcast by Spark and the target
-    is then not shuffled: the second join only needs the target's keys that occur in the stage.
+    ones).  Rows with a NULL key never match: they are added as they are and skip the joins, where they
+    would meet in one partition.  A small stage is broadcast by Spark and the target is then not
+    shuffled: the second join only needs the target's keys that occur in the stage.
     """
     key = list(key)
     columns = target.columns
+    filled = reduce(Column.__and__, (F.col(name).isNotNull() for name in key))
+    keyless = target.where(~filled).unionByName(stage.where(~filled).select(columns))
+    target, stage = target.where(filled), stage.where(filled)
     replaced = stage.select(*key, F.struct(*columns).alias("_new"))
     kept = (
         target.join(replaced, key, "left")
@@ -45,7 +50,7 @@ def merge_upsert(target: DataFrame, stage: DataFrame, key: Sequence[str]) -> Dat
     )
     matched = target.select(*key).join(stage.select(*key), key, "left_semi").distinct()
     added = stage.select(columns).join(matched, key, "left_anti")
-    return kept.unionByName(added)
+    return kept.unionByName(added).unionByName(keyless)
 
 
 def append_rows(target: DataFrame, delta: DataFrame) -> DataFrame:

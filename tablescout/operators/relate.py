@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablescout.functions.names import name_base
 from tablescout.functions.rules import LABEL_ORDER, confidence_label, confidence_score, label_rank
-from tablescout.functions.values import common_domain, in_domain, ratio
+from tablescout.functions.values import common_domain, in_domain, is_nested, ratio
 from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.cells import Cell, digested, has_column, union_all, unpivoted
 
@@ -24,10 +24,9 @@ PAIR_KEY = ["PARENT_TABLE", "PARENT_COLUMN", "CHILD_TABLE", "CHILD_COLUMN"]
 # Bits used per mask word; the sign bit is left alone.
 WORD_BITS = 63
 
-_PAIRS = T.StructType(
-    [T.StructField("PAIR", T.LongType())]
-    + [T.StructField(n, T.StringType()) for n in (*PAIR_KEY, "SOURCE_SYSTEM", "PROFILE_RUN_ID")]
-    + [T.StructField(n, T.IntegerType()) for n in ("CHILD_ID", "PARENT_ID")]
+_KINDS = T.StructType([T.StructField(n, T.StringType()) for n in ("T", "N", "KIND")])
+_IDS = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("DOMAIN", "T", "N")] + [T.StructField("ID", T.IntegerType())]
 )
 
 
@@ -118,6 +117,26 @@ def _signatures(frames: Mapping[str, DataFrame], domain: str, cells: list[Cell])
     return per_value.groupBy(*names).agg(F.count(F.lit(1)).alias("N")).select(F.array(*names).alias("WORDS"), "N")
 
 
+def _readable(frames: Mapping[str, DataFrame], pairs: DataFrame) -> list[tuple[str, str]]:
+    """The distinct columns of pairs that can be read."""
+    sides = union_all(
+        pairs.select(F.col(f"{side}_TABLE").alias("T"), F.col(f"{side}_COLUMN").alias("N")) for side in ("PARENT", "CHILD")
+    )
+    return [(r.T, r.N) for r in sorted(catalog_rows(sides.distinct()), key=str) if has_column(frames, r.T, r.N)]
+
+
+def _kind(dtype: str) -> str:
+    """Columns of one kind are compared typed; nested ones have none and are compared as text."""
+    return "" if is_nested(dtype) else common_domain(dtype, dtype)
+
+
+def _named(pairs: DataFrame, columns: DataFrame, what: str, side: str) -> DataFrame:
+    """Pairs with what is known of the column on one side; pairs of other columns go."""
+    names = {"T": f"{side}_TABLE", "N": f"{side}_COLUMN", what: f"{side}_{what}"}
+    mine = columns.withColumnsRenamed(names)
+    return pairs.join(mine, [c for c in mine.columns if c != f"{side}_{what}"])
+
+
 def value_overlap(
     spark: SparkSession, frames: Mapping[str, DataFrame], pairs: DataFrame, min_label: str = "WEAK"
 ) -> DataFrame:
@@ -125,47 +144,51 @@ def value_overlap(
 
     Values compare as text; columns of one kind are compared typed, which is the same and cheaper.
     """
-    pair_rows = [
-        row.asDict()
-        for row in catalog_rows(pairs.orderBy(*PAIR_KEY))
-        if all(has_column(frames, row[f"{side}_TABLE"], row[f"{side}_COLUMN"]) for side in ("PARENT", "CHILD"))
-    ]
     dtypes = {table: dict(frame.dtypes) for table, frame in frames.items()}
-    ids: dict[str, dict[tuple[str, str], int]] = {}
-    for number, row in enumerate(pair_rows):
-        parent = (row["PARENT_TABLE"], row["PARENT_COLUMN"])
-        child = (row["CHILD_TABLE"], row["CHILD_COLUMN"])
-        domain = common_domain(dtypes[parent[0]][parent[1]], dtypes[child[0]][child[1]])
-        known = ids.setdefault(domain, {})
-        row["PAIR"], row["DOMAIN"] = number, domain
-        row["PARENT_ID"] = known.setdefault(parent, len(known))
-        row["CHILD_ID"] = known.setdefault(child, len(known))
+    columns = _readable(frames, pairs)
+    kinds = local_frame(spark, [{"T": t, "N": c, "KIND": _kind(dtypes[t][c])} for t, c in columns], _KINDS)
+    same = (F.col("PARENT_KIND") == F.col("CHILD_KIND")) & (F.col("PARENT_KIND") != "")
+    placed = _named(_named(pairs, kinds, "KIND", "PARENT"), kinds, "KIND", "CHILD").withColumn(
+        "DOMAIN", F.when(same, F.col("PARENT_KIND")).otherwise("string")
+    )
+    # Columns by the domain they are compared in come to the driver, pairs do not.
+    used = union_all(
+        placed.select("DOMAIN", F.col(f"{side}_TABLE").alias("T"), F.col(f"{side}_COLUMN").alias("N"),
+                      F.lit(side == "CHILD").alias("CHILD"))
+        for side in ("PARENT", "CHILD")
+    )
+    used = used.groupBy("DOMAIN", "T", "N").agg(F.max("CHILD").alias("CHILD"))
+    ids: dict[str, list] = {}
+    for row in sorted(catalog_rows(used), key=lambda r: (r.DOMAIN, r.T, r.N)):
+        ids.setdefault(row.DOMAIN, []).append(row)
+    numbered = local_frame(
+        spark,
+        [{"DOMAIN": d, "T": r.T, "N": r.N, "ID": i} for d, known in ids.items() for i, r in enumerate(known)],
+        _IDS,
+    )
+    identified = _named(_named(placed, numbered, "ID", "PARENT"), numbered, "ID", "CHILD")
 
+    compared = identified.select("DOMAIN", "PARENT_ID", "CHILD_ID").distinct()
     counted = []
     for domain, known in ids.items():
-        cells = [
-            Cell(str(i), t, in_domain(c, dtypes[t][c], domain)) for (t, c), i in known.items()
-        ]
-        members = [row for row in pair_rows if row["DOMAIN"] == domain]
-        children = sorted({row["CHILD_ID"] for row in members})
+        cells = [Cell(str(i), r.T, in_domain(r.N, dtypes[r.T][r.N], domain)) for i, r in enumerate(known)]
+        children = [i for i, r in enumerate(known) if r.CHILD]
         present = F.filter(F.array(*[F.lit(i) for i in children]), _has)
-        local = local_frame(spark, members, _PAIRS).select("PAIR", "CHILD_ID", "PARENT_ID")
         counted.append(
             _signatures(frames, domain, cells)
             .withColumn("CHILD_ID", F.explode(present))
-            .join(local, "CHILD_ID")
-            .groupBy("PAIR")
+            .join(compared.where(F.col("DOMAIN") == domain), "CHILD_ID")
+            .groupBy("DOMAIN", "PARENT_ID", "CHILD_ID")
             .agg(
                 F.sum("N").alias("CHILD_NON_NULL_COUNT"),
                 F.sum(F.when(_has(F.col("PARENT_ID")), F.col("N")).otherwise(F.lit(0).cast("long"))).alias("MATCH_COUNT"),
             )
         )
-    all_pairs = local_frame(spark, pair_rows, _PAIRS).drop("CHILD_ID", "PARENT_ID")
     carried = [n for n in ("SOURCE_SYSTEM", "PROFILE_RUN_ID") if n in pairs.columns]
     if counted:
-        result = all_pairs.join(union_all(counted), "PAIR", "left")
+        result = identified.join(union_all(counted), ["DOMAIN", "PARENT_ID", "CHILD_ID"], "left")
     else:
-        result = all_pairs.withColumns({n: F.lit(0) for n in ("CHILD_NON_NULL_COUNT", "MATCH_COUNT")})
+        result = identified.withColumns({n: F.lit(0) for n in ("CHILD_NON_NULL_COUNT", "MATCH_COUNT")})
     zero = F.lit(0).cast("long")
     result = result.select(
         *carried,

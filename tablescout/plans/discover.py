@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ def stamped_profile(profile: DataFrame, place: Place, run_id: str) -> DataFrame:
 
 
 def held(frame: DataFrame) -> DataFrame:
-    """A catalog-sized frame evaluated once: later steps reuse its rows instead of its plan."""
+    """A frame of a row per column evaluated once: later steps reuse its rows instead of its plan."""
     return local_frame(frame.sparkSession, [r.asDict() for r in catalog_rows(frame)], frame.schema)
 
 
@@ -57,7 +58,10 @@ def store_profiles(
     spark: SparkSession, frames: Mapping[str, DataFrame], place: Place, store: TableStore, run_id: str,
     tables_per_job: int = 50,
 ) -> None:
-    """Profile tables a group per job; when a group fails, its tables one by one, skipping bad ones."""
+    """Profile tables a group per job; when a group fails, its tables one by one.
+
+    A table that fails alone as well is stored in PROFILE_FAILURES with its error, and the others go on.
+    """
 
     def profile(group: Mapping[str, DataFrame]) -> None:
         store.append("COLUMN_PROFILE", stamped_profile(profile_tables(spark, group), place, run_id))
@@ -71,6 +75,11 @@ def store_profiles(
                     profile({table: frame})
                 except Exception as error:
                     warnings.warn(f"{table} could not be profiled: {error}", stacklevel=2)
+                    store.append_rows("PROFILE_FAILURES", [{
+                        "PROFILE_RUN_ID": run_id, "SOURCE_SYSTEM": place.source_system, "TARGET_DATABASE": place.database,
+                        "TARGET_SCHEMA": place.schema, "TARGET_TABLE": table, "ERROR_MESSAGE": str(error),
+                        "FAILED_AT": datetime.now(UTC),
+                    }])
 
 
 def discover(

@@ -9,7 +9,7 @@ from datetime import UTC, datetime
 from time import perf_counter
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,9 @@ COUNT_CHECK = "SOURCE_LOADED_TARGET_ROW_COUNT_MATCH"
 LOAD_ERROR = "TABLE_LOAD_ERROR"
 ERROR_TEXT_LENGTH = 500
 
+# Folders that the buckets of a version may be spread over before a merge writes it whole.
+MOST_PARTS = 32
+
 
 @dataclass(frozen=True)
 class IncrementalTable:
@@ -111,7 +114,8 @@ def laid_out(rows: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
     """Rows of a keyed table carry their bucket and are gathered by it before the write."""
     if not key:
         return rows
-    hashed = [c for c in rows.columns if c != "_INGESTED_AT"]
+    # maps and variants cannot be hashed
+    hashed = [c for c, kind in rows.dtypes if c != "_INGESTED_AT" and "map<" not in kind and "variant" not in kind]
     return gathered(rows.withColumn(BUCKET, key_bucket(hashed, key, buckets)))
 
 
@@ -133,18 +137,24 @@ def key_columns(plan: Sequence[ColumnPlan], names: Sequence[str]) -> tuple[str,
     return tuple(found[name.lower()] for name in names)
 
 
+def row_count_match() -> Column:
+    """Whether the counts of a fact agree; never for a failed table, always for a planned one."""
+    counts = [F.col(n) for n in ("SOURCE_ROWS", "LOADED_ROWS", "TARGET_ROWS")]
+    failed, planned = F.col("ERROR").isNotNull(), F.col("PLANNED_ROWS").isNotNull()
+    return F.when(failed, False).when(planned, True).otherwise(counts_match(F.col("STRATEGY"), *counts))
+
+
 def table_catalog(facts: DataFrame, mode: str) -> DataFrame:
     """Table catalog rows of a run."""
     failed, planned = F.col("ERROR").isNotNull(), F.col("PLANNED_ROWS").isNotNull()
     counts = [F.col(n) for n in ("SOURCE_ROWS", "LOADED_ROWS", "TARGET_ROWS")]
-    matched = F.when(failed, False).when(planned, True).otherwise(counts_match(F.col("STRATEGY"), *counts))
     status = load_status(F.lit(mode), F.col("STRATEGY"), F.col("MERGED"), counts[0])
     return facts.select(
         "SOURCE_TABLE",
         "TARGET_TABLE",
         F.col("SOURCE_ROWS").alias("SOURCE_ROW_COUNT"),
         F.col("TARGET_ROWS").alias("TARGET_ROW_COUNT"),
-        matched.alias("ROW_COUNT_MATCH"),
+        row_count_match().alias("ROW_COUNT_MATCH"),
         F.when(failed, "FAILED").when(planned, "PLANNED").otherwise(status).alias("LOAD_STATUS"),
         "LOAD_SECONDS",
         "LOADED_AT",
@@ -159,11 +169,10 @@ def validation_results(facts: DataFrame, mode: str) -> DataFrame:
         "incremental_plan_only=true; source_total=%d; planned_rows_not_loaded=%d",
         F.col("SOURCE_ROWS"), F.col("PLANNED_ROWS"),
     )
-    checked = table_catalog(facts, mode).select("SOURCE_TABLE", "ROW_COUNT_MATCH")
-    return facts.join(checked, "SOURCE_TABLE").select(
+    return facts.select(
         "TARGET_TABLE",
         F.when(failed, LOAD_ERROR).otherwise(COUNT_CHECK).alias("VALIDATION_NAME"),
-        F.when(F.col("ROW_COUNT_MATCH"), "PASS").otherwise("FAIL").alias("VALIDATION_STATUS"),
+        F.when(row_count_match(), "PASS").otherwise("FAIL").alias("VALIDATION_STATUS"),
         F.when(failed, F.left(F.col("ERROR"), F.lit(ERROR_TEXT_LENGTH)))
         .when(planned, plan_text)
         .otherwise(counts_text(F.col("STRATEGY"), *counts))
@@ -195,6 +204,9 @@ class Ingestion:
         }
         self._versions: dict[str, Version] = {}
         self._watermarks: dict[tuple, Watermark] = {}
+        # What the loads of this run have written, made current together at its end.
+        self._written: dict[str, Version] = {}
+        self._new_watermarks: list[dict] = []
 
     # Run life-cycle
 
@@ -204,6 +216,9 @@ class Ingestion:
         self.store.append_rows("INGESTION_RUN_LOG", [{**base, "STATUS": "RUNNING"}])
         try:
             outcomes = self._load_all()
+            # Versions first: a watermark must not run ahead of the rows it stands for.
+            self.store.commit(self._written)
+            self.store.append_rows("INGESTION_WATERMARKS", self._new_watermarks)
             self._write_catalogs(outcomes)
             failed = sum(fact["ERROR"] is not None for fact, _ in outcomes)
             self._finish(base, "PARTIAL_SUCCESS" if failed else "SUCCESS", f"{failed} table(s) failed" if failed else None)
@@ -282,7 +297,7 @@ class Ingestion:
             **dict(zip(WATERMARK_KEY, key, strict=True)), "WATERMARK_VALUE": newest, "WATERMARK_TYPE": dtype,
             "LAST_SUCCESSFUL_RUN_ID": self.run_id, "UPDATED_AT": datetime.now(UTC),
         }
-        self.store.append_rows("INGESTION_WATERMARKS", [row])
+        self._new_watermarks.append(row)
 
     # Loading
 
@@ -290,7 +305,8 @@ class Ingestion:
         options, source = self.options, self.source
         config = options.incremental.get(table)
         mark_key = config and self._watermark_key(table, target_table, config.watermark_column)
-        since = self._watermarks.get(mark_key) if config else None
+        # A watermark without a target is of no use: the table is loaded in full.
+        since = self._watermarks.get(mark_key) if config and target_table in self._versions else None
         strategy = load_strategy(options.mode, config, since)
         current = self._versions.get(target_table)
         fact = {"STRATEGY": strategy, "SOURCE_ROWS": source.row_count(table), "MERGED": False}
@@ -308,9 +324,9 @@ class Ingestion:
         watermark = key_columns(plan, [config.watermark_column])[0] if config else None
         key = key_columns(plan, config.primary_key) if config else ()
         fact["MERGED"] = strategy != FULL and bool(key)
-        if strategy != FULL and current:
+        if strategy != FULL:
             check_schema(conformed, current)
-        if strategy == FULL or current is None:
+        if strategy == FULL:
             current, loaded, newest = self._new_version(conformed, target_table, key, watermark)
         elif fact["MERGED"]:
             current, loaded, newest = self._merge(
@@ -318,44 +334,45 @@ class Ingestion:
             )
         else:
             loaded, newest = self._write(
-                laid_out(conformed, current.key, current.buckets), watermark, "append", target_table, current.name
+                laid_out(conformed, current.key, current.buckets), watermark, target_table, self.run_id
             )
+            current = current.with_part(self.run_id)
+        present = self.store.open(target_table, current).count()
+        self._written[target_table] = current
         if newest is not None:
             self._store_watermark(mark_key, newest, dict(rows.dtypes)[config.watermark_column])
-        return {**fact, "LOADED_ROWS": loaded, "TARGET_ROWS": self.store.open(target_table, current).count()}
+        return {**fact, "LOADED_ROWS": loaded, "TARGET_ROWS": present}
 
-    def _write(self, rows: DataFrame, watermark: str | None, mode: str, table: str,
-               version: str) -> tuple[int, str | None]:
-        path = self.store.path(table, version)
+    def _write(self, rows: DataFrame, watermark: str | None, table: str, folder: str) -> tuple[int, str | None]:
+        path = self.store.path(table, folder)
 
         def write(observed: DataFrame) -> None:
             writer = observed.write.partitionBy(BUCKET) if BUCKET in observed.columns else observed.write
-            writer.mode(mode).parquet(path)
+            writer.mode("overwrite").parquet(path)
 
         return observed_write(rows, watermark, write)
 
     def _new_version(self, rows: DataFrame, target_table: str, key: tuple[str, ...],
                      watermark: str | None) -> tuple[Version, int, str | None]:
-        """Write rows as a version of their own and then make it current."""
+        """Write rows as a version of their own."""
         placed = laid_out(rows, key, self.options.merge_buckets)
         version = Version(self.run_id, placed.schema, key, self.options.merge_buckets if key else 0)
-        loaded, newest = self._write(placed, watermark, "overwrite", target_table, version.name)
-        self.store.commit(target_table, version)
+        loaded, newest = self._write(placed, watermark, target_table, version.name)
         return version, loaded, newest
 
     def _merge(self, rows: DataFrame, target_table: str, current: Version, key: tuple[str, ...], watermark: str,
                on_duplicate: str) -> tuple[Version, int, str | None]:
-        """Stage the delta, then rewrite the buckets of the current version it touches.
+        """Stage the delta, then write the buckets it touches anew, in a folder of their own.
 
         Staging reads the source once; the duplicate check, the touched buckets and the merge read
-        the staged files.  The rewrite uses dynamic partition overwrite: new files replace a bucket
-        only when the whole job commits, and repeating a merge gives the same rows.  A table that is
-        not laid out by this key is rewritten whole, as a new version.
+        the staged files.  Nothing that readers see is overwritten: the new version reads the touched
+        buckets from the new folder and the others from where they were.  A table that is not laid out
+        by this key, or is spread over MOST_PARTS folders, is rewritten whole.
         """
-        in_place = current.key == key
+        in_place = current.key == key and len(current.all_parts()) < MOST_PARTS
         placed = laid_out(rows, key, current.buckets if in_place else self.options.merge_buckets)
         stage_table = f"{target_table}_STG"
-        loaded, newest = self._write(placed, watermark, "overwrite", stage_table, self.run_id)
+        loaded, newest = self._write(placed, watermark, stage_table, self.run_id)
         if loaded == 0:
             return current, loaded, newest
         stage = self.store.open(stage_table, Version(self.run_id, placed.schema))
@@ -372,14 +389,9 @@ class Ingestion:
         # At most one row per bucket comes to the driver; the list prunes the scan to these buckets.
         touched = [row[0] for row in stage.select(BUCKET).distinct().collect()]
         target = target.where(F.col(BUCKET).isin(touched))
-        (
-            gathered(merge_upsert(target, stage.select(target.columns), key))
-            .write.partitionBy(BUCKET)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.store.path(target_table, current.name))
-        )
-        return current, loaded, newest
+        merged = gathered(merge_upsert(target, stage.select(target.columns), key))
+        merged.write.partitionBy(BUCKET).mode("overwrite").parquet(self.store.path(target_table, self.run_id))
+        return current.with_part(self.run_id, touched), loaded, newest
 
 
 def ingest(spark: SparkSession, source: Source, target: Target, store: TableStore,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,13 +259,36 @@ def build_view(frames: Mapping[str, DataFrame], asset: Mapping, mode: str = "fla
     raise ValueError(f"no view is built for {kind}")
 
 
-def register_views(frames: Mapping[str, DataFrame], assets: list[Mapping], mode: str = "flat",
-                   naming: Naming = Naming()) -> list[str]:
-    """Temp views for the given asset rows, later ones replacing earlier of the same name."""
-    made = []
-    for asset in assets:
-        if asset["asset_type"] == "skipped_relationships":
-            continue
-        build_view(frames, asset, mode, naming).createOrReplaceTempView(asset["view_name"])
-        made.append(asset["view_name"])
-    return made
+def decided_views(
+    frames: Mapping[str, DataFrame], decisions: Iterable[Mapping], mode: str = "flat", naming: Naming = Naming()
+) -> list[tuple[str, str, DataFrame]]:
+    """(view name, kind, rows) of the views that decision rows of ``view_decisions`` name.
+
+    The mode says whether joined views are flat or carry the child row as a record; each has its own
+    decision.  Bridge and summary views are made where ``link_generate`` says so.
+    """
+    if mode not in ("flat", "object"):
+        raise ValueError(f"unknown view mode: {mode}")
+    views = []
+    for row in decisions:
+        edge = Edge(row["from_table"], row["from_column"], row["to_table"], row["to_column"], row["cardinality_type"])
+        parent, child = frames[edge.from_table], frames[edge.to_table]
+        if row[f"{mode}_generate"]:
+            joined = flat_view(parent, child, edge, naming) if mode == "flat" else object_view(parent, child, edge)
+            views.append((row["relationship_view_name"], mode, joined))
+        if row["link_generate"]:
+            views.append((row["bridge_view_name"], "bridge", bridge_view(parent, child, edge)))
+            views.append((row["summary_view_name"], "summary", summary_view(parent, child, edge)))
+    return views
+
+
+def register_views(frames: Mapping[str, DataFrame], entities: Iterable[Mapping], decisions: Iterable[Mapping],
+                   mode: str = "flat", naming: Naming = Naming()) -> list[str]:
+    """Temp views of entities and of what the decisions name, later ones replacing earlier of the same name."""
+    views = [
+        (e["view_name"], entity_view(frames[e["source_table"]], e["entity_name"], e["source_table"])) for e in entities
+    ]
+    views += [(name, rows) for name, _, rows in decided_views(frames, decisions, mode, naming)]
+    for name, rows in views:
+        rows.createOrReplaceTempView(name)
+    return [name for name, _ in views]

@@ -83,6 +83,12 @@ COLUMN_PROFILE = _schema(
     ("timestamp", "PROFILED_AT"),
 )
 
+# Tables that a discovery run could not profile, with the error.
+PROFILE_FAILURES = _schema(
+    ("string", "PROFILE_RUN_ID SOURCE_SYSTEM TARGET_DATABASE TARGET_SCHEMA TARGET_TABLE ERROR_MESSAGE"),
+    ("timestamp", "FAILED_AT"),
+)
+
 KEY_CANDIDATES = _schema(
     ("string", "PROFILE_RUN_ID SOURCE_SYSTEM TARGET_DATABASE TARGET_SCHEMA TARGET_TABLE TARGET_COLUMN"),
     ("string", "DATA_TYPE CANDIDATE_TYPE"),

@@ -74,7 +74,8 @@ def test_target_types(spark, dialect, vectors):
 
 
 def test_spark_types():
-    assert spark_type("NUMBER(38,0)") == T.LongType()
+    assert spark_type("NUMBER(38,0)", "bigint") == T.LongType()
+    assert spark_type("NUMBER(38,0)", "numeric") == T.DecimalType(38, 0)
     assert spark_type("NUMBER(12,2)") == T.DecimalType(12, 2)
     assert spark_type("TIMESTAMP_NTZ") == T.TimestampNTZType()
     assert spark_type("TIMESTAMP_TZ") == T.TimestampType()

@@ -19,6 +19,7 @@ from tablescout.plans.semantic import (
     read_catalog,
     read_model,
     register_views,
+    view_decisions,
     semantic_entities,
     semantic_relationships,
     with_cardinality,
@@ -139,10 +140,13 @@ def test_discovery_stores_every_step(spark, sf_dir):
 
     entities = semantic_entities(store.read("ENTITY_MAP"), store.read("KEY_CANDIDATES"), SYSTEM, NAMING)
     classified = with_cardinality(semantic_relationships(graph, SYSTEM), cards)
-    assets = [r.asDict() for r in catalog_assets(entities, classified, SYSTEM, NAMING).collect()]
-    names = register_views(frames, assets, naming=NAMING)
-    summary = spark.table("V_SUMMARY_CUSTOMER_TO_ORDERS_BY_CUSTOMER_ID_TD")
-    assert "V_CUSTOMER_TD" in names and summary.agg(F.sum("JOINED_ROW_COUNT")).head()[0] == frames["ORDERS_TD"].count()
+    decisions = view_decisions(classified, SYSTEM, NAMING).collect()
+    names = register_views(frames, entities.collect(), decisions, "object", NAMING)
+    joined = spark.table("V_CUSTOMER_WITH_ORDERS_TD")
+    assert "V_CUSTOMER_TD" in names and joined.where("_SEMANTIC_CHILD_RECORD.ORDER_ID is not null").count() == frames["ORDERS_TD"].count()
+    assert not [name for name in names if "SUMMARY" in name or "BRIDGE" in name]
+    flat = register_views(frames, [], decisions, "flat", NAMING)
+    assert flat == [d.relationship_view_name for d in decisions if d.flat_generate]
     assert spark.table("V_CUSTOMER_TD").select("_SEMANTIC_ENTITY_NAME").distinct().collect() == [("CUSTOMER",)]
 
 
