@@ -21,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablescout.llm.common import fold, lowered, pieces, separators, staged, text_bytes, word_hashes
@@ -57,7 +57,7 @@ def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.nd
 class _Counts:
     """Distinct keys with added counts, merged from time to time."""
 
-    def __init__(self, most: int = 1 << 22):
+    def __init__(self, most: int = 1 << 20):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size, self.most = 0, most
 
@@ -144,29 +144,81 @@ def _ln_kt(zeros: Column, ones: Column) -> Column:
     return _ln_gamma(zeros + 0.5) + _ln_gamma(ones + 0.5) - math.log(math.pi) - _ln_gamma(zeros + ones + 1)
 
 
-def _bits(key: Column) -> Column:
-    """The eight decisions of a gram's last byte: (place, bit), where a place is context * 256 + decision."""
-    byte, context = key.bitwiseAND(255), F.shiftright(key, 8)
-    return F.explode(F.array(*(
-        F.struct(
-            (context * 256 + (1 << k) + F.shiftright(byte, 8 - k)).alias("place"),
-            F.shiftright(byte, 7 - k).bitwiseAND(1).alias("bit"),
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions of each gram's last byte: place (context * 256 + decision) and bit, a column each."""
+    byte, context = keys & 255, (keys >> 8) << 8
+    steps = range(8)
+    return (
+        np.column_stack([context + (1 << k) + (byte >> (8 - k)) for k in steps]),
+        np.column_stack([byte >> (7 - k) & 1 for k in steps]),
+    )
+
+
+def _by_context(function):
+    """Batches of rows sorted by context, cut so that no context is parted between two calls."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            context = kept.column("context").to_numpy()
+            done = int(np.searchsorted(context, context[-1]))
+            if done:
+                yield function(kept.slice(0, done))
+                kept = kept.slice(done)
+        if kept is not None:
+            yield function(kept)
+
+    return whole
+
+
+def _deepest(counts: DataFrame) -> DataFrame:
+    """(place, zeros, ones) of all decisions at full depth, from rows (key, n)."""
+
+    def summed(rows: pa.Table) -> pa.RecordBatch:
+        places, bits = _places(rows.column("key").to_numpy())
+        n = np.repeat(rows.column("n").to_numpy(), 8).astype(float)
+        found, at = np.unique(places.ravel(), return_inverse=True)
+        ones = np.bincount(at, n * bits.ravel(), len(found))
+        zeros = np.bincount(at, n, len(found)) - ones
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found), pa.array(zeros.astype(np.int64)), pa.array(ones.astype(np.int64))],
+            names=["place", "zeros", "ones"],
         )
-        for k in range(8)
-    )))
+
+    rows = counts.withColumn("context", F.shiftright("key", 8)).repartition("context").sortWithinPartitions("context")
+    return rows.mapInArrow(_by_context(summed), "place long, zeros long, ones long")
+
+
+def _gram_values(counts: DataFrame, ones: DataFrame) -> DataFrame:
+    """(key, value): the log10 probabilities of the eight bits of each gram added up, from rows (place, p)."""
+
+    def added(rows: pa.Table) -> pa.RecordBatch:
+        number, p = rows.column("number").to_numpy(), rows.column("p").to_numpy(zero_copy_only=False)
+        is_gram = np.isnan(p)
+        order = np.argsort(number[~is_gram])
+        places, chance = number[~is_gram][order], p[~is_gram][order]
+        keys = number[is_gram]
+        wanted, bits = _places(keys)
+        found = chance[np.searchsorted(places, wanted)]
+        value = np.log10(np.where(bits == 1, found, 1 - found)).sum(axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(value)], names=["key", "value"])
+
+    grams = counts.select(F.col("key").alias("number"), F.lit(float("nan")).alias("p"))
+    rows = grams.unionAll(ones).withColumn("context", F.shiftright("number", 8))
+    return rows.repartition("context").sortWithinPartitions("context").mapInArrow(_by_context(added), "key long, value double")
 
 
 def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(key, value): log10 probability of each gram's byte in its context, from rows (key, n).
+    """(key, value): log10 probability of each gram's byte in its context, from rows (key, n) of distinct keys.
 
     Grams with n = 0 are scored by what the tree knows of shorter contexts.
     """
-    zero, one = F.sum(F.when(F.col("d.bit") == 0, F.col("n")).otherwise(0)), F.sum(F.when(F.col("d.bit") == 1, F.col("n")).otherwise(0))
-    level = counts.select(_bits(F.col("key")).alias("d"), "n").groupBy(F.col("d.place").alias("place")).agg(
-        zero.alias("zeros"), one.alias("ones")
-    )
     kt = _ln_kt(F.col("zeros"), F.col("ones"))
-    levels = [staged(level.select("place", "zeros", "ones", kt.alias("own"), kt.alias("weighted")), f"context-{depth}")]
+    levels = [staged(_deepest(counts).withColumns({"own": kt, "weighted": kt}), f"context-{depth}")]
     for d in range(depth - 1, -1, -1):
         above = levels[-1].groupBy(F.col("place").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("place")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
@@ -191,15 +243,7 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
             "place", (F.col("so_far") + F.col("left") * stop * F.col("estimate")).alias("so_far"),
             (F.col("left") * (1 - stop)).alias("left"),
         )
-    ones = mixed.select("place", F.col("so_far").alias("p"))
-    chosen = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
-    return (
-        counts.select("key", _bits(F.col("key")).alias("d"))
-        .select("key", "d.place", "d.bit")
-        .join(ones, "place")
-        .groupBy("key")
-        .agg(F.sum(F.log10(chosen)).alias("value"))
-    )
+    return _gram_values(counts, mixed.select(F.col("place").alias("number"), F.col("so_far").alias("p")))
 
 
 def _scored(documents: DataFrame, slices: DataFrame, depth: int, tokens: int, known: int) -> DataFrame:
@@ -265,14 +309,18 @@ def score_documents(documents: DataFrame, depth: int = DEPTH, block_bytes: int =
     blocks = max(1, -(-size // block_bytes))
     # rows of a repeated id are spread by their texts
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int"))
-    counted = staged(_counted(rows, depth), "block-counts")
-    sums = staged(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    total = sums.where(F.col("kind") != _GRAM).agg(F.sum("n"), F.sum((F.col("n") > 0).cast("long"))).first()
-    values = gram_scores(sums.where(F.col("kind") == _GRAM).select("key", "n"), depth).select(
-        F.lit(_GRAM).alias("kind"), "key", "value"
-    )
+    # One shuffle by key both adds up the blocks' counts and gives them back to each block.
+    of_key = Window.partitionBy("kind", "key")
+    totals = _counted(rows, depth).withColumns({
+        "total": F.sum("n").over(of_key), "first": F.row_number().over(of_key.orderBy("block")) == 1,
+    })
+    totals = staged(totals.drop("n"), "totals")
+    distinct = totals.where("first")
+    known = distinct.where(F.col("kind") != _GRAM).agg(F.sum("total"), F.sum((F.col("total") > 0).cast("long"))).first()
     values = staged(
-        values.unionAll(sums.where(F.col("kind") != _GRAM).select("kind", "key", F.col("n").cast("double"))), "values"
+        gram_scores(distinct.where(F.col("kind") == _GRAM).select("key", F.col("total").alias("n")), depth), "gram-values"
     )
-    slices = counted.select("block", "kind", "key").join(values, ["kind", "key"])
-    return _scored(rows, slices, depth, int(total[0] or 0), int(total[1] or 0))
+    grams_of = totals.where(F.col("kind") == _GRAM).select("block", "kind", "key").join(values, "key")
+    words_of = totals.where(F.col("kind") != _GRAM).select("block", "kind", "key", F.col("total").cast("double").alias("value"))
+    slices = words_of.unionByName(grams_of)
+    return _scored(rows, slices, depth, int(known[0] or 0), int(known[1] or 0))
