@@ -56,7 +56,7 @@ SPELLINGS = [
 ]
 
 COPYRIGHT_LINE = r"(^|\n)[ \t\x0B\f\r]*(copyright|\(c\)|©)[ \t\x0B\f\r]+(\(c\)|©|[0-9]|\[|<)[^\n]*"
-PUNCTUATION = r"[!-/:-@\[-`{-~\x00-\x08\x0B-\x1F\x7F ]+"
+PUNCTUATION = r"[!-/:-@\[-`{-~\x00-\x09\x0B-\x1F\x7F ]+"
 
 
 def normalised(text: Column) -> Column:
@@ -67,7 +67,7 @@ def normalised(text: Column) -> Column:
         out = F.replace(out, F.lit(one), F.lit(other))
     out = F.regexp_replace(out, PUNCTUATION, " ")
     out = F.regexp_replace(out, r" ?\n[\n ]*", "\n")
-    return F.regexp_replace(F.concat(out, F.lit("\n")), r"^[\n ]+| ?\n\z", "")
+    return F.regexp_replace(out, r"^[\n ]+|[\n ]+\z", "")
 
 
 def _digest(text: Column) -> Column:

@@ -120,7 +120,7 @@ def _licence_sql() -> str:
             out = f"replace({out}, {text(one)}, {text(other)})"
         out = f"regexp_replace({out}, {text(licences.PUNCTUATION)}, ' ', 'g')"
         out = f"regexp_replace({out}, {text(r' ?\n[\n ]*')}, chr(10), 'g')"
-        return f"regexp_replace({out} || chr(10), {text(r'^[\n ]+| ?\n\z')}, '', 'g')"
+        return f"regexp_replace({out}, {text(r'^[\n ]+|[\n ]+\z')}, '', 'g')"
 
     known = ", ".join(f"({text(i)}, {text(t)})" for i, t in licences.KNOWN)
     return f"""

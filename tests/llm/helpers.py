@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -48,6 +49,11 @@ def awkward(spark):
     return frame.withColumns({name: F.lit("x") for name in clashing})
 
 
+@pytest.fixture(scope="module")
+def documents(spark):
+    return awkward(spark)
+
+
 def empty(spark, schema: str = DOCUMENTS):
     return spark.createDataFrame([], schema)
 

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import DOCUMENTS, awkward_rows, duplicate_components, empty, prose, shingles
+from helpers import DOCUMENTS, awkward_rows, duplicate_components, empty, prose, shingles, documents  # noqa: F401
 
 from tablescout.llm.near_duplicates import (
     circulant_signatures, components, first_of_each_id, least_agreement, near_duplicates,

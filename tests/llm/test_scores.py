@@ -4,7 +4,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import DOCUMENTS, awkward_rows, empty, fold, prose, words
+from helpers import DOCUMENTS, awkward_rows, empty, fold, prose, words, documents  # noqa: F401
 
 from tablescout.llm import language, quality
 from tablescout.llm.context_tree import score_documents

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from helpers import DOCUMENTS, UPPER, awkward_rows, empty, prose, words
+from helpers import DOCUMENTS, UPPER, awkward_rows, empty, prose, words, documents  # noqa: F401
 
 from tablescout.llm import decontaminate, licences, mixing
 from tablescout.llm.neighbours import nearest
@@ -25,7 +25,8 @@ def vectors(count=400, width=8):
 
 
 def brute_nearest(rows, k, queries):
-    good = [(i, np.array(v, float)) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(v := np.array(v, float)).all() and v.any()]
+    good = [(i, np.array(v, float)) for i, v, _ in rows if i is not None and v and None not in v]
+    good = [(i, v) for i, v in good if np.isfinite(v).all() and v.any()]
     out = []
     for q, x in good:
         if q in queries:
@@ -62,7 +63,7 @@ def plain_normalised(text):
     for one, other in licences.SPELLINGS:
         out = out.replace(one, other)
     out = re.sub(r" ?\n[\n ]*", "\n", re.sub(licences.PUNCTUATION, " ", out))
-    return re.sub(r"^[\n ]+| ?\n\Z", "", out + "\n")
+    return re.sub(r"^[\n ]+|[\n ]+\Z", "", out)
 
 
 def test_licences(spark):

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from helpers import awkward_rows, empty, prose
+from helpers import awkward_rows, empty, prose, documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from tablescout.llm import token_store
