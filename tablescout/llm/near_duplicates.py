@@ -5,10 +5,10 @@ give all coordinates.  Four coordinates make a band; texts that share a band are
 are compared on their full shingle sets.  The number of bands follows from the wanted similarity, so that a
 link is missed with a probability of MISSED at most.
 
-What keeps hot groups apart: texts with one shingle set are one class from the start; a bucket of many classes
-is dealt out in pairs of blocks; and of a bucket's pairs only the likeliest for each class are compared at
-first.  Once those have joined most of a group, only pairs between still unconnected parts are left, and these
-are compared to the last one, so no link that joins two components is lost.
+What keeps hot groups apart: texts with one shingle set are one class from the start.  A bucket's classes are
+first compared with one leader only, another one in each of the buckets that they share, and what is similar
+is joined; this is done STARS times.  Then only pairs between still unconnected parts of a bucket are left.
+These are compared to the last one, in pairs of blocks, so no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.llm.common import SPACES, flat_bytes, lowered, mixed, pieces, separators, staged, text_bytes, word_hashes
 
 ROWS = 4  # coordinates in a band
 MISSED = 1e-7
-BLOCK = 256  # classes in a block of a bucket
+STARS = 2
+BLOCK = 512  # classes in a block of a bucket
+TOGETHER = 2048  # rows of small groups that are compared by one call
 _SPACE = separators(SPACES)
 _FIRST, _SECOND = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
@@ -114,53 +116,77 @@ def signatures(documents: DataFrame, words: int, coordinates: int) -> DataFrame:
 _PAIRS = "a long, b long"
 
 
-def _candidates(members: DataFrame, bands: int, least: int, likeliest: bool) -> DataFrame:
-    """Pairs (a, b), a < b, that share a bucket and agree in `least` coordinates, from rows
-    (bucket, band, node, label, signature); only pairs of different labels.  A pair is met in the first band it
-    shares.  With `likeliest`, for each class and block only its best partner and its smallest."""
+def _labelled(crowded: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of buckets that hold several labels, with their label."""
+    if labels is None:
+        found = crowded.withColumn("label", F.col("node"))
+    else:
+        found = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed_ = found.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.min("label").alias("low_label"), F.max("label").alias("high_label")
+    )
+    return found.join(mixed_.where("low_label <> high_label").select("bucket", "members"), "bucket")
+
+
+def _alike_in_size(a: Column, b: Column, percent: int) -> Column:
+    """Sets can only be similar enough if the smaller has the wanted share of the larger."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _star_pairs(members: DataFrame, signs: DataFrame, turn: int, least: int, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of a bucket's leader and its members of other labels that agree in `least` coordinates."""
+    marked = members.withColumn("draw", F.xxhash64("bucket", "node", F.lit(turn)))
+    drawn = marked.groupBy("bucket").agg(F.min("draw").alias("draw"))
+    leaders = marked.join(drawn, ["bucket", "draw"]).select(
+        "bucket", F.col("node").alias("leader"), F.col("label").alias("lead_label"), F.col("size").alias("lead_size")
+    )
+    pairs = (
+        members.join(leaders, "bucket")
+        .where((F.col("label") != F.col("lead_label")) & _alike_in_size(F.col("size"), F.col("lead_size"), percent))
+        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+        .distinct()
+    )
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, other = (flat_bytes(batch.column(c))[0].view(np.uint16).reshape(batch.num_rows, -1) for c in ("x", "y"))
+                keep = pa.array((one == other).sum(axis=1) >= least)
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    one = signs.select(F.col("node").alias("a"), F.col("signature").alias("x"))
+    other = signs.select(F.col("node").alias("b"), F.col("signature").alias("y"))
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(agreeing, _PAIRS)
+
+
+def _remaining_pairs(members: DataFrame, signs: DataFrame, bands: int, least: int, percent: int) -> DataFrame:
+    """All pairs (a, b), a < b, of different labels that share a bucket and agree in `least` coordinates.
 
-    def chosen(left, right, same, nodes):
-        if not likeliest:
-            return np.column_stack([left, right])
-        ends = np.concatenate([np.column_stack([left, right, same]), np.column_stack([right, left, same])])
-        out = []
-        for by in ((nodes[ends[:, 1]], -ends[:, 2], ends[:, 0]), (nodes[ends[:, 1]], ends[:, 0])):
-            ordered = ends[np.lexsort(by)]
-            out.append(ordered[np.concatenate([[True], ordered[1:, 0] != ordered[:-1, 0]])][:, :2])
-        return np.concatenate(out)
+    A pair is met in the first band it shares.
+    """
 
     def paired(rows: dict[str, np.ndarray], signs: np.ndarray) -> np.ndarray:
         """Pairs of nodes within the groups of equal (bucket, low, high), which stand together."""
-        count = len(signs)
-        change = np.ones(count, bool)
-        for c in ("bucket", "low", "high"):
-            change[1:] &= rows[c][1:] == rows[c][:-1]
-        change[1:] = ~change[1:]
-        group = np.cumsum(change)
+        group = _groups(rows)
         found = []
-        for shift in range(1, count):
+        for shift in range(1, len(signs)):
             i = np.flatnonzero(group[shift:] == group[:-shift])
             if not len(i):
                 break
             j = i + shift
-            keep = (rows["label"][i] != rows["label"][j]) & (
-                (rows["low"][i] == rows["high"][i]) | (rows["own"][i] != rows["own"][j])
+            small, large = np.minimum(rows["size"][i], rows["size"][j]), np.maximum(rows["size"][i], rows["size"][j])
+            keep = (
+                (rows["label"][i] != rows["label"][j]) & (100 * small >= percent * large)
+                & ((rows["low"][i] == rows["high"][i]) | (rows["own"][i] != rows["own"][j]))
             )
             i, j = i[keep], j[keep]
-            for part in range(0, len(i), 1 << 15):
-                a, b = i[part : part + (1 << 15)], j[part : part + (1 << 15)]
-                equal = signs[a] == signs[b]
-                same = equal.sum(axis=1)
-                good = same >= least
-                a, b, same, equal = a[good], b[good], same[good], equal[good]
-                first = equal.reshape(len(a), bands, ROWS).all(axis=2).argmax(axis=1)
-                here = first == rows["band"][a]
-                found.append(np.column_stack([a[here], b[here], same[here]]))
-        found = np.concatenate([np.zeros((0, 3), np.int64), *found])
-        if not len(found):
-            return found[:, :2]
-        pairs = rows["node"][chosen(found[:, 0], found[:, 1], found[:, 2], rows["node"])]
-        return np.unique(np.sort(pairs, axis=1), axis=0)
+            equal = signs[i] == signs[j]
+            good = equal.sum(axis=1) >= least
+            i, j, equal = i[good], j[good], equal[good]
+            first = equal.reshape(len(i), bands, ROWS).all(axis=2).argmax(axis=1)
+            here = first == rows["band"][i]
+            found.append(np.column_stack([rows["node"][i[here]], rows["node"][j[here]]]))
+        return np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1)
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -169,38 +195,44 @@ def _candidates(members: DataFrame, bands: int, least: int, likeliest: bool) ->
                 continue
             table = pa.Table.from_batches([batch])
             kept = table if kept is None else pa.concat_tables([kept, table])
-            bucket, low, high = (kept.column(c).to_numpy() for c in ("bucket", "low", "high"))
-            last = (bucket == bucket[-1]) & (low == low[-1]) & (high == high[-1])
-            whole = len(last) - int(last.sum())  # the last group may go on in the next batch
-            yield from made(kept.slice(0, whole))
+            group = _groups({c: kept.column(c).to_numpy() for c in ("bucket", "low", "high")})
+            whole = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next batch
+            yield from made(kept.slice(0, whole), group[:whole])
             kept = kept.slice(whole)
         if kept is not None:
-            yield from made(kept)
-
-    def made(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        rows = {c: table.column(c).to_numpy() for c in table.column_names if c != "signature"}
-        data, _ = flat_bytes(table.column("signature"))
-        pairs = paired(rows, data.view(np.uint16).reshape(table.num_rows, -1))
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    sizes = members.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("label").alias("least_label"), F.max("label").alias("most_label")
-    )
-    crowded = sizes.where("least_label <> most_label").select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    own = F.pmod(F.xxhash64("node", "band"), "blocks")
+            yield from made(kept, _groups({c: kept.column(c).to_numpy() for c in ("bucket", "low", "high")}))
+
+    def made(table: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = 0
+        while first < len(group):
+            last = int(np.searchsorted(group, group[min(first + TOGETHER, len(group) - 1)], "left"))
+            last = last if last > first else int(np.searchsorted(group, group[first], "right"))
+            last = len(group) if first + TOGETHER >= len(group) else last
+            some = table.slice(first, last - first)
+            rows = {c: some.column(c).to_numpy() for c in some.column_names if c != "signature"}
+            data, _ = flat_bytes(some.column("signature"))
+            pairs = paired(rows, data.view(np.uint16).reshape(some.num_rows, -1))
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            first = last
+
+    blocks = F.ceil(F.col("members") / BLOCK)
     dealt = (
-        members.join(crowded, "bucket")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "band",
-            "node", "label", "signature",
-        )
+        members.withColumn("own", F.pmod(F.xxhash64("node", "band"), blocks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        .join(signs, "node")
+        .select("bucket", "low", "high", "own", "band", "node", "label", "size", "signature")
     )
     ordered = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
-    return ordered.mapInArrow(streamed, _PAIRS).distinct()
+    return ordered.mapInArrow(streamed, _PAIRS)
+
+
+def _groups(rows: dict[str, np.ndarray]) -> np.ndarray:
+    """Numbers, in rising order, of the runs of equal (bucket, low, high)."""
+    same = np.ones(len(rows["bucket"]), bool)
+    for c in ("bucket", "low", "high"):
+        same[1:] &= rows[c][1:] == rows[c][:-1]
+    return np.cumsum(~same)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -273,8 +305,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     classes = (
         signed.where(own)
         .groupBy("set_key")
-        .agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("signature").alias("signature"))
-        .select("set_key", F.col("first.doc_id").alias("node"), F.col("first.mark").alias("mark"), "signature")
+        .agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("signature").alias("signature"),
+             F.first("n_shingles").alias("size"))
+        .select("set_key", F.col("first.doc_id").alias("node"), F.col("first.mark").alias("mark"), "signature", "size")
     )
     classes = staged(classes, "classes")
     # the sets of a doc_id that has several are linked
@@ -286,21 +319,19 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.xxhash64(i, F.substring(F.col("signature"), i * (2 * ROWS) + 1, F.lit(2 * ROWS))),
     )
-    members = classes.select("node", "signature", F.posexplode(slots).alias("band", "bucket"))
-    labels, texts = None, None
-    for likeliest in (True, True, False):
-        labelled = (
-            members.withColumn("label", F.col("node"))
-            if labels is None
-            else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        )
-        pairs = staged(_candidates(labelled, bands, least, likeliest), "pairs")
-        if texts is None:  # every pair that may be a link has both ends among these
-            ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-            needed = classes.select("node", "mark").join(ends, "node")
-            texts = staged(_texts(documents, needed), "texts")
-            members = members.join(ends, "node", "left_semi")
-        linked.append(staged(_verified(pairs, texts, words, percent), "links"))
+    members = classes.select("node", "size", F.posexplode(slots).alias("band", "bucket"))
+    shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
+    crowded = staged(members.join(shared, "bucket"), "crowded")
+    nodes = staged(crowded.select("node").distinct().join(classes, "node").select("node", "mark", "signature"), "nodes")
+    texts, signs = staged(_texts(documents, nodes), "texts"), nodes.select("node", "signature")
+    labels = None
+    for turn in range(STARS + 1):
+        labelled = _labelled(crowded, labels)
+        if turn < STARS:
+            pairs = _star_pairs(labelled, signs, turn, least, percent)
+        else:
+            pairs = _remaining_pairs(labelled, signs, bands, least, percent)
+        linked.append(staged(_verified(staged(pairs, "pairs"), texts, words, percent), "links"))
         labels = staged(components(reduce(DataFrame.unionAll, linked)), "labels")
     of_set = classes.select("set_key", "node")
     found = signed.join(of_set, "set_key", "left").join(labels, "node", "left")

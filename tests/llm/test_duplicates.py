@@ -32,6 +32,8 @@ def test_nothing(spark):
 def test_chains_around_the_threshold(spark, monkeypatch):
     """A group of near copies whose similarities lie about the threshold, in several blocks of a bucket."""
     monkeypatch.setattr("tablescout.llm.near_duplicates.BLOCK", 8)
+    monkeypatch.setattr("tablescout.llm.near_duplicates.TOGETHER", 20)
+    monkeypatch.setattr("tablescout.llm.near_duplicates.STARS", 1)
     random_ = random.Random(3)
     base = prose(9, 150).split()
     rows = []
