@@ -220,3 +220,63 @@ def test_changed_columns_fail_an_increment(spark, store):
     assert load(spark.createDataFrame([(2, 5)], "n int, s int")) == "FAILED"
     assert load(spark.createDataFrame([(2, "b")], "n bigint, s string")) == "LOADED"
     assert store.table("T_TD").count() == 2
+
+
+def test_large_whole_numbers_are_kept(spark, store):
+    frame = spark.sql("SELECT cast('99999999999999999999' AS decimal(38,0)) AS n, 7L AS k")
+    ingest(spark, FrameSource(spark, {"t": frame}), TARGET, store)
+    assert store.table("T_TD").select(F.col("N").cast("string"), "K").collect() == [("99999999999999999999", 7)]
+
+
+def test_readers_see_the_old_rows_during_and_after_a_failed_merge(spark, store, monkeypatch):
+    from datetime import datetime
+
+    def load(day, data):
+        frame = spark.createDataFrame([(k, v, datetime(2024, 1, day)) for k, v in data], "id int, v string, at timestamp_ntz")
+        options = LoadOptions("incremental", incremental={"t": IncrementalTable("at", ["id"])}, merge_buckets=3)
+        return outcome(ingest(spark, FrameSource(spark, {"t": frame}), TARGET, store, options))["T_TD"].LOAD_STATUS
+
+    assert load(1, [(1, "a"), (2, "b"), (3, "c")]) == "LOADED"
+    before = store.table("T_TD")
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(store), "commit", lost)
+        with pytest.raises(RuntimeError):
+            load(2, [(1, "x"), (4, "d")])
+    assert rows(store.table("T_TD").select("ID", "V")) == rows(before.select("ID", "V")) == [(1, "a"), (2, "b"), (3, "c")]
+    assert load(2, [(1, "x"), (4, "d")]) == "MERGED"
+    assert rows(store.table("T_TD").select("ID", "V")) == [(1, "x"), (2, "b"), (3, "c"), (4, "d")]
+    assert rows(before.select("ID", "V")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_watermark_without_target_loads_in_full(spark, store):
+    options = LoadOptions("incremental", incremental={"t": IncrementalTable("n")})
+    ingest(spark, FrameSource(spark, {"t": spark.createDataFrame([(1,), (2,)], "n int")}), TARGET, store, options)
+    other = store.__class__(spark, f"{store.root}-other")
+    other.append("INGESTION_WATERMARKS", store.read("INGESTION_WATERMARKS"))
+    source = FrameSource(spark, {"t": spark.createDataFrame([(1,), (2,), (3,)], "n int")})
+    done = outcome(ingest(spark, source, TARGET, other, options))["T_TD"]
+    assert (done.LOAD_STATUS, done.TARGET_ROW_COUNT) == ("LOADED", 3)
+
+
+def test_map_columns_and_repeated_includes(spark, store):
+    frame = spark.sql("SELECT * FROM VALUES (1, map('a', 1), timestamp_ntz'2024-01-01'), (null, map(), timestamp_ntz'2024-01-02') AS t(id, m, at)")
+    options = LoadOptions("incremental", include=["t", "gone", "gone"], incremental={"t": IncrementalTable("at", ["id"])}, merge_buckets=2)
+    ingest(spark, FrameSource(spark, {"t": frame}), TARGET, store, options)
+    assert store.table("T_TD").count() == 2
+    assert store.read("INGESTION_VALIDATION_RESULTS").where("VALIDATION_STATUS = 'FAIL'").count() == 2
+
+
+def test_stored_aggregates_are_not_narrowed_to_one_task(spark, store):
+    plans = []
+    frame = spark.range(1000).selectExpr("cast(id % 7 AS string) AS TARGET_TABLE").groupBy("TARGET_TABLE").count()
+    real = type(frame).write
+    try:
+        type(frame).write = property(lambda self: plans.append(self._jdf.queryExecution().optimizedPlan().toString()) or real.fget(self))
+        store.append("COLUMN_PROFILE", frame)
+    finally:
+        type(frame).write = real
+    assert plans and not any("Repartition 1" in plan for plan in plans)

@@ -209,14 +209,16 @@ def cardinality(spark, sf_dir) -> DataFrame:
 
 def td_cardinality_oracle(with_overlap: bool = False) -> str:
     """Key counts of all columns of the renamed views, looked up by the discovered pairs."""
+    # Only columns that can be a key by their name are counted: those of pairs are among them.
     keys = sql.union_all(
         f"SELECT '{view}' AS t, '{new}' AS c, count(*) AS d, count(*) FILTER (n > 1) AS dup FROM "
         f"(SELECT {sql.key(old)} AS k, count(*) AS n FROM {source} WHERE {sql.key(old)} IS NOT NULL GROUP BY 1)"
-        for view, new, source, old, _ in sql.renamed_columns()
+        for view, new, source, old, kind in sql.renamed_columns()
+        if old != "text"
     )
     rated = ', "CONFIDENCE_LABEL", "MATCH_RATE"' if with_overlap else ""
     return f"""{sql.discovery_ctes()},
-keys AS ({keys})
+keys AS MATERIALIZED ({keys})
 SELECT '{SYSTEM}' AS "SOURCE_SYSTEM", *, {sql.CLASS} FROM (
   SELECT "PARENT_TABLE" AS "FROM_TABLE", "PARENT_COLUMN" AS "FROM_COLUMN", "CHILD_TABLE" AS "TO_TABLE",
     "CHILD_COLUMN" AS "TO_COLUMN", p.d AS "FROM_DISTINCT_KEYS", ch.d AS "TO_DISTINCT_KEYS",

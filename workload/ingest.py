@@ -144,6 +144,62 @@ DECLARED = {
 }
 
 
+def conform_large_numbers(spark, sf_dir) -> DataFrame:
+    """Order keys widened beyond 64 bits, as a decimal of 38 digits and as text of a numeric column; shown as text."""
+    widened = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "cast(concat(o_orderkey, '00000000000000000000') AS decimal(38,0)) AS big",
+        "concat(o_orderkey, '99999999999999999999.4') AS wide_text",
+    )
+    plan = [
+        ColumnPlan("o_orderkey", "O_ORDERKEY", "NUMBER(38,0)", "bigint"), ColumnPlan("big", "BIG", "NUMBER(38,0)", "numeric"),
+        ColumnPlan("wide_text", "WIDE_TEXT", "NUMBER(38,0)", "numeric"),
+    ]
+    return shown(conform(widened, plan), "BIG", "WIDE_TEXT")
+
+
+# Every declared type name with its target, the short names of DECIMAL and TEXT targets worked out below.
+MAPPED = {
+    "sqlserver": "bigint=W int=W smallint=W tinyint=W bit=BOOLEAN decimal=N numeric=N money=N smallmoney=N float=FLOAT "
+    "real=FLOAT date=DATE datetime=TIMESTAMP_NTZ datetime2=TIMESTAMP_NTZ smalldatetime=TIMESTAMP_NTZ "
+    "datetimeoffset=TIMESTAMP_TZ time=TIME uniqueidentifier=VARCHAR(36) binary=BINARY varbinary=BINARY image=BINARY "
+    "varchar=T nvarchar=T char=T nchar=T text=T ntext=T xml=T",
+    "redshift": "smallint=W integer=W bigint=W numeric=N decimal=N real=FLOAT double_precision=FLOAT boolean=BOOLEAN "
+    "date=DATE timestamp_without_time_zone=TIMESTAMP_NTZ timestamp=TIMESTAMP_NTZ timestamp_with_time_zone=TIMESTAMP_TZ "
+    "character_varying=T varchar=T character=T char=T text=T",
+}
+MAPPED_NAMES = [
+    (dialect, name.replace("_", " "), target)
+    for dialect, pairs in MAPPED.items()
+    for name, target in (pair.split("=") for pair in pairs.split())
+]
+
+
+def type_mapping_names(spark, sf_dir) -> DataFrame:
+    """All declared type names of both dialects, for every line number as precision and supplier as length."""
+    facts = table(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").cast("long").alias("PRECISION"), F.pmod("l_suppkey", F.lit(3)).cast("long").alias("SCALE"),
+        F.pmod("l_suppkey", F.lit(50)).cast("long").alias("LENGTH"),
+    ).distinct()
+    named = facts.withColumn(
+        "N", F.explode(F.array(*[F.struct(F.lit(d).alias("D"), F.lit(n).alias("T")) for d, n, _ in MAPPED_NAMES]))
+    ).select("PRECISION", "SCALE", "LENGTH", F.col("N.D").alias("DIALECT"), F.col("N.T").alias("DATA_TYPE"))
+    target = F.coalesce(*[
+        F.when(F.col("DIALECT") == d, target_type(d, F.col("DATA_TYPE"), F.col("LENGTH"), F.col("PRECISION"), F.col("SCALE")))
+        for d in MAPPED
+    ])
+    return named.withColumn("TARGET", target)
+
+
+def _mapped_oracle() -> str:
+    names = ", ".join(f"('{d}', '{n}', '{t}')" for d, n, t in MAPPED_NAMES)
+    return f"""
+WITH facts AS (SELECT DISTINCT l_linenumber::BIGINT AS "PRECISION", (l_suppkey % 3)::BIGINT AS "SCALE",
+  (l_suppkey % 50)::BIGINT AS "LENGTH" FROM lineitem)
+SELECT "PRECISION", "SCALE", "LENGTH", d AS "DIALECT", n AS "DATA_TYPE", CASE t WHEN 'W' THEN 'NUMBER(38,0)'
+  WHEN 'N' THEN 'NUMBER(' || "PRECISION" || ',' || "SCALE" || ')' WHEN 'T' THEN 'VARCHAR(' || "LENGTH" || ')' ELSE t END
+  AS "TARGET" FROM facts, (VALUES {names}) v(d, n, t)"""
+
+
 def type_mapping(spark, sf_dir) -> DataFrame:
     """Every declared type of both dialects with lengths, precisions and scales found in lineitem."""
     facts = table(spark, sf_dir, "lineitem").select(
@@ -491,6 +547,8 @@ QUERIES = {
     "clean_identifiers": clean_identifiers,
     "type_mapping": type_mapping,
     "conform_rows": conform_rows,
+    "conform_large_numbers": conform_large_numbers,
+    "type_mapping_names": type_mapping_names,
     "merge_upsert": merge_orders,
     "append_delta": append_delta,
     "merge_null_keys": merge_null_keys,
@@ -530,6 +588,10 @@ UNION ALL SELECT 'lineitem', cast(max(l_shipdate) AS VARCHAR) FROM lineitem""",
     + ")",
     "type_mapping": sql.shown(_type_oracle(), "LENGTH", "PRECISION", "SCALE"),
     "conform_rows": CONFORM_ORACLE,
+    "conform_large_numbers": """
+SELECT o_orderkey AS "O_ORDERKEY", (o_orderkey::HUGEINT * 100000000000000000000)::VARCHAR AS "BIG",
+  (o_orderkey::HUGEINT * 100000000000000000000 + 99999999999999999999)::VARCHAR AS "WIDE_TEXT" FROM orders""",
+    "type_mapping_names": _mapped_oracle(),
     "merge_upsert": STAGED
     + "SELECT * FROM base ANTI JOIN stage USING (o_orderkey) UNION ALL SELECT * FROM stage",
     "append_delta": STAGED + "SELECT * FROM base UNION ALL SELECT * FROM stage",

@@ -143,11 +143,13 @@ def discovery_ctes() -> str:
         for view, new, table, old, _ in renamed_columns()
     )
     return f"""
-WITH profiled AS ({profile(renamed_columns())}),
-keyed AS ({key_scores("SELECT * FROM profiled")}),
-pairs AS ({pair_query("keyed")}),
-cells AS ({cells}),
-counted AS (
+WITH profiled AS MATERIALIZED ({profile(renamed_columns())}),
+keyed AS MATERIALIZED ({key_scores("SELECT * FROM profiled")}),
+pairs AS MATERIALIZED ({pair_query("keyed")}),
+paired AS MATERIALIZED (
+  SELECT "PARENT_TABLE" AS t, "PARENT_COLUMN" AS c FROM pairs UNION SELECT "CHILD_TABLE", "CHILD_COLUMN" FROM pairs),
+cells AS MATERIALIZED (SELECT * FROM ({cells}) SEMI JOIN paired USING (t, c)),
+counted AS MATERIALIZED (
   SELECT pairs.*, count(ch.v) AS "CHILD_NON_NULL_COUNT", count(pa.v) AS "MATCH_COUNT"
   FROM pairs
   LEFT JOIN cells ch ON ch.t = "CHILD_TABLE" AND ch.c = "CHILD_COLUMN"
