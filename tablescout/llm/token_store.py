@@ -19,6 +19,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,10 @@ DICTIONARY_BYTES = 1 << 16
 SHARD_BYTES = 1 << 24  # of text
 BLOCK_BYTES = 1 << 22  # of frames
 MOST_SHARDS = 20_000
-KNOWN_WORDS = 1 << 18  # words whose ids a worker remembers before it starts anew
+KNOWN_WORDS = 1 << 19  # words whose ids a worker remembers before it starts anew
 _PARTS = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+# Marks without the apostrophe, which starts pre-tokens of its own.
+_LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
 BLOCK_SCHEMA = (
     "shard int, block int, dictionary_sha256 string, n_tokens long, payload binary, doc_ids array<long>, "
@@ -56,44 +59,90 @@ class Words:
     """Ids of texts by way of their words, each encoded once.
 
     Only for tokenizers whose pre-tokens never hold white space (the pattern of this one leaves it out), so a
-    text's ids are those of its parts between ASCII white space, one after another.
+    text's ids are those of its parts between ASCII white space, one after another.  A word of letters with
+    ASCII marks behind them is two pre-tokens, so it is looked up as two units, the letters in lower case as the
+    tokenizer takes them.  Many words of letters are encoded by one call; each ends with its only token that
+    closes a word, and where the number of those is not that of the words, they are encoded one by one.
     """
 
     def __init__(self, file: str):
-        self._encode = _tokenizer(file).encode_batch
-        self._clear()
-
-    def _clear(self) -> None:
+        tokenizer = _tokenizer(file)
+        self._encode = tokenizer.encode_batch_fast
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._clear_words()
+        self._clear_units()
+
+    def _clear_words(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids, self.lengths, self._new = np.zeros(0, np.uint32), np.zeros(0, np.int64), []
+        self.pairs = np.zeros((0, 2), np.int64)
+
+    def _clear_units(self) -> None:
+        self.unit: dict[str, int] = {"": 0}
+        self.ids, self.lengths, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._encode([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn_units(self, units: set[str]) -> None:
+        letters = [u for u in units if u.isalpha()]
+        others = [u for u in units if not u.isalpha()]
+        lengths, ids = [self.lengths], [self.ids]
+        for first in range(0, len(letters), 1024):
+            some = letters[first : first + 1024]
+            found = self._ids(" ".join(some))
+            ends = np.flatnonzero(self._closes[found])
+            if len(ends) == len(some) and ends[-1] == len(found) - 1:
+                lengths.append(np.diff(ends, prepend=-1))
+                ids.append(found)
+            else:
+                alone = [self._ids(u) for u in some]
+                lengths.append(np.array([len(x) for x in alone]))
+                ids += alone
+        for unit in others:
+            ids.append(self._ids(unit))
+            lengths.append(np.array([len(ids[-1])]))
+        new = [*letters, *others]
+        self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new)), strict=True))
+        self.lengths, self.ids = np.concatenate(lengths), np.concatenate(ids)
+        self.first = np.cumsum(self.lengths) - self.lengths
 
     def _learn(self, words: set[str]) -> None:
-        new = sorted(words)
-        for first in range(0, len(new), 4096):
-            some = new[first : first + 4096]
-            found = [e.ids for e in self._encode(some, add_special_tokens=False)]
-            self.place.update(zip(some, range(len(self.place), len(self.place) + len(some)), strict=True))
-            self.lengths = np.append(self.lengths, [len(x) for x in found])
-            self.ids = np.append(self.ids, np.array([i for x in found for i in x], np.uint32))
-        self.first = np.cumsum(self.lengths) - self.lengths
+        halves = []
+        for word in words:
+            match = _LETTERS_AND_MARKS.fullmatch(word)
+            halves.append((match[1].lower(), match[2]) if match and word.isascii() else match.groups() if match else (word, ""))
+        if new := {u for pair in halves for u in pair}.difference(self.unit):
+            self._learn_units(new)
+        get = self.unit.__getitem__
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.pairs = np.concatenate([self.pairs, np.array([(get(a), get(b)) for a, b in halves], np.int64)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offsets of the texts among them."""
         words = [_PARTS.findall(text) for text in texts]
         if len(self.place) > KNOWN_WORDS:
-            self._clear()
-        if new := {w for some in words for w in some if w not in self.place}:
+            self._clear_words()
+            if len(self.unit) > KNOWN_WORDS:
+                self._clear_units()
+        whole = [*chain.from_iterable(words)]
+        if new := set(whole).difference(self.place):
             self._learn(new)
-        if not self.place:
+        if not whole:
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        get = self.place.__getitem__
-        places = np.fromiter((p for some in words for p in map(get, some)), np.int64)
-        sizes = self.lengths[places]
+        units = self.pairs[np.array([*map(self.place.__getitem__, whole)], np.int64)].ravel()
+        sizes = self.lengths[units]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.first[places] - (ends - sizes), sizes)
-        word_ends = np.concatenate([[0], np.cumsum([len(some) for some in words])])
-        return self.ids[at], np.concatenate([[0], ends])[word_ends]
+        at = np.arange(int(ends[-1])) + np.repeat(self.first[units] - (ends - sizes), sizes)
+        word_ends = np.cumsum([0, *map(len, words)])
+        return self.ids[at], np.concatenate([[0], ends])[2 * word_ends]
+
+
+@functools.cache
+def _words(file: str) -> Words:
+    """One for each worker, so that what it has learned serves its later tasks."""
+    return Words(file)
 
 
 def _id_arrays(batch: pa.RecordBatch, words: Words) -> Iterator[np.ndarray]:
@@ -113,7 +162,7 @@ def fit_dictionary(documents: DataFrame, tokenizer_file: str, dtype: str) -> byt
     """
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer_file)
+        words = _words(tokenizer_file)
         for batch in batches:
             samples = [ids.astype(dtype).tobytes()[:SAMPLE_BYTES] for ids in _id_arrays(batch, words)]
             yield pa.RecordBatch.from_arrays([pa.array(samples, pa.binary())], names=["sample"])
@@ -159,7 +208,7 @@ def write_store(documents: DataFrame, path: str, tokenizer_file: str) -> None:
     ).coalesce(1).write.parquet(f"{path}/dictionary")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer_file)
+        words = _words(tokenizer_file)
         held = zstandard.ZstdCompressionDict(shared.value)
         held.precompute_compress(level=LEVEL)
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=held).compress
