@@ -87,7 +87,9 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def builtin_licences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    """KNOWN as rows (license_id, text)."""
+    rows = F.array(*(F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in KNOWN))
+    return spark.range(1).select(F.inline(rows))
 
 
 def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
