@@ -8,7 +8,7 @@ use Cholesky factors computed once on the driver from k x k matrices.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,25 +97,31 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ])
 
 
-def document_statistics(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, *keep, features) for each row; null texts count as empty."""
-    names = ["doc_id", *keep, "features"]
+def _mapped(documents: DataFrame, keep: Sequence[str], out: Callable, names: list[str], kinds: str) -> DataFrame:
+    """(doc_id, *keep) of each row and the columns that `out` makes of a matrix of statistics, in one pass."""
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat_bytes(batch.column(batch.num_columns - 1))
             for a, b in pieces(np.diff(offsets), 1 << 20):
                 rows = statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                values = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel())
-                )
                 columns = [batch.column(k)[a:b] for k in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, values], names=names)
+                yield pa.RecordBatch.from_arrays([*columns, *out(rows)], names=["doc_id", *keep, *names])
 
     kept = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *keep)
-    kinds = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes)
     wanted = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, text_bytes(F.col("text")).alias("statistics of"))
-    return wanted.mapInArrow(computed, f"{kinds}, features array<double>")
+    return wanted.mapInArrow(computed, f"{schema}, {kinds}")
+
+
+def document_statistics(documents: DataFrame) -> DataFrame:
+    """(doc_id, features) for each row; null texts count as empty."""
+
+    def listed(rows: np.ndarray) -> list[pa.Array]:
+        ends = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
+        return [pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))]
+
+    return _mapped(documents, (), listed, ["features"], "features array<double>")
 
 
 @dataclass(frozen=True)
@@ -190,21 +196,24 @@ def single_labels(labels: DataFrame) -> DataFrame:
     )
 
 
+def _scored(model: Discriminant, threshold: float) -> Callable:
+    def scored(rows: np.ndarray) -> list[pa.Array]:
+        found = model.scores(rows)
+        return [pa.array(found), pa.array((found >= threshold).astype(np.int32))]
+
+    return scored
+
+
 def score(features: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows with score and predicted instead of features."""
-    rest = [c for c in features.columns if c != "features"]
+    """(doc_id, score, predicted) of rows (doc_id, features)."""
+    out = _scored(model, threshold)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array(batch.column("features").to_pylist(), float).reshape(-1, len(NAMES))
-            found = model.scores(rows)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in rest), pa.array(found), pa.array((found >= threshold).astype(np.int32))],
-                names=[*rest, "score", "predicted"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *out(rows)], names=["doc_id", "score", "predicted"])
 
-    kinds = ", ".join(f"`{c}` {kind}" for c, kind in features.dtypes if c != "features")
-    return features.mapInArrow(scored, f"{kinds}, score double, predicted int")
+    return features.select("doc_id", "features").mapInArrow(scored, "doc_id long, score double, predicted int")
 
 
 def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: Sequence[str] = ()) -> DataFrame:
@@ -218,4 +227,7 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """
     features = staged(document_statistics(documents), "statistics")
     training = features.where(fold(F.col("doc_id"), 4) != 2).join(single_labels(labels), "doc_id")
-    return score(document_statistics(documents, keep) if keep else features, fit(training), threshold)
+    model = fit(training)
+    if not keep:
+        return score(features, model, threshold)
+    return _mapped(documents, keep, _scored(model, threshold), ["score", "predicted"], "score double, predicted int")
