@@ -159,16 +159,23 @@ def _star_pairs(members: DataFrame, signs: DataFrame, turn: int, least: int, per
     return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(agreeing, _PAIRS)
 
 
-def _remaining_pairs(members: DataFrame, signs: DataFrame, bands: int, least: int, percent: int) -> DataFrame:
-    """All pairs (a, b), a < b, of different labels that share a bucket and agree in `least` coordinates.
+_MEMBER = "bucket long, low long, high long, own long, band int, node long, label long, size long, signature binary"
 
-    A pair is met in the first band it shares.
+
+def _remaining_links(
+    members: DataFrame, nodes: DataFrame, texts: DataFrame, bands: int, least: int, words: int, percent: int
+) -> DataFrame:
+    """Links (a, b) among all pairs of different labels that share a bucket, from rows of `_labelled`.
+
+    Buckets are dealt out in pairs of blocks.  Pairs never leave a block pair: a first pass over signatures keeps
+    the members that have a candidate in it, a second brings their texts and compares the full sets.
     """
 
-    def paired(rows: dict[str, np.ndarray], signs: np.ndarray) -> np.ndarray:
-        """Pairs of nodes within the groups of equal (bucket, low, high), which stand together."""
+    def paired(rows: dict[str, np.ndarray], signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of candidates within groups: different labels, alike in size, enough equal coordinates, and
+        no earlier band in common."""
         group = _groups(rows)
-        found = []
+        found = [(np.zeros(0, np.int64),) * 2]
         for shift in range(1, len(signs)):
             i = np.flatnonzero(group[shift:] == group[:-shift])
             if not len(i):
@@ -183,48 +190,75 @@ def _remaining_pairs(members: DataFrame, signs: DataFrame, bands: int, least: in
             equal = signs[i] == signs[j]
             good = equal.sum(axis=1) >= least
             i, j, equal = i[good], j[good], equal[good]
-            first = equal.reshape(len(i), bands, ROWS).all(axis=2).argmax(axis=1)
-            here = first == rows["band"][i]
-            found.append(np.column_stack([rows["node"][i[here]], rows["node"][j[here]]]))
-        return np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1)
-
-    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            kept = table if kept is None else pa.concat_tables([kept, table])
-            group = _groups({c: kept.column(c).to_numpy() for c in ("bucket", "low", "high")})
-            whole = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next batch
-            yield from made(kept.slice(0, whole), group[:whole])
-            kept = kept.slice(whole)
-        if kept is not None:
-            yield from made(kept, _groups({c: kept.column(c).to_numpy() for c in ("bucket", "low", "high")}))
-
-    def made(table: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first = 0
-        while first < len(group):
-            last = int(np.searchsorted(group, group[min(first + TOGETHER, len(group) - 1)], "left"))
-            last = last if last > first else int(np.searchsorted(group, group[first], "right"))
-            last = len(group) if first + TOGETHER >= len(group) else last
-            some = table.slice(first, last - first)
-            rows = {c: some.column(c).to_numpy() for c in some.column_names if c != "signature"}
-            data, _ = flat_bytes(some.column("signature"))
-            pairs = paired(rows, data.view(np.uint16).reshape(some.num_rows, -1))
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-            first = last
+            here = equal.reshape(len(i), bands, ROWS).all(axis=2).argmax(axis=1) == rows["band"][i]
+            found.append((i[here], j[here]))
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    def pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        rows = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("signature", "text")}
+        data, _ = flat_bytes(table.column("signature"))
+        return paired(rows, data.view(np.uint16).reshape(table.num_rows, -1))
+
+    def ends(table: pa.Table) -> pa.Table:
+        return table.take(np.unique(np.concatenate(pairs_of(table))))
+
+    def links(table: pa.Table) -> pa.Table:
+        one, other = pairs_of(table)
+        data, offsets = flat_bytes(table.column("text"))
+        shingles, bounds = shingle_sets(data, offsets, words)
+        node, found = table.column("node").to_numpy(), []
+        for i, j in zip(one, other, strict=True):
+            a, b = shingles[bounds[i] : bounds[i + 1]], shingles[bounds[j] : bounds[j + 1]]
+            shared = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                found.append((min(node[i], node[j]), max(node[i], node[j])))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    def by_group(function):
+        """The function over pieces of about TOGETHER rows, cut between groups."""
+
+        def pieces_of(table: pa.Table, last_too: bool) -> tuple[list[pa.Table], pa.Table]:
+            group = _groups({c: table.column(c).to_numpy() for c in ("bucket", "low", "high")})
+            out, first = [], 0
+            end = len(group) if last_too else int(np.searchsorted(group, group[-1]))
+            while first < end:
+                last = end
+                if first + TOGETHER < end:
+                    last = int(np.searchsorted(group, group[first + TOGETHER]))
+                    last = last if last > first else int(np.searchsorted(group, group[first], "right"))
+                out.append(table.slice(first, last - first))
+                first = last
+            return out, table.slice(end)
+
+        def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept: pa.Table | None = None
+            for batch in batches:
+                if batch.num_rows:
+                    table = pa.Table.from_batches([batch])
+                    done, kept = pieces_of(table if kept is None else pa.concat_tables([kept, table]), False)
+                    for piece in done:
+                        yield from function(piece).to_batches()
+            if kept is not None:
+                for piece in pieces_of(kept, True)[0]:
+                    yield from function(piece).to_batches()
+
+        return streamed
 
     blocks = F.ceil(F.col("members") / BLOCK)
     dealt = (
         members.withColumn("own", F.pmod(F.xxhash64("node", "band"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        .join(signs, "node")
-        .select("bucket", "low", "high", "own", "band", "node", "label", "size", "signature")
+        .join(nodes, "node")
+        .select(*(c.split()[0] for c in _MEMBER.split(", ")))
     )
-    ordered = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
-    return ordered.mapInArrow(streamed, _PAIRS)
+
+    def in_groups(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
+
+    candidates = staged(in_groups(dealt).mapInArrow(by_group(ends), _MEMBER), "candidates")
+    return in_groups(candidates.join(texts, "node")).mapInArrow(by_group(links), _PAIRS)
 
 
 def _groups(rows: dict[str, np.ndarray]) -> np.ndarray:
@@ -328,10 +362,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     for turn in range(STARS + 1):
         labelled = _labelled(crowded, labels)
         if turn < STARS:
-            pairs = _star_pairs(labelled, signs, turn, least, percent)
+            pairs = staged(_star_pairs(labelled, signs, turn, least, percent), "pairs")
+            links = _verified(pairs, texts, words, percent)
         else:
-            pairs = _remaining_pairs(labelled, signs, bands, least, percent)
-        linked.append(staged(_verified(staged(pairs, "pairs"), texts, words, percent), "links"))
+            links = _remaining_links(labelled, signs, texts, bands, least, words, percent)
+        linked.append(staged(links, "links"))
         labels = staged(components(reduce(DataFrame.unionAll, linked)), "labels")
     of_set = classes.select("set_key", "node")
     found = signed.join(of_set, "set_key", "left").join(labels, "node", "left")
