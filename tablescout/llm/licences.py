@@ -7,12 +7,17 @@ notice is an entire text in one line.  Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import json
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablescout.llm.common import ascii_lower
+from tablescout.local import local_frame
 
-# fixed values: licence identifiers with the texts and one-line notices that stand for them
+# fixed values: licence identifiers with the one-line notices that stand for them; whole texts are in TEXTS
 KNOWN = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -55,7 +60,29 @@ SPELLINGS = [
     ("whilst", "while"),
 ]
 
+#: Rows (license_id, source, titles, text): canonical texts, the titles that may stand before them, where they are from.
+TEXTS = "licence_texts.jsonl"
+RESERVED = "All rights reserved."
+
 COPYRIGHT_LINE = r"(^|\n)[ \t\x0B\f\r]*(copyright|\(c\)|©)[ \t\x0B\f\r]+(\(c\)|©|[0-9]|\[|<)[^\n]*"
+# fixed values: what follows "copyright" or "(c)" where a clause of a licence happens to be wrapped before it
+_CLAUSE = (
+    r"(and|also|are|if|in|is|of|on|or|doctrines?|disclaimers?|holders?|interests?|laws?|licen[sc]es?|lines?|notices?|owners?|"
+    r"ownership|permission|protection|resulting|statements?|treat(y|ies)|the[ \t]*(?=\n)|the[ \t]+(software|library|program|work))(?![a-z0-9])"
+)
+_ITEM = r"(any|each|if|representations|under|you|the[ \t]+licenses[ \t]+granted)\b"
+#: Lines that name an owner in any other way: "copyright Acme", "copyright: Acme", "(c) Acme", a sign and whatever follows.
+OWNER_LINE = (
+    r"(^|\n)[ \t\x0B\f\r]*((copyright[ \t]*(:[ \t]*|[ \t]))?(©|\(c\)[ \t]*(?!" + _ITEM + r")[^ \t\n])|copyright(©|\(c\))|"
+    r"copyright[ \t]*(:[ \t]*|[ \t])[ \t]*(?!" + _CLAUSE + r")[a-z0-9\x80-\x{10FFFF}\"'<\[{])[^\n]*"
+)
+# fixed values: places for an owner's name inside the BSD, ISC and MIT texts, and what matching guidelines put there
+OWNER_PHRASES = [
+    (r"\bneither the names? .{1,200}? nor the names of (its|their|the) contributors\b", "neither the name of the copyright owner nor the names of its contributors"),
+    (r"\bthis software is provided by .{1,200}? as is and\b", "this software is provided by the copyright owners and contributors as is and"),
+    (r"\bas is and .{1,200}? disclaims? all warranties\b", "as is and the author disclaims all warranties"),
+    (r"\bin no event shall .{1,200}? be liable\b", "in no event shall the author be liable"),
+]
 PUNCTUATION = r"[!-/:-@\[-`{-~\x00-\x09\x0B-\x1F\x7F ]+"
 
 
@@ -63,6 +90,7 @@ def normalised(text: Column) -> Column:
     """Lines of words, each line ended by a new line: lower case, no copyright lines, one spelling, no
     punctuation, one blank between words.  Letters beyond ASCII are kept as they are."""
     out = F.regexp_replace(ascii_lower(text), COPYRIGHT_LINE, "$1")
+    out = F.regexp_replace(out, OWNER_LINE, "$1")
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
     out = F.regexp_replace(out, PUNCTUATION, " ")
@@ -75,7 +103,14 @@ def _digest(text: Column) -> Column:
 
 
 def _whole(lines: Column) -> Column:
-    return F.replace(lines, F.lit("\n"), F.lit(" "))
+    """All lines in one; spellings of two words that were on two lines, and owners named in clauses, as in the known texts."""
+    out = F.replace(lines, F.lit("\n"), F.lit(" "))
+    for one, other in SPELLINGS:
+        if " " in one:
+            out = F.replace(out, F.lit(one), F.lit(other))
+    for phrase, usual in OWNER_PHRASES:
+        out = F.regexp_replace(out, phrase, usual)
+    return out
 
 
 def known_digests(known: DataFrame) -> DataFrame:
@@ -86,10 +121,21 @@ def known_digests(known: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
+def licence_texts() -> list[tuple[str, str]]:
+    """Rows (license_id, text) of TEXTS: each text alone and under its titles, where owners stand also with RESERVED."""
+    out = []
+    for line in pkgutil.get_data(__package__, TEXTS).decode().splitlines():
+        row = json.loads(line)
+        for title in ["", *row["titles"]]:
+            for rights in ["", RESERVED] if row["titles"] else [""]:
+                out.append((row["license_id"], "\n".join([title, rights, row["text"]])))
+    return out
+
+
 def builtin_licences(spark: SparkSession) -> DataFrame:
-    """KNOWN as rows (license_id, text)."""
-    rows = F.array(*(F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in KNOWN))
-    return spark.range(1).select(F.inline(rows))
+    """KNOWN and the licence texts as rows (license_id, text)."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in ("license_id", "text")])
+    return local_frame(spark, [dict(zip(schema.names, row, strict=True)) for row in KNOWN + licence_texts()], schema)
 
 
 def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
@@ -105,7 +151,7 @@ def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text").cast("string")).alias("lines")
     )
     line = F.explode(F.array_distinct(F.filter(F.split("lines", "\n"), lambda x: x != "")))
-    lines = rows.select("doc_id", line.alias("line")).select("doc_id", _digest(F.col("line")).alias("digest"))
+    lines = rows.select("doc_id", line.alias("line")).select("doc_id", _digest(_whole(F.col("line"))).alias("digest"))
     notices = (
         lines.join(digests, "digest")
         .groupBy(F.col("doc_id").alias("notice_doc"))

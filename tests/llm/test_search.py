@@ -1,8 +1,10 @@
 """Neighbours, licences, benchmark passages and mixing, against brute force."""
 
 import hashlib
+import json
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -205,3 +207,41 @@ def test_rounding_keeps_the_sum():
 def test_mix_keeps_columns(spark, documents):
     found = mixing.mix(documents, keep=["text", "lang"]).collect()
     assert sorted(str((r.doc_id, r.text, r.lang)) for r in found) == sorted(str((d, t, l)) for d, t, l, *_ in awkward_rows())
+
+
+OWNERS = [
+    "Copyright (c) 2020 Somebody", "Copyright Acme Corp", "(c) Acme Corp", "© Acme Corp", "Copyright: 2001-2003, Acme", "Copyright by Acme",
+    "(C)2020 Acme Corp\nCopyright The Acme Authors. All rights reserved.", "  copyright acme  \n  COPYRIGHT (C) The Regents", "Copyright© Élan SA",
+    "Copyright (c) Acme\nAll rights reserved.",
+]
+
+
+def test_full_licence_texts(spark):
+    """Whole texts under owner lines of any form, as they stand, all in one line, and wrapped before each 'copyright'."""
+    rows, wanted = [], {}
+    for line in (Path(licences.__file__).parent / licences.TEXTS).read_text(encoding="utf-8").splitlines():
+        row = json.loads(line)
+        own = re.compile(r"(?i)copyright\s+(\(c\)|[0-9\[<])")  # the licence's own owner lines stay in one piece
+        wrapped = "\n".join(x if own.search(x) else re.sub(r"(?i)\s+(copyright|\(c\))", r"\n\1", x) for x in row["text"].split("\n"))
+        flat = " ".join(re.sub(r"(?im)^\s*copyright (\(c\)|[0-9\[<]).*\n", "", row["text"]).split())
+        for title in ["", *row["titles"]]:
+            for owner in OWNERS if row["titles"] else [""]:
+                for text in (row["text"], wrapped, flat):
+                    wanted[len(rows)] = row["license_id"]
+                    rows.append((len(rows), f"{title}\n\n{owner}\n\n{text}", None, None, None))
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0", "LGPL-2.1"} <= set(wanted.values())
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    found = {r.doc_id: r.license_id for r in licences.scan_licences(frame, licences.builtin_licences(spark)).collect()}
+    assert [(d, i, found[d], rows[d][1][:80]) for d, i in wanted.items() if found[d] != i] == []
+
+
+def test_licence_texts_with_owners_in_clauses_and_changed_clauses(spark):
+    texts = dict(t for t in licences.licence_texts() if t[0] in ("BSD-3-Clause", "ISC", "MIT"))
+    rows = [
+        texts["BSD-3-Clause"].replace("the copyright holder nor", "Acme Corp. nor").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "ACME"),
+        texts["ISC"].replace("THE AUTHOR", "ACME").replace("THE\nAUTHOR", "ACME"),
+        texts["MIT"].replace("without restriction", "for no evil"), texts["MIT"].replace("The above copyright notice", "The notice"),
+    ]
+    frame = spark.createDataFrame([(d, t, None, None, None) for d, t in enumerate(rows)], DOCUMENTS)
+    found = {r.doc_id: r.license_id for r in licences.scan_licences(frame, licences.builtin_licences(spark)).collect()}
+    assert found == {0: "BSD-3-Clause", 1: "ISC", 2: None, 3: None}
