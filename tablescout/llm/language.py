@@ -28,16 +28,20 @@ UNKNOWN = "und"
 def fit_dictionaries(training: DataFrame, sample: int = SAMPLE, piece: int = PIECE) -> dict[str, bytes]:
     """Raw-content dictionaries by language, from rows (doc_id, text, lang); null langs and texts teach nothing.
 
-    At most `sample` pieces a language come to the driver; of equal texts one is used.
+    At most `sample` pieces a language come to the driver, all different: of equal texts, and of texts with equal
+    pieces, one is used.  A piece is taken at a place drawn from the text's hash, so that texts with one opening differ.
     """
     rows = training.where("lang IS NOT NULL AND length(text) > 0").select(
-        F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("mark"),
-        F.substring("text", 1, piece).alias("piece"),
+        F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("mark"), "text",
     )
+    places = F.greatest(F.length("text") - piece + 1, F.lit(1))
+    start = (F.pmod(F.xxhash64("mark"), places) + 1).cast("int")
+    rows = rows.select("lang", "mark", F.substring("text", start, F.lit(piece)).alias("piece"))
+    rows = rows.groupBy("lang", "piece").agg(F.min("mark").alias("mark"))
     first = Window.partitionBy("lang").orderBy("mark", "piece")
     chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).select("lang", "mark", "piece")
     out: dict[str, list[str]] = {}
-    for row in sorted(chosen.distinct().collect(), key=lambda r: (r.lang, r.mark, r.piece)):
+    for row in sorted(chosen.collect(), key=lambda r: (r.lang, r.mark, r.piece)):
         out.setdefault(row.lang, []).append(row.piece)
     return {lang: "\n".join(texts).lower().encode() for lang, texts in out.items()}
 

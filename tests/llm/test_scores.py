@@ -151,3 +151,17 @@ def test_language_rejects_narrow_margins(spark):
     same = {"aa": prose(1, 300).lower().encode(), "bb": prose(1, 300).lower().encode()}
     row = language.identify(spark.createDataFrame([(1, prose(7, 50), None, None, 1)], DOCUMENTS), same).first()
     assert row.rejected and row.lang_pred == "aa" and row.score == pytest.approx(0.5)
+
+
+def test_dictionaries_hold_different_pieces(spark):
+    """Copies and texts with one opening do not use up the sample."""
+    copies = [prose(k, 80) for k in range(12) for _ in range(40)]
+    opening = prose(50, 200)
+    near = [opening + " " + prose(100 + k, 300) for k in range(60)]
+    rows = [(k, t, lang, None, 1) for lang, texts in (("en", copies), ("fr", near)) for k, t in enumerate(texts)]
+    dictionaries = language.fit_dictionaries(spark.createDataFrame(rows, DOCUMENTS), sample=10)
+    for lang, texts in (("en", copies), ("fr", near)):
+        pieces = dictionaries[lang].decode().split("\n")
+        assert len(pieces) == len(set(pieces)) == 10
+        assert all(any(p in t.lower() for t in texts) for p in pieces)
+    assert sum(p in opening.lower() for p in dictionaries["fr"].decode().split("\n")) < 10
