@@ -38,9 +38,14 @@ def bands_for(percent: int) -> int:
 
 
 def least_agreement(percent: int) -> int:
-    """Equal coordinates that a pair of the wanted similarity has but for a chance of about MISSED."""
+    """Equal coordinates that a pair of the wanted similarity has but for what the bands leave of MISSED: the exact
+    binomial tail below the limit and the chance that no band is shared are MISSED at most together."""
     s, k = percent / 100, ROWS * bands_for(percent)
-    return math.floor(k * s - 5.2 * math.sqrt(k * s * (1 - s)))
+    left = MISSED - (1 - s**ROWS) ** bands_for(percent)
+    least, tail = 0, 0.0
+    while least < k and (tail := tail + math.comb(k, least) * s**least * (1 - s) ** (k - least)) <= left:
+        least += 1
+    return least
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,5 +1,6 @@
 """Near-duplicates against all pairs, components against union-find."""
 
+import math
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from helpers import DOCUMENTS, awkward_rows, duplicate_components, empty, prose, shingles, documents  # noqa: F401
 
 from tablescout.llm.near_duplicates import (
-    circulant_signatures, components, first_of_each_id, least_agreement, near_duplicates,
+    MISSED, ROWS, bands_for, circulant_signatures, components, first_of_each_id, least_agreement, near_duplicates,
 )
 
 
@@ -80,3 +81,12 @@ def test_first_of_each_id(spark):
     rows = [(1, "b"), (1, "a"), (2, "c"), (None, "d"), (None, "d")]
     found = first_of_each_id(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, found), key=str) == sorted([(1, "a"), (2, "c"), (None, "d"), (None, "d")], key=str)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_bands_and_agreement_miss_no_more_than_promised(percent):
+    s, bands = percent / 100, bands_for(percent)
+    k = ROWS * bands
+    below = lambda least: sum(math.comb(k, i) * s**i * (1 - s) ** (k - i) for i in range(least))
+    unbanded = (1 - s**ROWS) ** bands
+    assert below(least_agreement(percent)) + unbanded <= MISSED < below(least_agreement(percent) + 1) + unbanded
