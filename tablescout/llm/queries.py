@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescout.llm import context_tree, decontaminate, language, licences, mixing, near_duplicates, neighbours, quality, token_counts, token_store
+from tablescout.llm import (
+    context_tree, decontaminate, language, licences, mixing, near_duplicates, neighbours, quality, simhash, token_counts, token_store,
+)
 from tablescout.llm.common import fold, scratch, table
 
 TOKENIZERS = None  # a folder of vocabulary files; by default the installed package of public ones
@@ -71,11 +73,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_near_duplicates, op3_context_tree, op4_nearest_neighbours, op5_licence_scan, op6_language_id,
-        op7_decontamination, op8_token_store, op9_quality, op10_mixing,
+        op7_decontamination, op8_token_store, op9_quality, op10_mixing, op13_simhash,
     )
 }
 
