@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablescout.llm import (
-    context_tree, decontaminate, language, licences, mixing, near_duplicates, neighbours, quality, simhash, token_counts, token_store,
+    context_tree, decontaminate, filter_audit, language, licences, mixing, near_duplicates, neighbours, quality, simhash, token_counts, token_store,
 )
 from tablescout.llm.common import fold, scratch, table
 
@@ -73,6 +73,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.document_failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit_orders(counts, filter_audit.FILTERS)
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
 
@@ -81,7 +86,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_near_duplicates, op3_context_tree, op4_nearest_neighbours, op5_licence_scan, op6_language_id,
-        op7_decontamination, op8_token_store, op9_quality, op10_mixing, op13_simhash,
+        op7_decontamination, op8_token_store, op9_quality, op10_mixing, op12_filter_audit, op13_simhash,
     )
 }
 
@@ -166,7 +171,44 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
+_FILTER_AUDIT = """
+WITH rows AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents),
+marked AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN r.doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM rows r LEFT JOIN marked m ON m.doc_id = r.doc_id),
+counts AS (SELECT part, fails, good, toxic, count(*) AS n FROM failing GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, filter_order[step] AS f, filter_order[: step - 1] AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders)),
+met AS (
+  SELECT *, contains(fails, f) AS hit, translate(fails, earlier, '') <> fails AS gone FROM steps, counts),
+summed AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM summed"""
+
 ORACLES = {
+    "op12_filter_audit": _FILTER_AUDIT,
     "op2_near_duplicates": _NEAR_DUPLICATES,
     "op4_nearest_neighbours": _NEIGHBOURS,
     "op5_licence_scan": _licence_sql(),
