@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablescout.llm import (
-    context_tree, decontaminate, filter_audit, language, licences, mixing, near_duplicates, neighbours, quality, simhash, token_counts, token_store,
+    alignment, context_tree, decontaminate, filter_audit, language, licences, mixing, near_duplicates, neighbours, quality, simhash,
+    token_counts, token_store,
 )
 from tablescout.llm.common import fold, scratch, table
 
@@ -73,6 +74,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return alignment.align_tokenizers(documents, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = filter_audit.document_failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filter_audit.audit_orders(counts, filter_audit.FILTERS)
@@ -86,7 +92,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_near_duplicates, op3_context_tree, op4_nearest_neighbours, op5_licence_scan, op6_language_id,
-        op7_decontamination, op8_token_store, op9_quality, op10_mixing, op12_filter_audit, op13_simhash,
+        op7_decontamination, op8_token_store, op9_quality, op10_mixing, op11_token_alignment, op12_filter_audit, op13_simhash,
     )
 }
 
