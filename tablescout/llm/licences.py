@@ -2,7 +2,7 @@
 
 A text is normalised - case, copyright lines, equivalent spellings, punctuation, white space - and the SHA-256
 of all of it is joined to the digests of known licences.  The same goes for each line of a text, since a
-notice is an entire text in one line.  Only DataFrame functions are used.
+notice is an entire text in one line; both are done by one pass.  Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -76,49 +76,88 @@ OWNER_LINE = (
     r"(^|\n)[ \t\x0B\f\r]*((copyright[ \t]*(:[ \t]*|[ \t]))?(©|\(c\)[ \t]*(?!" + _ITEM + r")[^ \t\n])|copyright(©|\(c\))|"
     r"copyright[ \t]*(:[ \t]*|[ \t])[ \t]*(?!" + _CLAUSE + r")[a-z0-9\x80-\x{10FFFF}\"'<\[{])[^\n]*"
 )
-# fixed values: places for an owner's name inside the BSD, ISC and MIT texts, and what matching guidelines put there
-OWNER_PHRASES = [
-    (r"\bneither the names? .{1,200}? nor the names of (its|their|the) contributors\b", "neither the name of the copyright owner nor the names of its contributors"),
-    (r"\bthis software is provided by .{1,200}? as is and\b", "this software is provided by the copyright owners and contributors as is and"),
-    (r"\bas is and .{1,200}? disclaims? all warranties\b", "as is and the author disclaims all warranties"),
-    (r"\bin no event shall .{1,200}? be liable\b", "in no event shall the author be liable"),
+# fixed values: clauses of the BSD, ISC and MIT texts that name an owner - what stands before and after the name, and
+# what matching guidelines put in its place
+OWNER_CLAUSES = [
+    ("neither the name ", " nor the names of its contributors", "of the copyright owner"),
+    ("this software is provided by ", " as is and", "the copyright owners and contributors"),
+    ("as is and ", " disclaim all warranties", "the author"),
+    ("in no event shall ", " be liable", "the author"),
+]
+# fixed values: wordings of these clauses that depend on the number of owners
+CLAUSE_SPELLINGS = [
+    ("neither the names ", "neither the name "),
+    (" nor the names of their contributors", " nor the names of its contributors"),
+    (" nor the names of the contributors", " nor the names of its contributors"),
+    (" disclaims all warranties", " disclaim all warranties"),
 ]
 PUNCTUATION = r"[!-/:-@\[-`{-~\x00-\x09\x0B-\x1F\x7F ]+"
 
 
-def normalised(text: Column) -> Column:
-    """Lines of words, each line ended by a new line: lower case, no copyright lines, one spelling, no
-    punctuation, one blank between words.  Letters beyond ASCII are kept as they are."""
-    out = F.regexp_replace(ascii_lower(text), COPYRIGHT_LINE, "$1")
-    out = F.regexp_replace(out, OWNER_LINE, "$1")
+def normalised(frame: DataFrame, column: str) -> DataFrame:
+    """The frame with a column of text turned into lines of words, parted by new lines: lower case, no copyright
+    lines, one spelling, no punctuation, one blank between words.  Letters beyond ASCII are kept as they are."""
+
+    def step(out: Column) -> None:
+        nonlocal frame
+        frame = frame.withColumn(column, out)
+
+    text = F.col(column)
+    step(ascii_lower(text))
+    owned = text.contains("copyright") | text.contains("(c)") | text.contains("©")
+    step(F.when(owned, F.regexp_replace(F.regexp_replace(text, COPYRIGHT_LINE, "$1"), OWNER_LINE, "$1")).otherwise(text))
+    out = text
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
     out = F.regexp_replace(out, PUNCTUATION, " ")
     out = F.regexp_replace(out, r" ?\n[\n ]*", "\n")
-    return F.regexp_replace(out, r"^[\n ]+|[\n ]+\z", "")
+    step(F.regexp_replace(out, r"^[\n ]+|[\n ]+\z", ""))
+    return frame
 
 
 def _digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _whole(lines: Column) -> Column:
-    """All lines in one; spellings of two words that were on two lines, and owners named in clauses, as in the known texts."""
-    out = F.replace(lines, F.lit("\n"), F.lit(" "))
+def _named_alike(text: Column, before: str, after: str, usual: str) -> Column:
+    """The usual owner wherever one is named: what follows `before` up to the next `after`, unless `before` stands
+    between them."""
+    parts = F.split(text, r"\b" + before)
+
+    def mended(part: Column) -> Column:
+        at = F.instr(part, after)
+        return F.when(at > 1, F.concat(F.lit(usual), F.substr(part, at))).otherwise(part)
+
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), mended)
+    return F.array_join(F.concat(F.slice(parts, 1, 1), rest), before)
+
+
+def _whole(frame: DataFrame, column: str) -> DataFrame:
+    """The frame with all lines of a column of normalised text in one; spellings of two words that were on two lines,
+    and owners named in clauses, as in the known texts."""
+    text = F.col(column)
+    out = F.replace(text, F.lit("\n"), F.lit(" "))
     for one, other in SPELLINGS:
         if " " in one:
             out = F.replace(out, F.lit(one), F.lit(other))
-    for phrase, usual in OWNER_PHRASES:
-        out = F.regexp_replace(out, phrase, usual)
-    return out
+    frame = frame.withColumn(column, out)
+    for before, after, usual in OWNER_CLAUSES:
+        spelled = text
+        for one, other in CLAUSE_SPELLINGS:
+            if other in (before, after):
+                spelled = F.replace(spelled, F.lit(one), F.lit(other))
+        # most texts have no such clause: two searches instead of the rest
+        start, end = (c.split()[:3] for c in (before, after))
+        found = text.contains(" ".join(start)) & text.contains(" ".join(end[:1]))
+        frame = frame.withColumn(column, F.when(found, _named_alike(spelled, before, after, usual)).otherwise(text))
+    return frame
 
 
 def known_digests(known: DataFrame) -> DataFrame:
     """(license_id, digest) from rows (license_id, text); texts without words are no licence."""
-    lines = _whole(normalised(F.col("text")))
-    rows = known.where(F.col("license_id").isNotNull() & F.col("text").isNotNull()).select("license_id", lines.alias("lines"))
-    rows = rows.where("lines <> ''").select("license_id", _digest(F.col("lines")).alias("digest"))
-    return rows.groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    rows = known.where(F.col("license_id").isNotNull() & F.col("text").isNotNull()).select("license_id", F.col("text").alias("piece"))
+    rows = _whole(normalised(rows, "piece"), "piece").where("piece <> ''")
+    return rows.groupBy(_digest(F.col("piece")).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
 def licence_texts() -> list[tuple[str, str]]:
@@ -143,22 +182,22 @@ def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
     the entire text is (or null), and notices: the licences that one of its lines entirely is, sorted.
 
     Null texts have a null digest and match nothing; nor does a text without words.  Where known licences
-    share a digest, the first by name is given.  Rows that share a doc_id share their notices; rows without one
-    share those of all such rows.  An empty table gives no rows; other columns are ignored.
+    share a digest, the first by name is given.  Rows that share a doc_id, or have none, each have their own.  An
+    empty table gives no rows; other columns are ignored.
     """
-    digests = known_digests(known)
     rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text").cast("string")).alias("lines")
-    )
-    line = F.explode(F.array_distinct(F.filter(F.split("lines", "\n"), lambda x: x != "")))
-    lines = rows.select("doc_id", line.alias("line")).select("doc_id", _digest(_whole(F.col("line"))).alias("digest"))
-    notices = (
-        lines.join(digests, "digest")
-        .groupBy(F.col("doc_id").alias("notice_doc"))
-        .agg(F.sort_array(F.collect_set("license_id")).alias("notices"))
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("lines"),
     )
-    whole = rows.select("doc_id", _digest(_whole(F.col("lines"))).alias("text_sha256"))
-    matched = whole.join(digests, whole["text_sha256"] == digests["digest"], "left")
-    return matched.join(notices, matched["doc_id"].eqNullSafe(notices["notice_doc"]), "left").select(
-        "doc_id", "text_sha256", "license_id", F.coalesce("notices", F.array().cast("array<string>")).alias("notices")
+    rows = normalised(rows, "lines")
+    # one row for the whole text and one for each of its lines, so a text is normalised once
+    lines = F.filter(F.array_distinct(F.split(F.coalesce("lines", F.lit("")), "\n")), lambda x: x != "")
+    pieces = F.concat(F.array(F.struct(F.lit(True).alias("entire"), F.col("lines").alias("piece"))),
+                      F.transform(lines, lambda x: F.struct(F.lit(False).alias("entire"), x.alias("piece"))))
+    digested = _whole(rows.select("row", "doc_id", F.inline(pieces)), "piece").select(
+        "row", "doc_id", "entire", _digest(F.col("piece")).alias("digest")
     )
+    found = digested.join(known_digests(known), "digest", "left").where("entire OR license_id IS NOT NULL")
+    entire = {c: F.max(F.when(F.col("entire"), F.col(c))).alias(name) for c, name in (("digest", "text_sha256"), ("license_id", "license_id"))}
+    notices = F.sort_array(F.collect_set(F.when(~F.col("entire"), F.col("license_id"))))
+    return found.groupBy("row", "doc_id").agg(*entire.values(), notices.alias("notices")).drop("row")

@@ -75,13 +75,15 @@ def test_licences(spark):
         9: prose(3, 30000) + "\nAll rights reserved.", 10: "Copyright law is a subject.",
     }
     rows = [(d, t, None, None, None) for d, t in texts.items()] + [(1, texts[8], None, None, None), (None, texts[1], None, None, None)]
+    rows.append((None, "nothing here", None, None, None))
     frame = spark.createDataFrame(rows, DOCUMENTS).withColumnsRenamed({"lang": "license_id", "source": "digest"})
     found = licences.scan_licences(frame, licences.builtin_licences(spark)).collect()
     assert len(found) == len(rows)
     by = {r.doc_id: r for r in found}
-    assert by[2].license_id == by[4].license_id == by[None].license_id == "MIT"
+    assert by[2].license_id == by[4].license_id == "MIT"
+    assert sorted((str(r.license_id), r.notices) for r in found if r.doc_id is None) == [("MIT", ["MIT"]), ("None", [])]
     assert [r.license_id for r in found if r.doc_id == 1].count("MIT") == 1
-    assert all(r.notices == ["MIT"] for r in found if r.doc_id == 1)
+    assert sorted(r.notices for r in found if r.doc_id == 1) == [[], ["MIT"]]  # each row its own
     assert by[3].license_id is None and by[3].notices == ["CC-BY-NC-4.0"]
     assert by[9].notices == ["all-rights-reserved"]
     assert by[5].text_sha256 is None and all(by[d].notices == [] and by[d].license_id is None for d in (5, 6, 7, 8, 10))
@@ -241,7 +243,8 @@ def test_licence_texts_with_owners_in_clauses_and_changed_clauses(spark):
         texts["BSD-3-Clause"].replace("the copyright holder nor", "Acme Corp. nor").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "ACME"),
         texts["ISC"].replace("THE AUTHOR", "ACME").replace("THE\nAUTHOR", "ACME"),
         texts["MIT"].replace("without restriction", "for no evil"), texts["MIT"].replace("The above copyright notice", "The notice"),
+        texts["BSD-3-Clause"].replace("the copyright holder nor", "Acme, " * 100 + "and others nor"),
     ]
     frame = spark.createDataFrame([(d, t, None, None, None) for d, t in enumerate(rows)], DOCUMENTS)
     found = {r.doc_id: r.license_id for r in licences.scan_licences(frame, licences.builtin_licences(spark)).collect()}
-    assert found == {0: "BSD-3-Clause", 1: "ISC", 2: None, 3: None}
+    assert found == {0: "BSD-3-Clause", 1: "ISC", 2: None, 3: None, 4: "BSD-3-Clause"}
