@@ -131,3 +131,11 @@ def separators(spaces: bytes = SPACES) -> np.ndarray:
     out = np.zeros(256, bool)
     out[np.frombuffer(spaces, np.uint8)] = True
     return out
+
+
+def gathered(values: np.ndarray, first: np.ndarray, lengths: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of values that are wanted, one after another, and their bounds."""
+    sizes = lengths[wanted]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(ends[-1]) + np.repeat(first[wanted] - ends[:-1], sizes)
+    return values[at], ends

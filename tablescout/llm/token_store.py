@@ -19,15 +19,16 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablescout.llm.common import flat_bytes, pieces, text_bytes
+from tablescout.llm.common import flat_bytes, gathered, pieces, text_bytes
 
 END_ID = 1
 LEVEL = 3
@@ -37,10 +38,14 @@ DICTIONARY_BYTES = 1 << 16
 SHARD_BYTES = 1 << 24  # of text
 BLOCK_BYTES = 1 << 22  # of frames
 MOST_SHARDS = 20_000
-KNOWN_WORDS = 1 << 19  # words whose ids a worker remembers before it starts anew
-_PARTS = re.compile(r"[^ \t\n\x0b\x0c\r]+")
-# Marks without the apostrophe, which starts pre-tokens of its own.
-_LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+NO_ID = int(np.iinfo(np.int64).min)
+KNOWN_UNITS = 1 << 19  # whose ids a worker remembers before it starts anew
+TOGETHER = 1 << 22  # bytes of texts that are encoded by one call
+# Letters that no normalising turns into letter and mark, and marks without the apostrophe, which starts
+# pre-tokens of its own.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+SPLIT = f"^(?P<letters>[{_LETTERS}]+)(?P<marks>[{_MARKS}]*)$"
+SIMPLE = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+")
 
 BLOCK_SCHEMA = (
     "shard int, block int, dictionary_sha256 string, n_tokens long, payload binary, doc_ids array<long>, "
@@ -59,10 +64,12 @@ class Words:
     """Ids of texts by way of their words, each encoded once.
 
     Only for tokenizers whose pre-tokens never hold white space (the pattern of this one leaves it out), so a
-    text's ids are those of its parts between ASCII white space, one after another.  A word of letters with
-    ASCII marks behind them is two pre-tokens, so it is looked up as two units, the letters in lower case as the
-    tokenizer takes them.  Many words of letters are encoded by one call; each ends with its only token that
-    closes a word, and where the number of those is not that of the words, they are encoded one by one.
+    text's ids are those of its parts between ASCII white space, one after another.  Python sees the distinct
+    words of a call only; splitting and counting them is done by Arrow.  A word of the letters of SPLIT with
+    ASCII marks behind them is two pre-tokens, so it is looked up as two units, the letters in lower case as
+    the tokenizer takes them.  Any other word is a unit as it is: normalising may move marks from one
+    pre-token to the next.  Many units of one pre-token are encoded by one call; each ends with its only token
+    that closes a word, and where the number of those is not that of the units, they are encoded one by one.
     """
 
     def __init__(self, file: str):
@@ -71,72 +78,57 @@ class Words:
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self._closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._clear_words()
-        self._clear_units()
+        self._forget()
 
-    def _clear_words(self) -> None:
-        self.place: dict[str, int] = {}
-        self.pairs = np.zeros((0, 2), np.int64)
-
-    def _clear_units(self) -> None:
+    def _forget(self) -> None:
         self.unit: dict[str, int] = {"": 0}
         self.ids, self.lengths, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._encode([text], add_special_tokens=False)[0].ids, np.uint32)
-
-    def _learn_units(self, units: set[str]) -> None:
-        letters = [u for u in units if u.isalpha()]
-        others = [u for u in units if not u.isalpha()]
+    def _learn(self, new: list[str]) -> None:
+        simple = [u for u in new if SIMPLE.fullmatch(u)]
+        others = [u for u in new if not SIMPLE.fullmatch(u)]
         lengths, ids = [self.lengths], [self.ids]
-        for first in range(0, len(letters), 1024):
-            some = letters[first : first + 1024]
-            found = self._ids(" ".join(some))
+
+        def one_by_one(units: list[str]) -> None:
+            found = [np.array(e.ids, np.uint32) for e in self._encode(units, add_special_tokens=False)]
+            lengths.append(np.array([*map(len, found)], np.int64))
+            ids.extend(found)
+
+        for some in batched(simple, 2048):
+            found = np.array(self._encode([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self._closes[found])
             if len(ends) == len(some) and ends[-1] == len(found) - 1:
                 lengths.append(np.diff(ends, prepend=-1))
                 ids.append(found)
             else:
-                alone = [self._ids(u) for u in some]
-                lengths.append(np.array([len(x) for x in alone]))
-                ids += alone
-        for unit in others:
-            ids.append(self._ids(unit))
-            lengths.append(np.array([len(ids[-1])]))
-        new = [*letters, *others]
-        self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new)), strict=True))
+                one_by_one([*some])
+        if others:
+            one_by_one(others)
+        self.unit.update(zip([*simple, *others], range(len(self.unit), len(self.unit) + len(new)), strict=True))
         self.lengths, self.ids = np.concatenate(lengths), np.concatenate(ids)
         self.first = np.cumsum(self.lengths) - self.lengths
 
-    def _learn(self, words: set[str]) -> None:
-        halves = []
-        for word in words:
-            match = _LETTERS_AND_MARKS.fullmatch(word)
-            halves.append((match[1].lower(), match[2]) if match and word.isascii() else match.groups() if match else (word, ""))
-        if new := {u for pair in halves for u in pair}.difference(self.unit):
-            self._learn_units(new)
-        get = self.unit.__getitem__
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
-        self.pairs = np.concatenate([self.pairs, np.array([(get(a), get(b)) for a, b in halves], np.int64)])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the offsets of the texts among them."""
-        words = [_PARTS.findall(text) for text in texts]
-        if len(self.place) > KNOWN_WORDS:
-            self._clear_words()
-            if len(self.unit) > KNOWN_WORDS:
-                self._clear_units()
-        whole = [*chain.from_iterable(words)]
-        if new := set(whole).difference(self.place):
+    def _places(self, units: list[str]) -> np.ndarray:
+        if len(self.unit) > KNOWN_UNITS:
+            self._forget()
+        if new := [u for u in units if u not in self.unit]:
             self._learn(new)
-        if not whole:
-            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        units = self.pairs[np.array([*map(self.place.__getitem__, whole)], np.int64)].ravel()
-        sizes = self.lengths[units]
-        ends = np.cumsum(sizes)
-        at = np.arange(int(ends[-1])) + np.repeat(self.first[units] - (ends - sizes), sizes)
-        word_ends = np.cumsum([0, *map(len, words)])
-        return self.ids[at], np.concatenate([[0], ends])[2 * word_ends]
+        return np.fromiter(map(self.unit.__getitem__, units), np.int64, len(units))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the offsets of the texts among them."""
+        parts = pc.ascii_split_whitespace(texts)
+        words = parts.flatten().dictionary_encode()
+        word_ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        halves = pc.extract_regex(words.dictionary, SPLIT)
+        letters = pc.coalesce(pc.utf8_lower(pc.struct_field(halves, "letters")), words.dictionary)
+        marks = pc.coalesce(pc.struct_field(halves, "marks"), "")
+        units = pa.concat_arrays([letters, marks]).dictionary_encode()
+        of_word = self._places(units.dictionary.to_pylist())[units.indices.to_numpy()].reshape(2, -1).T.ravel()
+        ids, ends = gathered(self.ids, self.first, self.lengths, of_word)  # of the distinct words
+        ends = ends[::2]
+        ids, ends = gathered(ids, ends[:-1], np.diff(ends), words.indices.to_numpy())
+        return ids, ends[word_ends]
 
 
 @functools.cache
@@ -147,30 +139,44 @@ def _words(file: str) -> Words:
 
 def _id_arrays(batch: pa.RecordBatch, words: Words) -> Iterator[np.ndarray]:
     data, offsets = flat_bytes(batch.column("text"))
-    for a, b in pieces(np.diff(offsets), 1 << 20):
-        texts = [data[offsets[r] : offsets[r + 1]].tobytes().decode("utf-8", "replace") for r in range(a, b)]
+    for a, b in pieces(np.diff(offsets), TOGETHER):
+        if offsets[b] - offsets[a] >= 1 << 31:
+            texts = pa.array([data[offsets[a] : offsets[b]].tobytes().decode("utf-8", "replace")], pa.large_string())
+        else:
+            raw = pa.Array.from_buffers(
+                pa.binary(), b - a, [None, pa.py_buffer((offsets[a : b + 1] - offsets[a]).astype(np.int32)), pa.py_buffer(data[offsets[a] : offsets[b]])]
+            )
+            try:
+                texts = raw.cast(pa.string())
+            except pa.ArrowInvalid:
+                texts = pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
         ids, ends = words.encode(texts)
         for k in range(b - a):
             yield np.append(ids[ends[k] : ends[k + 1]], np.uint32(END_ID))
 
 
 def fit_dictionary(documents: DataFrame, tokenizer_file: str, dtype: str) -> bytes:
-    """A zstandard dictionary fitted to id arrays of about SAMPLE_DOCUMENTS documents, chosen by a hash of all.
+    """A zstandard dictionary fitted to id arrays of SAMPLE_DOCUMENTS different texts or fewer.
 
-    At most twice that many, and SAMPLE_BYTES of each, come to the driver.  With too few samples to train on,
-    the dictionary is their raw content, or empty.
+    Texts are chosen by a hash of all of it, so copies count once and the choice does not depend on where
+    rows are; the first SAMPLE_BYTES of each are encoded.  With too few samples to train on, the dictionary is
+    their raw content, or empty.
     """
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(tokenizer_file)
         for batch in batches:
-            samples = [ids.astype(dtype).tobytes()[:SAMPLE_BYTES] for ids in _id_arrays(batch, words)]
+            samples = [ids.astype(dtype).tobytes() for ids in _id_arrays(batch, words)]
             yield pa.RecordBatch.from_arrays([pa.array(samples, pa.binary())], names=["sample"])
 
     total = documents.count()
-    mark = F.xxhash64("doc_id", F.length("text"), F.lit("dictionary"))
-    chosen = documents.where(F.pmod(mark, F.lit(max(total, 1))) < SAMPLE_DOCUMENTS).limit(2 * SAMPLE_DOCUMENTS)
-    samples = sorted(bytes(r.sample) for r in chosen.mapInArrow(serialized, "sample binary").collect())
+    mark = F.xxhash64("text", F.lit("dictionary"))
+    # about twice as many as wanted if all texts differ; a third of all rows may be copies
+    chosen = documents.select(mark.alias("mark"), F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    chosen = chosen.where(F.pmod("mark", F.lit(max(total, 1))) < 2 * SAMPLE_DOCUMENTS)
+    chosen = chosen.groupBy("mark").agg(F.min("text").alias("text")).orderBy("mark").limit(SAMPLE_DOCUMENTS)
+    samples = [bytes(r.sample) for r in chosen.select("text").mapInArrow(serialized, "sample binary").collect()]
+    samples.sort()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -178,14 +184,15 @@ def fit_dictionary(documents: DataFrame, tokenizer_file: str, dtype: str) -> byt
 
 
 def _bounds(documents: DataFrame) -> list[int]:
-    """Ascending doc_ids that part the table into shards of about SHARD_BYTES of text."""
+    """Ascending doc_ids, null as the least, that part the table into shards of about SHARD_BYTES of text; larger
+    ones where that would be more than MOST_SHARDS.  A doc_id of many rows is there several times."""
     size = documents.select(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = min(MOST_SHARDS, max(1, -(-size // SHARD_BYTES)))
     if shards == 1:
         return []
     cuts = [k / shards for k in range(1, shards)]
-    found = documents.select(F.percentile_approx("doc_id", cuts, 10 * shards)).first()[0]
-    return sorted(set(found or []))
+    found = documents.select(F.percentile_approx(F.coalesce("doc_id", F.lit(NO_ID)), cuts, 10 * shards)).first()[0]
+    return sorted(found or [])
 
 
 def write_store(documents: DataFrame, path: str, tokenizer_file: str) -> None:
@@ -219,7 +226,10 @@ def write_store(documents: DataFrame, path: str, tokenizer_file: str) -> None:
                 checks.append(zlib.crc32(ids.astype("<u4").tobytes()))
                 frames.append(compress(ids.astype(dtype).tobytes()))
             doc_ids = batch.column("doc_id")
-            shard = np.searchsorted(bounds, doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False))
+            # rows of a doc_id that is itself a bound go to the shards on its sides, in order of their checks
+            known = doc_ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            low, high = (np.searchsorted(bounds, known, side) for side in ("left", "right"))
+            shard = low + ((high - low + 1) * np.array(checks, np.int64) >> 32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int32()), doc_ids, pa.array(counts, pa.int64()), pa.array(checks, pa.int64()),
                  pa.array(frames, pa.binary())],

@@ -1,9 +1,13 @@
 """Token counts and the token store, against the tokenizers' own results."""
 
+import random
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from helpers import awkward_rows, empty, prose, documents  # noqa: F401
@@ -82,10 +86,52 @@ def test_store_of_nothing_and_wrong_dictionary(spark, documents):
         token_store.read_store(spark, f"{path}/other")
 
 
+def encoded_like_whole_texts(texts):
+    tokenizer, words = Tokenizer.from_file(WORDS), token_store.Words(WORDS)
+    ids, ends = words.encode(pa.array(texts, pa.string()))
+    expected = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    wrong = [t for t, a, b, x in zip(texts, ends[:-1], ends[1:], expected, strict=True) if ids[a:b].tolist() != x]
+    assert not wrong, wrong[:20]
+
+
 def test_words_are_encoded_like_whole_texts():
+    encoded_like_whole_texts([
+        "It's we'll\tΣΑΣ ΟΔΟΣ x́ ́y", "<|startoftext|>a b<|endoftext|> <|endoftext|>", "a b c\x1cd", "İ 1234 !?!", "", " \n",
+        "BİLGİ.", "İ!", "İ, a", "Ünïcode, ÀÉÎ! naïve... ÿ", "\x0bab\x0c cd\r", "a\u00a0b\u2003c, d\u0085e", "don't!", "x" * 3000 + "!",
+    ])
+
+
+def test_every_letter_with_marks_behind():
+    """Normalising may turn a letter into letter and mark, which is then part of what follows."""
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "LM"]
+    encoded_like_whole_texts([f"{c}! a{c}, {c}b?" for c in letters])
+
+
+def test_any_characters(random_=random.Random(8)):
+    some = "aZéÉ İıßΣςक़ড়́̈'!.,-_09 \t\n\x1c\u00a0\u2028ﬁ"
+    encoded_like_whole_texts(["".join(random_.choices(some, k=random_.randint(1, 30))) for _ in range(20000)])
+
+
+def test_units_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN_UNITS", 5)
     tokenizer, words = Tokenizer.from_file(WORDS), token_store.Words(WORDS)
-    texts = ["It's we'll\tΣΑΣ ΟΔΟΣ x́ ́y", "<|startoftext|>a b<|endoftext|> <|endoftext|>", "a b c\x1cd", "İ 1234 !?!", ""]
-    ids, ends = words.encode(texts)
-    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [
-        tokenizer.encode(t, add_special_tokens=False).ids for t in texts
-    ]
+    for text in ("one two three, four; five", "six seven two!", "one, seven eight nine ten"):
+        assert words.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_hot_id_is_spread_over_shards(spark, monkeypatch):
+    """Rows without doc_id and of one doc_id go to several shards and are still read in order, twice alike."""
+    monkeypatch.setattr(token_store, "SHARD_BYTES", 2000)
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, prose(k, 40)) for k in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for parts in (3, 8):
+        path = scratch(spark, "test-store")
+        token_store.write_store(frame.repartition(parts), path, WORDS)
+        read = sorted(map(tuple, token_store.read_store(spark, path).select("start", "doc_id", "n_tokens", "ids_crc32").collect()))
+        index = spark.read.parquet(f"{path}/index")
+        assert index.where("doc_id IS NULL").select("shard").distinct().count() > 3 < index.where("doc_id = 7").select("shard").distinct().count()
+        assert [r[0] for r in read] == [sum(n for *_, n, _ in read[:k]) for k in range(len(read))]
+        assert [r[1] for r in read] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d))
+        found.append((read, bytes(spark.read.parquet(f"{path}/dictionary").first().dictionary)))
+    assert found[0] == found[1]
