@@ -24,17 +24,23 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablescout.llm.common import flat_bytes, mixed, pieces, staged, text_bytes
+from tablescout.llm.common import flat_bytes, gathered, mixed, pieces, staged, text_bytes
 
 RADIX = 16  # a power of two
 RUN_LINKS = 1 << 21
 MERGE_BYTES = 1 << 25  # of pair frames that one task merges
 MERGE_BLOCK = 1 << 13  # pairs of a run that are in memory while it is merged
 LEVEL = 3
+TOGETHER = 1 << 22  # bytes of texts that are aligned by one call
+KNOWN_WORDS = 1 << 20  # whose groups a worker remembers before it starts anew
+# A blank between white space; the white space of A is among what this takes for it.
+_SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+RUN = f"{_SPACE} {_SPACE}|  | $"
 A_BITS = 24  # ids of both tokenizers are below this power of two
 
 _PAIR = np.dtype([("pair", "<i8"), ("n", "<i8")])
@@ -53,7 +59,13 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Aligner:
-    """The two tokenizers, the bytes of their tokens, and the texts of their ids."""
+    """The two tokenizers, and the groups of the words that they have met.
+
+    A parts a text at every single blank before a word, and no piece of B has a blank behind anything else, so both
+    cut between words: the groups of a text that starts with a blank are those of its words, and each word is
+    aligned once.  Only blanks in runs of white space may belong to what is before them; RUN finds such texts, and
+    they are aligned whole, as are all texts where a piece of B has a blank inside.
+    """
 
     def __init__(self, file_a: str, file_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -64,41 +76,40 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings are ordinary text
         letters = _byte_letters()
         known = {i: token for token, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.bytes_a = [bytes(letters[c] for c in known.get(i, "")) for i in range(max(known) + 1)]
+        bytes_a = [bytes(letters[c] for c in known.get(i, "")) for i in range(max(known) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=file_b)
-        self.bytes_b = [
-            bytes([int(self.b.id_to_piece(i)[1:-1], 16)]) if self.b.is_byte(i)
-            else self.b.id_to_piece(i).replace("▁", " ").encode()
-            for i in range(self.b.vocab_size())
+        spelled = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
+        bytes_b = [
+            bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode() for i, piece in enumerate(spelled)
         ]
-        self.sizes_a, self.sizes_b = (np.array([*map(len, x)], np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.by_words = not any("▁" in piece.lstrip("▁") for piece in spelled)
+        self.bytes_a, self.bytes_b = _flat(bytes_a), _flat(bytes_b)
         # an id with what follows it in the text of the groups
-        self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ",|;"]
-
-    def tokens(self, raws: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for each text; none where the text is empty or their bytes are not those of blank and text."""
-        ids_a, ids_b = ([[] for _ in raws] for _ in "ab")
-        texts = {}
-        for k, raw in enumerate(raws):
-            try:
-                if raw:
-                    texts[k] = raw.decode()
-            except UnicodeDecodeError:
-                pass
-        found_a = self.a.encode_batch_fast([" " + t for t in texts.values()], add_special_tokens=False)
-        found_b = self.b.encode([*texts.values()], num_threads=1)
-        for k, a, b in zip(texts, (x.ids for x in found_a), found_b, strict=True):
-            whole = b" " + raws[k]
-            if b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
-                ids_a[k], ids_b[k] = a, b
-        return ids_a, ids_b
-
-    def aligned(self, raws: list[bytes]) -> tuple[dict[str, list], np.ndarray, np.ndarray]:
-        """Columns of the texts, and of all links the pair (B id, A id) and the place of its text, in text order."""
-        ids_a, ids_b = self.tokens(raws)
-        n_a, n_b = (np.array([*map(len, x)], np.int64) for x in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
-        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        self.written = [f"{i}{mark}" for i in range(max(len(bytes_a), len(bytes_b))) for mark in ",|;"]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.word: dict[str, int] = {}
+        self.groups: list[str | None] = []
+        self.counts, self.pairs = np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Of each text, encoded whole: its groups in writing (None where the bytes of A or B are not those of blank and
+        text), its numbers of A tokens, B tokens and groups, and of all links in order the pair (B id, A id)."""
+        if not texts:
+            return [], np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
+        lists_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        lists_b = self.b.encode(texts, num_threads=1)
+        sizes = pc.binary_length(pa.array(texts, pa.large_string())).to_numpy() + 1
+        letters = np.frombuffer((" " + " ".join(texts)).encode(), np.uint8)
+        good, counts, ids = np.ones(len(texts), bool), [], []
+        for lists, spelled in ((lists_a, self.bytes_a), (lists_b, self.bytes_b)):
+            counts.append(np.fromiter(map(len, lists), np.int64, len(texts)))
+            ids.append(np.fromiter(chain.from_iterable(lists), np.int64, counts[-1].sum()))
+            good &= _spelling(ids[-1], counts[-1], spelled, letters, sizes)
+        a, b = (x[np.repeat(good, n)] for x, n in zip(ids, counts, strict=True))
+        n_a, n_b = (n * good for n in counts)
+        ends_a, ends_b = np.cumsum(self.bytes_a[2][a]), np.cumsum(self.bytes_b[2][b])
         cut = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, bool)
         cut[ends_a] = True
         last_b = np.flatnonzero(cut[ends_b])  # the last tokens of each group
@@ -112,14 +123,77 @@ class Aligner:
         after_a[last_a], after_b[last_b] = 1, 2
         written[place_a], written[place_b] = 3 * a + after_a, 3 * b + after_b
         ends = np.cumsum(n_a + n_b)
-        digests = []
-        for first, last in zip(ends - n_a - n_b, ends, strict=True):
-            groups = "".join(map(self.written.__getitem__, written[first:last].tolist()))[:-1]
-            digests.append(hashlib.sha256(groups.encode()).hexdigest() if groups else "")
-        text_of_b = np.repeat(np.arange(len(raws)), n_b)[last_b]
-        groups = np.bincount(text_of_b, minlength=len(raws))
-        columns = {"n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": groups, "groups_sha256": digests}
-        return columns, (b[last_b] << A_BITS) | a[last_a], text_of_b
+        groups = [
+            "".join(map(self.written.__getitem__, written[first:last].tolist()))[:-1] if fine else None
+            for first, last, fine in zip(ends - n_a - n_b, ends, good, strict=True)
+        ]
+        n_groups = np.bincount(np.repeat(np.arange(len(texts)), n_b)[last_b], minlength=len(texts))
+        return groups, np.array([n_a, n_b, n_groups]), (b[last_b] << A_BITS) | a[last_a]
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        if len(self.word) > KNOWN_WORDS:
+            self._forget()
+        if new := [w for w in words if w not in self.word]:
+            groups, counts, pairs = self.whole(new)
+            self.word.update(zip(new, range(len(self.word), len(self.word) + len(new)), strict=True))
+            self.groups += groups
+            self.counts = np.concatenate([self.counts, counts], axis=1)
+            self.pairs = np.concatenate([self.pairs, pairs])
+        return np.fromiter(map(self.word.__getitem__, words), np.int64, len(words))
+
+    def aligned(self, raws: list[bytes]) -> tuple[dict[str, list], np.ndarray, np.ndarray]:
+        """Columns of the texts, and of all links the pair (B id, A id) and the place of its text, in text order."""
+        texts = []
+        for raw in raws:
+            try:
+                texts.append(raw.decode())
+            except UnicodeDecodeError:
+                texts.append("")  # not a text that its tokens could spell
+        runs = pc.match_substring_regex(pa.array([" " + t for t in texts], pa.large_string()), RUN if self.by_words else "").to_pylist()
+        alone = [k for k, (t, run) in enumerate(zip(texts, runs, strict=True)) if run and t]
+        groups, counts, pairs = self.whole([texts[k] for k in alone])
+        parts = pc.split_pattern(pa.array(["" if run else t for t, run in zip(texts, runs, strict=True)], pa.large_string()), " ")
+        words = parts.flatten().dictionary_encode()
+        of_word = self._places(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        bounds = parts.offsets.to_numpy()
+        known = np.array([g is not None for g in self.groups])[of_word]
+        good = np.add.reduceat(~known, bounds[:-1]) == 0
+        good &= np.array([bool(t) and not run for t, run in zip(texts, runs, strict=True)])
+        # links of a text: none, those of its words, or its own
+        sizes = self.counts[2][of_word] * np.repeat(good, np.diff(bounds))
+        first = np.cumsum(self.counts[2]) - self.counts[2]
+        found, ends = gathered(self.pairs, first[of_word], sizes, np.arange(len(of_word)))
+        ends = ends[bounds]
+        totals = np.add.reduceat(self.counts[:, of_word], bounds[:-1], axis=1) * good
+        out = [found[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        written = ["" for _ in texts]
+        for k in np.flatnonzero(good):
+            written[k] = ";".join(map(self.groups.__getitem__, of_word[bounds[k] : bounds[k + 1]].tolist()))
+        own = np.cumsum(counts[2]) - counts[2]
+        for k, group, start, count in zip(alone, groups, own, counts.T, strict=True):
+            written[k], out[k], totals[:, k] = group or "", pairs[start : start + count[2]], count
+        digests = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
+        columns = dict(zip(("n_a", "n_b", "n_groups", "n_links"), [*totals, totals[2]], strict=True)) | {"groups_sha256": digests}
+        return columns, np.concatenate(out), np.repeat(np.arange(len(raws)), [*map(len, out)])
+
+
+def _spelling(ids: np.ndarray, counts: np.ndarray, spelled: np.ndarray, letters: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which texts are spelled by their ids: texts of `counts` ids and of `sizes` bytes, one after another."""
+    flat, first, lengths = spelled
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    total = np.concatenate([[0], np.cumsum(lengths[ids])])[ends]
+    good = np.diff(total) == sizes
+    found, _ = gathered(flat, first, lengths, ids[np.repeat(good, counts)])
+    differs = np.concatenate([[0], np.cumsum(found != letters[np.repeat(good, sizes)])])
+    bounds = np.concatenate([[0], np.cumsum(sizes[good])])
+    good[good] = np.diff(differs[bounds]) == 0
+    return good
+
+
+def _flat(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes, and where each value starts and how long it is."""
+    lengths = np.fromiter(map(len, values), np.int64, len(values))
+    return np.frombuffer(b"".join(values), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
 @functools.cache
@@ -253,7 +327,7 @@ def _runs(documents: DataFrame, file_a: str, file_b: str) -> DataFrame:
         for batch in batches:
             data, offsets = flat_bytes(batch.column("text"))
             rows = batch.column("row").to_numpy()
-            for i, j in pieces(np.diff(offsets), 1 << 20):
+            for i, j in pieces(np.diff(offsets), TOGETHER):
                 columns, pairs, where = align([data[offsets[k] : offsets[k + 1]].tobytes() for k in range(i, j)])
                 columns |= {"row": rows[i:j], "doc_id": batch.column("doc_id")[i:j].to_pylist()}
                 yield filled(columns, j - i)

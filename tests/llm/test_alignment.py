@@ -79,6 +79,28 @@ def test_awkward_rows(spark, documents):  # noqa: F811
     check(alignment.align_tokenizers(clashing.unionByName(odd, allowMissingColumns=True), *FILES), rows)
 
 
+def test_any_white_space(spark):
+    """Words are aligned alone only where both tokenizers cut between them."""
+    random_ = np.random.default_rng(5)
+    some = list("ab,. \n\t") + ["\u00a0", "\u2003", "▁", " ", "é", "'s", "12", "\x1c", "\u3000", "the", "</s>", " <unk>"]
+    texts = ["".join(random_.choice(some, random_.integers(1, 25))) for _ in range(3000)]
+    aligner = alignment.Aligner(*FILES)
+    columns, pairs, place = aligner.aligned([t.encode() for t in texts])
+    expected = plain([(k, t) for k, t in enumerate(texts)])
+    for k, row in enumerate(expected):
+        assert [columns[c][k] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")] == [*row[1:5], row[7]], texts[k]
+    assert np.bincount(place, minlength=len(texts)).tolist() == [row[4] for row in expected]
+    assert sum(columns["n_a"] > 0) > 1000 and not aligner.aligned([b"\xff\xfe", b"a\xc3"])[1].size
+
+
+def test_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN_WORDS", 3)
+    aligner = alignment.Aligner(*FILES)
+    for k in range(5):
+        text = prose(k, 30)
+        assert aligner.aligned([text.encode()])[0]["groups_sha256"] == [plain([(0, text)])[0][7]]
+
+
 def test_empty_table(spark):
     found = alignment.align_tokenizers(empty(spark), *FILES)
     assert found.columns == COLUMNS and not found.collect()
