@@ -48,21 +48,35 @@ def detect_cardinality(spark: SparkSession, frames: Mapping[str, DataFrame], edg
 
     Every column is counted once however many edges it takes part in.
     """
-    carried = [n for n in ("SOURCE_SYSTEM",) if n in edges.columns]
-    sides = [(side, F.col(f"{side}_TABLE").alias("T"), F.col(f"{side}_COLUMN").alias("N")) for side in ("FROM", "TO")]
-    columns = union_all(edges.select(t, n) for _, t, n in sides).distinct()
-    known = sorted((r.T, r.N) for r in catalog_rows(columns))  # a row a column; edges stay in Spark
+    known = sorted((r.T, r.N) for r in catalog_rows(edge_columns(edges)))  # a row a column; edges stay in Spark
     ids = {column: str(number) for number, column in enumerate(known)}
+    counts = None
+    if ids:
+        numbered = local_frame(spark, [{"T": t, "N": n, "C": c} for (t, n), c in ids.items()], _COLUMNS)
+        counts = numbered.join(key_counts(frames, ids), "C", "left")
+    return classified(edges, counts)
+
+
+_SIDES = [(side, f"{side}_TABLE", f"{side}_COLUMN") for side in ("FROM", "TO")]
+
+
+def edge_columns(edges: DataFrame) -> DataFrame:
+    """The distinct columns (T, N) of edges."""
+    return union_all(edges.select(F.col(t).alias("T"), F.col(n).alias("N")) for _, t, n in _SIDES).distinct()
+
+
+def classified(edges: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """Edges with the key counts (T, N, DISTINCT_KEYS, DUPLICATE_KEYS) of both sides, class and reason."""
+    carried = [n for n in ("SOURCE_SYSTEM",) if n in edges.columns]
     if "SOURCE_SYSTEM" not in edges.columns:
         edges = edges.withColumn("SOURCE_SYSTEM", F.lit(None).cast("string"))
     key = ["SOURCE_SYSTEM", *EDGE_KEY]
     # One row per edge and side, so the counts are computed and joined once.
     ends = edges.select(
-        *key, F.inline(F.array(*[F.struct(F.lit(side).alias("SIDE"), t, n) for side, t, n in sides]))
+        *key, F.inline(F.array(*[F.struct(F.lit(side).alias("SIDE"), F.col(t).alias("T"), F.col(n).alias("N")) for side, t, n in _SIDES]))
     )
-    if ids:
-        numbered = local_frame(spark, [{"T": t, "N": n, "C": c} for (t, n), c in ids.items()], _COLUMNS)
-        counted = ends.join(numbered.join(key_counts(frames, ids), "C", "left"), ["T", "N"], "left")
+    if counts is not None:
+        counted = ends.join(counts, ["T", "N"], "left")
     else:
         counted = ends.withColumns({f"{kind}_KEYS": F.lit(None).cast("long") for kind in ("DISTINCT", "DUPLICATE")})
     sided = counted.groupBy(*key).agg(

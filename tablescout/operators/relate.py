@@ -195,9 +195,14 @@ def value_overlap(
         *PAIR_KEY,
         F.coalesce("MATCH_COUNT", zero).alias("MATCH_COUNT"),
         F.coalesce("CHILD_NON_NULL_COUNT", zero).alias("CHILD_NON_NULL_COUNT"),
-    ).withColumn("MATCH_RATE", ratio(F.col("MATCH_COUNT"), F.col("CHILD_NON_NULL_COUNT")))
+    )
+    return labelled_overlap(result, min_label)
+
+
+def labelled_overlap(counted: DataFrame, min_label: str = "WEAK") -> DataFrame:
+    """Pairs with their counts, rated, scored and labelled; those below the least label go."""
     rate = F.col("MATCH_RATE")
-    labelled = result.withColumns(
+    labelled = counted.withColumn("MATCH_RATE", ratio(F.col("MATCH_COUNT"), F.col("CHILD_NON_NULL_COUNT"))).withColumns(
         {
             "CONFIDENCE_SCORE": confidence_score(rate),
             "CONFIDENCE_LABEL": confidence_label(rate),

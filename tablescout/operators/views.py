@@ -134,11 +134,14 @@ def bridge_view(parent: DataFrame, child: DataFrame, edge: Edge) -> DataFrame:
     """Distinct matching key pairs.  The keys are equal, so each side is reduced to its distinct
     keys before the join and the row-level join never happens."""
     parents, children = _key_rows(parent, child, edge)
+    return bridge_of_keys(parents.distinct(), children.distinct(), edge)
+
+
+def bridge_of_keys(parents: DataFrame, children: DataFrame, edge: Edge) -> DataFrame:
+    """The bridge of distinct keys K of both sides."""
     text = F.col("K").cast("string")
-    return (
-        parents.distinct()
-        .join(children.distinct(), "K")
-        .select(text.alias("PARENT_KEY_VALUE"), text.alias("CHILD_KEY_VALUE"), *_constants(edge, with_class=True))
+    return parents.join(children, "K").select(
+        text.alias("PARENT_KEY_VALUE"), text.alias("CHILD_KEY_VALUE"), *_constants(edge, with_class=True)
     )
 
 
@@ -153,9 +156,15 @@ def summary_view(parent: DataFrame, child: DataFrame, edge: Edge) -> DataFrame:
         rows.groupBy("K").agg(F.count(F.lit(1)).alias(name))
         for rows, name in ((parents, "PARENT_ROWS"), (children, "CHILD_ROWS"))
     ]
-    return counts[0].join(counts[1], "K").select(
+    joined = counts[0].join(counts[1], "K")
+    return summary_of_keys(joined.select("K", (F.col("PARENT_ROWS") * F.col("CHILD_ROWS")).alias("JOINED_ROW_COUNT")), edge)
+
+
+def summary_of_keys(joined: DataFrame, edge: Edge) -> DataFrame:
+    """The summary of keys (K, JOINED_ROW_COUNT)."""
+    return joined.select(
         F.col("K").cast("string").alias("PARENT_KEY_VALUE"),
-        (F.col("PARENT_ROWS") * F.col("CHILD_ROWS")).alias("JOINED_ROW_COUNT"),
+        "JOINED_ROW_COUNT",
         F.lit(1).cast("long").alias("DISTINCT_CHILD_KEY_COUNT"),
         *_constants(edge, with_class=True),
     )

@@ -19,6 +19,7 @@ from tablescout.operators.keys import key_candidates
 from tablescout.operators.profile import profile_tables
 from tablescout.operators.relate import candidate_pairs, value_overlap
 from tablescout.plans.store import TableStore, new_run_id
+from tablescout.plans.value_index import ValueIndex
 
 
 @dataclass(frozen=True)
@@ -74,12 +75,17 @@ def store_profiles(
                 try:
                     profile({table: frame})
                 except Exception as error:
-                    warnings.warn(f"{table} could not be profiled: {error}", stacklevel=2)
-                    store.append_rows("PROFILE_FAILURES", [{
-                        "PROFILE_RUN_ID": run_id, "SOURCE_SYSTEM": place.source_system, "TARGET_DATABASE": place.database,
-                        "TARGET_SCHEMA": place.schema, "TARGET_TABLE": table, "ERROR_MESSAGE": str(error),
-                        "FAILED_AT": datetime.now(UTC),
-                    }])
+                    store_failures(store, place, run_id, {table: str(error)})
+
+
+def store_failures(store: TableStore, place: Place, run_id: str, failures: Mapping[str, str]) -> None:
+    """Tables that could not be read, with their errors."""
+    for table, error in failures.items():
+        warnings.warn(f"{table} could not be profiled: {error}", stacklevel=2)
+        store.append_rows("PROFILE_FAILURES", [{
+            "PROFILE_RUN_ID": run_id, "SOURCE_SYSTEM": place.source_system, "TARGET_DATABASE": place.database,
+            "TARGET_SCHEMA": place.schema, "TARGET_TABLE": table, "ERROR_MESSAGE": error, "FAILED_AT": datetime.now(UTC),
+        }])
 
 
 def discover(
@@ -89,15 +95,26 @@ def discover(
     store: TableStore,
     naming: Naming = Naming(),
     min_label: str = "WEAK",
+    index: ValueIndex | None = None,
 ) -> None:
-    """Run all discovery steps and append each result to its catalog table."""
+    """Run all discovery steps and append each result to its catalog table.
+
+    With an index every table is scanned once, to write the index; all steps read that.  Tables whose columns are in the
+    index already, in the version that it names, are not scanned at all when `frames` leaves them out.
+    """
     now = F.current_timestamp()
     profile_run, relationship_run, cardinality_run = (new_run_id() for _ in range(3))
-    store_profiles(spark, frames, place, store, profile_run)
+    if index:
+        failures = index.build(frames)
+        store_failures(store, place, profile_run, failures)
+        store.append("COLUMN_PROFILE", stamped_profile(index.profile(), place, profile_run))
+    else:
+        store_profiles(spark, frames, place, store, profile_run)
     profile = store.read("COLUMN_PROFILE").where(F.col("PROFILE_RUN_ID") == profile_run)
     store.append("KEY_CANDIDATES", key_candidates(profile).withColumn("CREATED_AT", now))
     candidates = store.read("KEY_CANDIDATES").where(F.col("PROFILE_RUN_ID") == profile_run)
-    overlap = value_overlap(spark, frames, candidate_pairs(candidates), min_label)
+    pairs = candidate_pairs(candidates)
+    overlap = index.overlap(pairs, min_label) if index else value_overlap(spark, frames, pairs, min_label)
     store.append(
         "RELATIONSHIP_CANDIDATES",
         overlap.withColumns({"RELATIONSHIP_RUN_ID": F.lit(relationship_run), "CREATED_AT": now}),
@@ -107,9 +124,8 @@ def discover(
     graph = relationship_graph(usable)
     store.append("RELATIONSHIP_GRAPH", graph.withColumn("CREATED_AT", now))
     store.append("ENTITY_MAP", entity_map(usable, naming).withColumn("CREATED_AT", now))
+    cardinality = index.cardinality(graph) if index else detect_cardinality(spark, frames, graph)
     store.append(
         "RELATIONSHIP_CARDINALITY",
-        detect_cardinality(spark, frames, graph).withColumns(
-            {"CARDINALITY_RUN_ID": F.lit(cardinality_run), "CREATED_AT": now}
-        ),
+        cardinality.withColumns({"CARDINALITY_RUN_ID": F.lit(cardinality_run), "CREATED_AT": now}),
     )

@@ -123,6 +123,20 @@ CARDINALITY = _schema(
     ("timestamp", "CREATED_AT"),
 )
 
+VALUE_INDEX = T.StructType(
+    [
+        T.StructField("TARGET_TABLE", T.StringType()),
+        T.StructField("TABLE_VERSION", T.StringType()),
+        T.StructField("FOLDERS", T.ArrayType(T.StringType())),
+        T.StructField("BUCKETS", T.IntegerType()),
+        T.StructField(
+            "COLUMNS",
+            T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("NAME", "DATA_TYPE", "TEXT_LO", "TEXT_HI")])),
+        ),
+        T.StructField("COMMITTED_AT", T.TimestampType()),
+    ]
+)
+
 EDGE_KEY = ["FROM_TABLE", "FROM_COLUMN", "TO_TABLE", "TO_COLUMN"]
 
 # Documents at the JSON edge.

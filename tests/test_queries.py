@@ -17,7 +17,8 @@ QUICK = [
     "watermark_upsert", "run_log_latest", "validate_counts", "run_summary", "latest_tables", "shared_columns",
     "latest_cardinality", "value_overlap", "cardinality_edges", "name_compatibility", "flat_view_null_keys",
     "object_view_unknown", "bridge_view", "summary_view", "view_decisions", "entity_names", "conform_large_numbers",
-    "ingest_failures", "registered_views", "cardinality",
+    "ingest_failures", "registered_views", "cardinality", "profile_index", "value_overlap_all", "value_overlap_high",
+    "discovery_index", "profile_after_delta", "summary_after_merge", "summary_index", "bridge_index",
 ]
 NAMES = sorted(ORACLES) if os.environ.get("ALL_QUERIES") else QUICK
 
