@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
 from time import perf_counter
 
@@ -20,12 +20,13 @@ from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.catalog import latest_watermarks
 from tablescout.operators.conform import ColumnPlan, column_plan, conform, planned_columns, with_lineage
 from tablescout.operators.merge import duplicate_keys, key_bucket, latest_per_key, merge_upsert
-from tablescout.plans.store import BUCKET, TableStore, Version, new_run_id
+from tablescout.plans.store import BUCKET, State, TableStore, Version, new_run_id
 from tablescout.schemas import WATERMARK_KEY
 from tablescout.sources.base import Source, Watermark, discover_tables, unknown_tables
 
 MODES = ("full_refresh", "incremental", "incremental_plan")
 FULL = "full_refresh"
+APPENDED, MERGED = "appended", "merged"
 BY_TIMESTAMP = "timestamp"
 
 # Names of validations, and how much of an error is kept.
@@ -80,6 +81,25 @@ FACTS = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class Change:
+    """What a load has written of a table, and upon what: enough to bring it upon a later version."""
+
+    target_table: str
+    kind: str
+    base: Version | None
+    version: Version | None = None
+    folder: str | None = None
+    # of a merge: the buckets that its folder holds, the staged rows and their key
+    touched: tuple[int, ...] = ()
+    stage: DataFrame | None = None
+    key: tuple[str, ...] = ()
+    # the watermark that the load started from, and the one it reached
+    mark_key: tuple | None = None
+    since: Watermark | None = None
+    new_watermark: dict | None = None
+
+
 def load_strategy(mode: str, config: IncrementalTable | None, since: Watermark | None) -> str:
     """full_refresh, or timestamp for a configured table with a stored watermark."""
     if mode not in MODES:
@@ -204,9 +224,9 @@ class Ingestion:
         }
         self._versions: dict[str, Version] = {}
         self._watermarks: dict[tuple, Watermark] = {}
-        # What the loads of this run have written, made current together at its end.
-        self._written: dict[str, Version] = {}
-        self._new_watermarks: list[dict] = []
+        # What the loads of this run have written, by source table, made current together at its end.
+        self._changes: dict[str, Change] = {}
+        self._attempt = 0
 
     # Run life-cycle
 
@@ -215,10 +235,7 @@ class Ingestion:
         base = {**self._place, "LOAD_MODE": self.options.mode, "STARTED_AT": datetime.now(UTC)}
         self.store.append_rows("INGESTION_RUN_LOG", [{**base, "STATUS": "RUNNING"}])
         try:
-            outcomes = self._load_all()
-            # Versions first: a watermark must not run ahead of the rows it stands for.
-            self.store.commit(self._written)
-            self.store.append_rows("INGESTION_WATERMARKS", self._new_watermarks)
+            outcomes = self._committed(self._load_all())
             self._write_catalogs(outcomes)
             failed = sum(fact["ERROR"] is not None for fact, _ in outcomes)
             self._finish(base, "PARTIAL_SUCCESS" if failed else "SUCCESS", f"{failed} table(s) failed" if failed else None)
@@ -227,6 +244,59 @@ class Ingestion:
             raise
         return self.store.read("INGESTION_TABLE_CATALOG").where(F.col("RUN_ID") == self.run_id)
 
+    def _committed(self, outcomes: list[tuple[dict, list[dict]]]) -> list[tuple[dict, list[dict]]]:
+        """Make all changes current by one record; where other runs have committed in between, upon what they left."""
+        while True:
+            state = self.store.state()
+            for table, change in list(self._changes.items()):
+                if self._outdated(change, state):
+                    outcomes = self._rebased(table, change, state, outcomes)
+            changes = self._changes.values()
+            versions = {c.target_table: c.version for c in changes}
+            marks = [c.new_watermark for c in changes if c.new_watermark]
+            if not changes or self.store.commit(state.number + 1, versions, marks):
+                return outcomes
+
+    def _outdated(self, change: Change, state: State) -> bool:
+        return state.versions.get(change.target_table) != change.base or self._moved(change, state)
+
+    def _moved(self, change: Change, state: State) -> bool:
+        """Whether the watermark is no longer the one that the load started from."""
+        return change.mark_key in state.watermarks and _watermark(state.watermarks[change.mark_key]) != change.since
+
+    def _rebased(self, table: str, change: Change, state: State, outcomes: list) -> list:
+        """Bring a change upon what is current now; gives the outcomes of the run.
+
+        A full load replaces whatever there is.  A delta whose rows others may have loaded is loaded again from the new
+        watermark.  Other deltas keep what was written, unless their buckets have changed: then the staged rows are
+        merged again.
+        """
+        self._attempt += 1
+        current = state.versions.get(change.target_table)
+        if change.kind == FULL:
+            self._changes[table] = replace(change, base=current, since=self._since(change, state))
+            return outcomes
+        if self._moved(change, state) or current is None or change.kind == MERGED and current.key != change.version.key:
+            del self._changes[table]
+            self._versions, self._watermarks = state.versions, self._stored_watermarks()
+            again = self._load_table(table, change.target_table)
+            return [again if fact["SOURCE_TABLE"] == table else (fact, columns) for fact, columns in outcomes]
+        if change.kind == APPENDED:
+            version = current.with_part(change.folder)
+        elif change.touched and current.buckets == change.version.buckets and current.layout(change.touched) == change.base.layout(change.touched):
+            version = current.with_part(change.folder, change.touched)
+        elif change.stage is None:  # nothing was merged
+            version = current
+        else:
+            version, change = self._merge_staged(change, current)
+        self._changes[table] = replace(change, base=current, version=version)
+        present = self.store.open(change.target_table, version).count()
+        return [({**f, "TARGET_ROWS": present} if f["SOURCE_TABLE"] == table else f, columns) for f, columns in outcomes]
+
+    def _since(self, change: Change, state: State) -> Watermark | None:
+        row = state.watermarks.get(change.mark_key)
+        return _watermark(row) if row else None
+
     def _finish(self, base: dict, status: str, message: str | None) -> None:
         row = {**base, "FINISHED_AT": datetime.now(UTC), "STATUS": status, "ERROR_MESSAGE": message}
         self.store.append_rows("INGESTION_RUN_LOG", [row])
@@ -292,12 +362,15 @@ class Ingestion:
             for row in catalog_rows(latest_watermarks(own))
         }
 
-    def _store_watermark(self, key: tuple, newest: str, dtype: str) -> None:
-        row = {
+    def _new_watermark(self, key: tuple, newest: str, dtype: str) -> dict:
+        return {
             **dict(zip(WATERMARK_KEY, key, strict=True)), "WATERMARK_VALUE": newest, "WATERMARK_TYPE": dtype,
             "LAST_SUCCESSFUL_RUN_ID": self.run_id, "UPDATED_AT": datetime.now(UTC),
         }
-        self._new_watermarks.append(row)
+
+    def _folder(self) -> str:
+        """Where this run writes: a folder of its own for each attempt."""
+        return f"{self.run_id}-{self._attempt}" if self._attempt else self.run_id
 
     # Loading
 
@@ -324,23 +397,22 @@ class Ingestion:
         watermark = key_columns(plan, [config.watermark_column])[0] if config else None
         key = key_columns(plan, config.primary_key) if config else ()
         fact["MERGED"] = strategy != FULL and bool(key)
+        change = Change(target_table, FULL, self._versions.get(target_table), mark_key=mark_key, since=self._watermarks.get(mark_key))
         if strategy != FULL:
             check_schema(conformed, current)
         if strategy == FULL:
-            current, loaded, newest = self._new_version(conformed, target_table, key, watermark)
+            version, loaded, newest = self._new_version(conformed, target_table, key, watermark)
+            change = replace(change, version=version)
         elif fact["MERGED"]:
-            current, loaded, newest = self._merge(
-                conformed, target_table, current, key, watermark, config.on_duplicate
-            )
+            change, loaded, newest = self._merge(change, conformed, key, watermark, config.on_duplicate)
         else:
-            loaded, newest = self._write(
-                laid_out(conformed, current.key, current.buckets), watermark, target_table, self.run_id
-            )
-            current = current.with_part(self.run_id)
-        present = self.store.open(target_table, current).count()
-        self._written[target_table] = current
+            folder = self._folder()
+            loaded, newest = self._write(laid_out(conformed, current.key, current.buckets), watermark, target_table, folder)
+            change = replace(change, kind=APPENDED, version=current.with_part(folder), folder=folder)
+        present = self.store.open(target_table, change.version).count()
         if newest is not None:
-            self._store_watermark(mark_key, newest, dict(rows.dtypes)[config.watermark_column])
+            change = replace(change, new_watermark=self._new_watermark(mark_key, newest, dict(rows.dtypes)[config.watermark_column]))
+        self._changes[table] = change
         return {**fact, "LOADED_ROWS": loaded, "TARGET_ROWS": present}
 
     def _write(self, rows: DataFrame, watermark: str | None, table: str, folder: str) -> tuple[int, str | None]:
@@ -356,12 +428,12 @@ class Ingestion:
                      watermark: str | None) -> tuple[Version, int, str | None]:
         """Write rows as a version of their own."""
         placed = laid_out(rows, key, self.options.merge_buckets)
-        version = Version(self.run_id, placed.schema, key, self.options.merge_buckets if key else 0)
+        version = Version(self._folder(), placed.schema, key, self.options.merge_buckets if key else 0)
         loaded, newest = self._write(placed, watermark, target_table, version.name)
         return version, loaded, newest
 
-    def _merge(self, rows: DataFrame, target_table: str, current: Version, key: tuple[str, ...], watermark: str,
-               on_duplicate: str) -> tuple[Version, int, str | None]:
+    def _merge(self, change: Change, rows: DataFrame, key: tuple[str, ...], watermark: str,
+               on_duplicate: str) -> tuple[Change, int, str | None]:
         """Stage the delta, then write the buckets it touches anew, in a folder of their own.
 
         Staging reads the source once; the duplicate check, the touched buckets and the merge read
@@ -369,29 +441,46 @@ class Ingestion:
         buckets from the new folder and the others from where they were.  A table that is not laid out
         by this key, or is spread over MOST_PARTS folders, is rewritten whole.
         """
+        current, target_table = change.base, change.target_table
         in_place = current.key == key and len(current.all_parts()) < MOST_PARTS
         placed = laid_out(rows, key, current.buckets if in_place else self.options.merge_buckets)
-        stage_table = f"{target_table}_STG"
-        loaded, newest = self._write(placed, watermark, stage_table, self.run_id)
+        stage_table, folder = f"{target_table}_STG", self._folder()
+        loaded, newest = self._write(placed, watermark, stage_table, folder)
+        change = replace(change, kind=MERGED, version=current)
         if loaded == 0:
-            return current, loaded, newest
-        stage = self.store.open(stage_table, Version(self.run_id, placed.schema))
+            return change, loaded, newest
+        stage = self.store.open(stage_table, Version(folder, placed.schema))
         if on_duplicate == "latest":
             keyless = stage.where(" or ".join(f"`{name}` is null" for name in key))
             stage = latest_per_key(stage.dropna(subset=list(key)), key, [F.desc(watermark)]).unionByName(keyless)
         elif duplicate_keys(stage, key).limit(1).count():
             raise ValueError(f"the delta of {target_table} holds a key more than once")
-        target = self.store.open(target_table, current)
+        version, change = self._merge_staged(replace(change, stage=stage, key=key), current)
+        return replace(change, version=version), loaded, newest
+
+    def _merge_staged(self, change: Change, current: Version) -> tuple[Version, Change]:
+        """Write the rows of a version that a staged delta touches anew; gives the version that reads them."""
+        stage, key, folder = change.stage, change.key, self._folder()
+        target = self.store.open(change.target_table, current)
+        # a stage of another number of buckets has other buckets
+        in_place = current.key == key and len(current.all_parts()) < MOST_PARTS and current.buckets == (
+            change.version.buckets if change.version.key == key else self.options.merge_buckets
+        )
         if not in_place:
             target = target.drop(BUCKET)
             merged = merge_upsert(target, stage.select(target.columns), key)
-            return self._new_version(merged, target_table, key, None)[0], loaded, newest
+            version = self._new_version(merged, change.target_table, key, None)[0]
+            return version, replace(change, folder=folder, touched=())
         # At most one row per bucket comes to the driver; the list prunes the scan to these buckets.
-        touched = [row[0] for row in stage.select(BUCKET).distinct().collect()]
-        target = target.where(F.col(BUCKET).isin(touched))
+        touched = tuple(row[0] for row in stage.select(BUCKET).distinct().collect())
+        target = target.where(F.col(BUCKET).isin(*touched))
         merged = gathered(merge_upsert(target, stage.select(target.columns), key))
-        merged.write.partitionBy(BUCKET).mode("overwrite").parquet(self.store.path(target_table, self.run_id))
-        return current.with_part(self.run_id, touched), loaded, newest
+        merged.write.partitionBy(BUCKET).mode("overwrite").parquet(self.store.path(change.target_table, folder))
+        return current.with_part(folder, touched), replace(change, folder=folder, touched=touched)
+
+
+def _watermark(row: Mapping) -> Watermark:
+    return Watermark(row["WATERMARK_VALUE"], row["WATERMARK_TYPE"])
 
 
 def ingest(spark: SparkSession, source: Source, target: Target, store: TableStore,
