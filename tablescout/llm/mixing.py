@@ -24,6 +24,7 @@ from tablescout.llm.common import WORD, staged
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 GROUP = 4096  # documents rounded together at the leaves of the tree
+PIECE = 1 << 16  # neighbouring rows, of which equal ones are numbered by one task
 FAN_IN = 256  # fractional documents combined by one node above
 CORRECTIONS = 2
 _SURE = 1e-9
@@ -86,7 +87,7 @@ def _rounded(p: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np
     return p
 
 
-_ROW = "doc_id long, source string, size long, nth int, source_size long, target double, sure long, rank long, node long, p double"
+_ROW = "row long, doc_id long, source string, size long, nth long, source_size long, target double, sure long, rank long, node long, p double"
 _NAMES = [column.split()[0] for column in _ROW.split(", ")]
 
 
@@ -139,39 +140,59 @@ def mix(
     and the columns to keep.
 
     Null texts have size 0.  Documents of size 0 have no copies and take nothing.  A null source is a source of
-    its own; null and repeated doc_ids are rows like others, and rows equal in doc_id, source and size share
-    their copies in an order of no meaning.  An empty table gives no rows; other columns are ignored.  The
+    its own; null and repeated doc_ids are rows like others, and rows equal in doc_id, source, text and the columns to
+    keep share their copies in an order of no meaning.  An empty table gives no rows; other columns are ignored.  The
     choice depends on seed and data only, not on how Spark deals them out.
     """
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"),
+        word_count(F.col("text")).alias("size"), F.xxhash64("text", *keep).alias("mark"),
+        F.monotonically_increasing_id().alias("row"), *keep,
     )
-    equal = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
-    mixed = mix_sizes(staged(rows.withColumn("nth", F.row_number().over(equal)), "sizes"), weights, most, seed, group, fan_in)
+    # with what is to be kept, so that a row has its number for good and is joined back by that
+    rows = staged(rows, "rows")
+    mixed = mix_sizes(numbered(rows.select("row", "doc_id", "source", "size", "mark")), weights, most, seed, group, fan_in)
     if not keep:
-        return mixed.drop("nth")
-    mine = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"), *keep,
-    ).withColumn("nth", F.row_number().over(equal))
-    same = reduce(Column.__and__, (mine[c].eqNullSafe(mixed[c]) for c in ("doc_id", "source", "size", "nth")))
-    extra = ["source_size", "target", "copies", "taken"]
-    return mine.join(mixed, same).select(*(mine[c] for c in ("doc_id", "source", "size", *keep)), *(mixed[c] for c in extra))
+        return mixed.drop("row", "nth")
+    return mixed.join(rows.select("row", *keep), "row").drop("row").select(
+        "doc_id", "source", "size", *keep, "source_size", "target", "copies", "taken"
+    )
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows with nth: 1, 2, ... among those equal in doc_id, source, size and mark.
+
+    Done in two steps, so that a group of a third of all rows is not numbered by one task: within pieces of at most
+    PIECE neighbouring rows, and for each piece how many come before it.
+    """
+    key = ["doc_id", "source", "size", "mark"]
+    pieces = rows.withColumn("piece", F.expr(f"row div {PIECE}"))
+    counts = pieces.groupBy(*key, "piece").count()
+    earlier = Window.partitionBy(*key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(F.col(c).alias(f"of_{c}") for c in [*key, "piece"]), F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    within = pieces.withColumn("within", F.row_number().over(Window.partitionBy(*key, "piece").orderBy("row")))
+    same = reduce(Column.__and__, (within[c].eqNullSafe(counts[f"of_{c}"]) for c in [*key, "piece"]))
+    return within.join(counts, same).select("row", *key, (F.col("within") + F.col("before")).alias("nth"))
 
 
 def mix_sizes(rows: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=42, group=GROUP, fan_in=FAN_IN) -> DataFrame:
-    """`mix` for rows (doc_id, source, size, nth), nth telling apart rows that are equal else."""
+    """`mix` for rows (doc_id, source, size, nth), nth telling apart rows that are equal else.
+
+    They may have a unique `row` to be known by, and a `mark` of what else tells them apart.
+    """
+    if "row" not in rows.columns:
+        rows = rows.withColumns({"row": F.monotonically_increasing_id(), "mark": F.lit(0)})
+    rows = staged(rows, "numbered")
     targets = source_targets(rows, weights, most)
     groups = max(1, -(-rows.count() // group))
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sure = F.when(F.col("size") > 0, F.floor(due + _SURE)).otherwise(0).cast("long")
-    mark = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size", "nth")
+    rank = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size", "mark", "nth")
     joined = rows.join(targets, rows["source"].eqNullSafe(targets["source"]), "inner").drop(targets["source"])
     rated = staged(
         joined.select(
-            "doc_id", "source", "size", "nth", "source_size", "target", sure.alias("sure"), mark.alias("rank"),
-            F.pmod(mark, F.lit(groups)).alias("node"),
+            "row", "doc_id", "source", "size", F.col("nth").cast("long").alias("nth"), "source_size", "target", sure.alias("sure"), rank.alias("rank"),
+            F.pmod(rank, F.lit(groups)).alias("node"),
             F.when(F.col("size") > 0, F.greatest(due - F.floor(due + _SURE), F.lit(0.0))).otherwise(0.0).alias("p"),
         ),
         "rated",
@@ -191,7 +212,7 @@ def mix_sizes(rows: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=42, group
         rows = staged(_corrected(rows, most), "corrected")
     copies = F.col("sure") + F.col("extra")
     return rows.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "nth", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "row", "doc_id", "source", "size", "nth", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
@@ -209,13 +230,10 @@ def _corrected(rows: DataFrame, most: int) -> DataFrame:
         rows.join(misses, rows["source"].eqNullSafe(misses["missing"]))
         .where(can & (F.col("size") > 0) & (cost < F.abs("miss")) & ~F.col("whole"))
         .groupBy("source", "miss")
-        .agg(F.min(F.struct(cost.alias("cost"), "rank", "doc_id", "size")).alias("pick"))
+        .agg(F.min(F.struct(cost.alias("cost"), "rank", "row")).alias("pick"))
         .select(F.col("source").alias("picked"), "pick", F.signum("miss").cast("long").alias("step"))
     )
-    this = (
-        F.col("rank").eqNullSafe(F.col("pick.rank")) & F.col("doc_id").eqNullSafe(F.col("pick.doc_id"))
-        & (F.col("size") == F.col("pick.size"))
-    )
+    this = F.col("row").eqNullSafe(F.col("pick.row"))
     joined = rows.join(picks, rows["source"].eqNullSafe(picks["picked"]), "left")
     changed = F.col("extra") + F.when(this, F.col("step")).otherwise(0)
     return joined.withColumn("extra", changed).drop("picked", "pick", "step")

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 from pathlib import Path
@@ -48,6 +49,29 @@ def test_neighbours_are_exact_at_factor_one(spark, shard, block):
     assert [r[3] for r in found] == pytest.approx([r[3] for r in expected])
 
 
+def test_scaled_copies_are_ranked_by_exact_scores(spark):
+    """Scores that differ in the last place only: nothing that rounding holds equal may be left out."""
+    random_ = np.random.default_rng(7)
+    base = random_.normal(size=8)
+    rows = [(k, [float(x) for x in np.float32(base * s)], None) for k, s in enumerate(random_.uniform(0.1, 9, 200))]
+    rows += [(3, rows[8][1], None), (3, rows[9][1], None)]  # an id of several vectors
+    frame = spark.createDataFrame(rows, VECTORS)
+    found = sorted(map(tuple, nearest(frame, frame.where("vec_id % 50 = 0 AND vec_id <> 0"), 5, shard=64).collect()))
+
+    def dot(x, y):
+        out = 0.0
+        for a, b in zip(x, y, strict=True):
+            out += a * b
+        return out
+
+    expected = []
+    for q in (50, 100, 150):
+        x = rows[q][1]
+        scored = sorted((-(dot(x, y) / (math.sqrt(dot(x, x)) * math.sqrt(dot(y, y)))), i) for i, y, _ in rows if i != q)
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], start=1)]
+    assert found == expected
+
+
 def test_larger_factors_skip_more_and_few_candidates_give_few_rows(spark):
     rows = vectors(2000, 6)
     frame = spark.createDataFrame(rows, VECTORS)
@@ -143,6 +167,19 @@ def test_benchmark_edges(spark):
     assert decontaminate.without_benchmark(documents, benchmark.limit(0)).count() == documents.count()
 
 
+def test_mix_does_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    """Null and repeated ids of equal size, copies among them: the same rows are taken the same number of times."""
+    monkeypatch.setattr(mixing, "PIECE", 4)
+    rows = [(None if k % 3 else k % 7, prose(k % 40, 12), "en", f"s{k % 2}", k % 5) for k in range(121)]
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    found = []
+    for parts in (1, 3, 8):
+        mixed = mixing.mix(frame.repartition(parts), group=16, fan_in=4, keep=["text", "n_chars"]).collect()
+        assert len(mixed) == len(rows)
+        found.append(sorted(map(str, mixed)))
+    assert found[0] == found[1] == found[2]
+
+
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
     order = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
