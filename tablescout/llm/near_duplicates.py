@@ -390,14 +390,17 @@ def _texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
     return rows.select("node", "text")
 
 
-def first_of_each_id(documents: DataFrame) -> DataFrame:
-    """Of rows that share a doc_id, the first by its other columns; rows without doc_id stay.
+def one_of_each_group(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of documents but for near-duplicates: of each group one row stays, that of the smallest doc_id.
 
-    Only rows of repeated ids are shuffled whole.
+    Groups are those of rows: rows that share a doc_id but not their text are no duplicates and stay, copies go
+    whatever their ids.  Rows without doc_id are linked like others and come last.  Of rows of one id the first by a hash
+    of the text stays.  Null, empty and blank texts are no duplicates of anything.  An empty table gives no rows.
     """
-    several = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if several.isEmpty():
-        return documents
-    rest = [F.col(c) for c in documents.columns if c != "doc_id"]
-    first = documents.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("first"))
-    return documents.join(several, "doc_id", "left_anti").unionByName(first.select("doc_id", "first.*"))
+    row = "row number of the table"
+    numbered = staged(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), words, percent)
+    named = numbered.select(row, F.col("doc_id").isNull().alias("nameless"), "doc_id", F.xxhash64("text").alias("mark"))
+    grouped = found.select(F.col("doc_id").alias(row), "component_id").join(named, row)
+    first = grouped.groupBy("component_id").agg(F.min(F.struct("nameless", "doc_id", "mark", row)).alias("first"))
+    return numbered.join(first.select(F.col("first")[row].alias(row)), row, "left_semi").drop(row)
