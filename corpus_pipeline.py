@@ -26,30 +26,38 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each group of near-duplicates: five-word shingles, similarity 0.8.
+    """One document of each group of near-duplicates, that of the smallest doc_id: five-word shingles, similarity 0.8.
 
-    Of rows with one doc_id the first by text stays; rows without doc_id stay.
+    Rows that share a doc_id but not their text all stay; rows without doc_id go where they are copies of others.
+    Null, empty and blank texts stay.  An empty table gives no rows.
     """
-    found = near_duplicates.near_duplicates(docs, words=5, percent=80)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
-    return near_duplicates.first_of_each_id(rest)
+    return near_duplicates.one_of_each_group(docs.select(*COLUMNS), words=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage; a document that holds one goes whole."""
+    """Documents without a benchmark passage; a document that holds one goes whole.
+
+    Null and empty texts hold none.  Rows are seen one by one, so repeated and null ids do not matter.
+    """
     return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, 0 to 3 times; repeats have the same doc_id."""
+    """Documents as often as the mix takes them, 0 to 3 times; repeats have the same doc_id.
+
+    Texts without words are not taken.  A null source is a source of its own; rows of one doc_id, or of none, are
+    drawn one by one.  The same documents give the same mix, however they are dealt out.
+    """
     copies = mixing.mix(docs, keep=["text", "lang", "n_chars"])
     repeated = copies.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return repeated.select(*COLUMNS)
 
 
 def token_store_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents written to a token store and read back: doc_id, start, n_tokens, ids_crc32."""
+    """Documents written to a token store and read back: doc_id, start, n_tokens, ids_crc32.
+
+    Null texts are empty and have the end id only; null ids come first, no row is dropped.
+    """
     path = scratch(spark, "pipeline-token-store")
     token_store.write_store(docs, path, tokenizer("word_bpe_49k.json"))
     return token_store.read_store(spark, path)
