@@ -38,8 +38,11 @@ def fit_dictionaries(training: DataFrame, sample: int = SAMPLE, piece: int = PIE
     start = (F.pmod(F.xxhash64("mark"), places) + 1).cast("int")
     rows = rows.select("lang", "mark", F.substring("text", start, F.lit(piece)).alias("piece"))
     rows = rows.groupBy("lang", "piece").agg(F.min("mark").alias("mark"))
-    first = Window.partitionBy("lang").orderBy("mark", "piece")
-    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).select("lang", "mark", "piece")
+    # in two steps: first of parts of a language, so that what one task gets of it does not grow with the tasks before
+    for part in (F.pmod("mark", F.lit(PARTS)), F.lit(0)):
+        first = Window.partitionBy("lang", part).orderBy("mark", "piece")
+        rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).drop("n")
+    chosen = rows.select("lang", "mark", "piece")
     out: dict[str, list[str]] = {}
     for row in sorted(chosen.collect(), key=lambda r: (r.lang, r.mark, r.piece)):
         out.setdefault(row.lang, []).append(row.piece)
