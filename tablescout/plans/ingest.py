@@ -20,7 +20,7 @@ from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.catalog import latest_watermarks
 from tablescout.operators.conform import ColumnPlan, column_plan, conform, planned_columns, with_lineage
 from tablescout.operators.merge import duplicate_keys, key_bucket, latest_per_key, merge_upsert
-from tablescout.plans.store import BUCKET, State, TableStore, Version, new_run_id
+from tablescout.plans.store import BUCKET, FILE, State, TableStore, Version, new_run_id
 from tablescout.schemas import WATERMARK_KEY
 from tablescout.sources.base import Source, Watermark, discover_tables, unknown_tables
 
@@ -37,6 +37,9 @@ ERROR_TEXT_LENGTH = 500
 # Folders that the buckets of a version may be spread over before a merge writes it whole.
 MOST_PARTS = 32
 
+# Keys of a delta that are looked up one by one in the files of a table; more are joined.
+MOST_LOOKUPS = 1000
+
 
 @dataclass(frozen=True)
 class IncrementalTable:
@@ -90,8 +93,9 @@ class Change:
     base: Version | None
     version: Version | None = None
     folder: str | None = None
-    # of a merge: the buckets that its folder holds, the staged rows and their key
+    # of a merge: the buckets that its folder holds, the files it stands for, the staged rows and their key
     touched: tuple[int, ...] = ()
+    files: tuple[str, ...] = ()
     stage: DataFrame | None = None
     key: tuple[str, ...] = ()
     # the watermark that the load started from, and the one it reached
@@ -284,7 +288,7 @@ class Ingestion:
         if change.kind == APPENDED:
             version = current.with_part(change.folder)
         elif change.touched and current.buckets == change.version.buckets and current.layout(change.touched) == change.base.layout(change.touched):
-            version = current.with_part(change.folder, change.touched)
+            version = current.with_files(change.folder, change.files)
         elif change.stage is None:  # nothing was merged
             version = current
         else:
@@ -415,11 +419,11 @@ class Ingestion:
         self._changes[table] = change
         return {**fact, "LOADED_ROWS": loaded, "TARGET_ROWS": present}
 
-    def _write(self, rows: DataFrame, watermark: str | None, table: str, folder: str) -> tuple[int, str | None]:
+    def _write(self, rows: DataFrame, watermark: str | None, table: str, folder: str, key: Sequence[str] = ()) -> tuple[int, str | None]:
         path = self.store.path(table, folder)
 
         def write(observed: DataFrame) -> None:
-            writer = observed.write.partitionBy(BUCKET) if BUCKET in observed.columns else observed.write
+            writer = self._saved(observed, key) if BUCKET in observed.columns else observed.write
             writer.mode("overwrite").parquet(path)
 
         return observed_write(rows, watermark, write)
@@ -429,7 +433,7 @@ class Ingestion:
         """Write rows as a version of their own."""
         placed = laid_out(rows, key, self.options.merge_buckets)
         version = Version(self._folder(), placed.schema, key, self.options.merge_buckets if key else 0)
-        loaded, newest = self._write(placed, watermark, target_table, version.name)
+        loaded, newest = self._write(placed, watermark, target_table, version.name, key)
         return version, loaded, newest
 
     def _merge(self, change: Change, rows: DataFrame, key: tuple[str, ...], watermark: str,
@@ -473,10 +477,35 @@ class Ingestion:
             return version, replace(change, folder=folder, touched=())
         # At most one row per bucket comes to the driver; the list prunes the scan to these buckets.
         touched = tuple(row[0] for row in stage.select(BUCKET).distinct().collect())
-        target = target.where(F.col(BUCKET).isin(*touched))
+        held = self.store.open(change.target_table, current, files=True).where(F.col(BUCKET).isin(*touched))
+        # Of these only files with a key of the delta are written anew: one row per file comes to the driver.
+        files = [row[0] for row in self._files_with(held.select(*key, FILE), stage.select(*key), key).collect()]
+        target = held.where(F.col(FILE).isin(*files)).drop(FILE) if files else held.limit(0).drop(FILE)
         merged = gathered(merge_upsert(target, stage.select(target.columns), key))
-        merged.write.partitionBy(BUCKET).mode("overwrite").parquet(self.store.path(change.target_table, folder))
-        return current.with_part(folder, touched), replace(change, folder=folder, touched=touched)
+        self._saved(merged, key).mode("overwrite").parquet(self.store.path(change.target_table, folder))
+        return current.with_files(folder, files), replace(change, folder=folder, touched=touched, files=tuple(files))
+
+    @staticmethod
+    def _files_with(held: DataFrame, stage: DataFrame, key: tuple[str, ...]) -> DataFrame:
+        """The files that hold a key of the delta.
+
+        A small delta by one column is looked up by the keys themselves, which ranges and Bloom filters of the files
+        answer for most of them.
+        """
+        keys = stage.dropna().distinct()
+        if len(key) == 1:
+            few = keys.limit(MOST_LOOKUPS + 1).collect()
+            if len(few) <= MOST_LOOKUPS:
+                return held.where(F.col(key[0]).isin(*(row[0] for row in few))).select(FILE).distinct()
+        return held.join(keys, list(key), "left_semi").select(FILE).distinct()
+
+    @staticmethod
+    def _saved(rows: DataFrame, key: Sequence[str]):
+        """A writer of rows by bucket, with Bloom filters of the key."""
+        writer = rows.write.partitionBy(BUCKET)
+        for name in key:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        return writer
 
 
 def _watermark(row: Mapping) -> Watermark:
