@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablescout.functions.values import FRACTIONAL, INTEGRAL
 from tablescout.local import catalog_rows
-from tablescout.sources.base import Source
+from tablescout.sources.base import Source, Watermark
+
+NUMERIC = INTEGRAL | FRACTIONAL
 
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut a table into parallel range reads.  Bounds left out are read from the database."""
+    """How to cut a table into parallel range reads.
+
+    With both bounds the ranges between them are equally long.  Otherwise they hold about equally many of the rows that are
+    read: their points come from one query, over a share of the rows where `sample` is below one.
+    """
 
     column: str
     partitions: int
     lower: object | None = None
     upper: object | None = None
+    sample: float = 1.0
 
 
 # Metadata queries per dialect; {schema} and {table} are filled with quoted text.
@@ -35,6 +44,13 @@ INFORMATION_SCHEMA = {
         "WHERE table_schema = {schema} AND table_name = {table}"
     ),
 }
+# Points that part rows into equal shares: the greatest value of each share.
+POINTS = (
+    "SELECT MAX(V) AS POINT FROM (SELECT V, NTILE({partitions}) OVER (ORDER BY V) AS SHARE FROM "
+    "(SELECT {column} AS V FROM {relation}{conditions}) AS SPLIT_ROWS WHERE V IS NOT NULL) AS SPLIT_SHARES GROUP BY SHARE"
+)
+# A condition that a share of the rows meets, whatever other conditions there are.
+SAMPLES = {"sqlserver": "ABS(CHECKSUM(NEWID()) % 1000000) < {millionths}", "redshift": "RANDOM() < {share}"}
 IDENTIFIER_QUOTES = {"sqlserver": "[]", "redshift": '""'}
 
 
@@ -42,11 +58,16 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _literal(value: object) -> str:
+    """A value as the database writes it; dates and times as text, which it compares as what the column is."""
+    return str(value) if isinstance(value, (int, float, Decimal)) else _text(str(value))
+
+
 class JdbcSource(Source):
     """Tables of one schema.  ``options`` are Spark's JDBC options (url, driver, user, fetchsize …).
 
-    A read without a ``Split`` is a single task, so large tables should name a split column;
-    missing bounds come from one MIN / MAX query on it.
+    A read without a ``Split`` is a single task, so large tables should name a split column.  The points of its ranges
+    come from the rows that are read: those of an increment from the rows past the watermark, not from the whole table.
     """
 
     def __init__(self, spark: SparkSession, options: dict[str, str], name: str, database: str, schema: str,
@@ -101,24 +122,54 @@ class JdbcSource(Source):
         newest = self.query(f"SELECT MAX({self.quoted(column)}) AS MAX_WATERMARK FROM {self._relation(table)}")
         return newest.toDF("MAX_WATERMARK")
 
-    def _bounds(self, table: str, split: Split) -> tuple[object, object] | None:
-        if split.lower is not None and split.upper is not None:
-            return split.lower, split.upper
+    def _points(self, table: str, split: Split, condition: str | None) -> list:
+        """Ascending values that part the rows to be read into about equal shares, without the greatest."""
+        conditions = [condition] if condition else []
+        if split.sample < 1:
+            conditions.append(SAMPLES[self.dialect].format(share=split.sample, millionths=round(split.sample * 1_000_000)))
+        sql = POINTS.format(
+            partitions=split.partitions, column=self.quoted(split.column), relation=self._relation(table),
+            conditions=" WHERE " + " AND ".join(conditions) if conditions else "",
+        )
+        # a row for each partition
+        return sorted({row[0] for row in self.query(sql).collect()})[:-1]
+
+    def _predicates(self, table: str, split: Split, condition: str | None = None) -> list[str]:
+        """Conditions that part all rows: each row meets one of them, rows without a value the first."""
         column = self.quoted(split.column)
-        low, high = self.query(
-            f"SELECT MIN({column}) AS LO, MAX({column}) AS HI FROM {self._relation(table)}"
-        ).head()
-        return None if low is None else (low, high)
+        points = [_literal(p) for p in self._points(table, split, condition)]
+        if not points:
+            return ["1 = 1"]
+        between = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(points, points[1:])]
+        return [f"{column} <= {points[0]} OR {column} IS NULL", *between, f"{column} > {points[-1]}"]
 
-    def read(self, table: str) -> DataFrame:
-        reader = self.spark.read.format("jdbc").options(**self.options).option("dbtable", self._relation(table))
+    def _read(self, table: str, condition: str | None = None) -> DataFrame:
         split = self.splits.get(table)
-        bounds = split and self._bounds(table, split)
-        if bounds:
+        if split and (split.lower is None or split.upper is None):
+            return self.spark.read.jdbc(
+                self.options["url"], self._relation(table), predicates=self._predicates(table, split, condition),
+                properties={k: v for k, v in self.options.items() if k != "url"},
+            )
+        reader = self.spark.read.format("jdbc").options(**self.options).option("dbtable", self._relation(table))
+        if split:
             reader = reader.options(
                 partitionColumn=split.column,
-                lowerBound=str(bounds[0]),
-                upperBound=str(bounds[1]),
+                lowerBound=str(split.lower),
+                upperBound=str(split.upper),
                 numPartitions=str(split.partitions),
             )
         return reader.load()
+
+    def read(self, table: str) -> DataFrame:
+        return self._read(table)
+
+    def read_since(self, table: str, column: str, since: Watermark | None) -> DataFrame:
+        """Rows past the watermark; Spark sends the filter on with each range."""
+        if since is None:
+            return self.read(table)
+        condition = None
+        if since.type in NUMERIC or since.type.startswith("decimal"):
+            condition = f"{self.quoted(column)} > {since.value}"
+        elif since.type in ("string", "date", "timestamp_ntz"):  # times with a zone are not written alike everywhere
+            condition = f"{self.quoted(column)} > {_text(since.value)}"
+        return self._read(table, condition).where(F.col(column) > since.literal())

@@ -40,13 +40,51 @@ def test_metadata_queries(spark):
     assert source.max_watermark("t", "up]d").head().MAX_WATERMARK == 5
 
 
-def test_split_bounds(spark):
-    source = Recorded(spark, {"MIN": ([(1, 9)], "lo int, hi int")}, dialect="redshift")
-    assert source._bounds("t", Split("id", 4)) == (1, 9)
-    assert source.sent == ['SELECT MIN("id") AS LO, MAX("id") AS HI FROM "dbo"."t"']
-    assert source._bounds("t", Split("id", 4, 0, 100)) == (0, 100)
-    empty = Recorded(spark, {"MIN": ([(None, None)], "lo int, hi int")}, dialect="redshift")
-    assert empty._bounds("t", Split("id", 4)) is None
+def points(spark, values, dialect="redshift", schema="point int"):
+    return Recorded(spark, {"NTILE": ([(v,) for v in values], schema)}, dialect=dialect)
+
+
+def test_split_points_are_those_of_the_rows_to_be_read(spark):
+    source = points(spark, [30, 10, 20, 20, 45])
+    assert source._predicates("t", Split("id", 5)) == [
+        '"id" <= 10 OR "id" IS NULL', '"id" > 10 AND "id" <= 20', '"id" > 20 AND "id" <= 30', '"id" > 30',
+    ]
+    assert source.sent == [
+        'SELECT MAX(V) AS POINT FROM (SELECT V, NTILE(5) OVER (ORDER BY V) AS SHARE FROM (SELECT "id" AS V FROM "dbo"."t") AS SPLIT_ROWS '
+        "WHERE V IS NOT NULL) AS SPLIT_SHARES GROUP BY SHARE"
+    ]
+    source._predicates("t", Split("id", 5, sample=0.01), "\"at\" > '2024-01-01'")
+    assert "FROM \"dbo\".\"t\" WHERE \"at\" > '2024-01-01' AND RANDOM() < 0.01) AS" in source.sent[-1]
+    server = points(spark, ["it's", "b"], "sqlserver", "point string")
+    assert server._predicates("t", Split("na]me", 2, sample=0.5)) == ["[na]]me] <= 'b' OR [na]]me] IS NULL", "[na]]me] > 'b'"]
+    assert "% 1000000) < 500000" in server.sent[-1]
+    assert points(spark, [])._predicates("t", Split("id", 4)) == points(spark, [7])._predicates("t", Split("id", 4)) == ["1 = 1"]
+
+
+def test_every_row_meets_one_range(spark):
+    """The conditions part a table, also rows without a value and values that are repeated."""
+    values = [None, 1, 1, 1, 1, 2, 5, 9, 9, 12, None]
+    frame = spark.createDataFrame([(v,) for v in values], "id int")
+    source = points(spark, [1, 1, 5, 12])
+    counts = [frame.where(p.replace('"', "`")).count() for p in source._predicates("t", Split("id", 4))]
+    assert counts == [6, 2, 3] and sum(counts) == len(values)
+
+
+def test_an_increment_is_parted_by_its_own_rows(spark, monkeypatch):
+    source = points(spark, [15, 30])
+    source.splits = {"t": Split("id", 2)}
+    asked = []
+
+    def jdbc(self, url, table, predicates, properties):
+        asked.append((url, table, predicates, properties))
+        return spark.createDataFrame([(1, 5), (2, 9)], "id int, at int")
+
+    monkeypatch.setattr(type(spark.read), "jdbc", jdbc)
+    assert source.read_since("t", "at", Watermark("7", "int")).collect() == [(2, 9)]
+    assert source.sent[-1].count('FROM "dbo"."t" WHERE "at" > 7)') == 1
+    assert asked == [("jdbc:none", '"dbo"."t"', ['"id" <= 15 OR "id" IS NULL', '"id" > 15'], {"fetchsize": "50000"})]
+    source.read("t")
+    assert " WHERE " not in source.sent[-1].split("AS SPLIT_ROWS")[0]
 
 
 def test_counts_without_watermark(spark):
