@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from ahocorasick import Automaton
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,11 @@ DISCOVERY_METHOD = "candidate_key_value_overlap"
 
 PAIR_KEY = ["PARENT_TABLE", "PARENT_COLUMN", "CHILD_TABLE", "CHILD_COLUMN"]
 
+# Bytes of names in one automaton, and columns of one name from which on it is a hub.
+NAME_BYTES = 1 << 24
+HUB = 1000
+_CONTAINED = pa.schema([("OUTER_NAME", pa.string()), ("INNER_NAME", pa.string())])
+
 # Bits used per mask word; the sign bit is left alone.
 WORD_BITS = 63
 
@@ -30,27 +37,56 @@ _IDS = T.StructType(
 )
 
 
-def _substrings(name: Column) -> Column:
-    """All distinct substrings of a column name."""
-    length = F.length(name)
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), length),
-                lambda start: F.transform(
-                    F.sequence(F.lit(1), length - start + 1), lambda size: F.substring(name, start, size)
-                ),
-            )
-        )
+def contained_names(spark: SparkSession, names: Sequence[str], name_bytes: int = NAME_BYTES) -> DataFrame:
+    """(OUTER_NAME, INNER_NAME): every name with each of the names that are a part of it, itself among them.
+
+    Each distinct name is read once, by an automaton of all names (Aho and Corasick), or of parts of `name_bytes` of
+    them where they are more; no substring is made that is not a name.
+    """
+    parts: list[list[str]] = [[]]
+    size = 0
+    for name in sorted(names):
+        if parts[-1] and size + len(name) > name_bytes:
+            parts.append([])
+            size = 0
+        parts[-1].append(name)
+        size += len(name)
+    outer = local_frame(spark, [{"OUTER_NAME": n} for n in sorted(names)], T.StructType([T.StructField("OUTER_NAME", T.StringType())]))
+
+    def found_in(part: list[str]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(part)
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = Automaton()
+            for name in shared.value:
+                automaton.add_word(name, name)
+            automaton.make_automaton()
+            for batch in batches:
+                pairs = [(name, inner) for name in batch.column(0).to_pylist() for inner in {i for _, i in automaton.iter(name)}]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*pairs)] or [[], []], schema=_CONTAINED)
+
+        return outer.repartition("OUTER_NAME").mapInArrow(found, "OUTER_NAME string, INNER_NAME string")
+
+    return union_all(found_in(part) for part in parts)
+
+
+def _with_columns(pairs: DataFrame, columns: DataFrame, name: str, on: Sequence[str], hubs: DataFrame) -> DataFrame:
+    """Pairs of names joined with the columns of one of the names; columns of a hub are spread over its salts."""
+    salted = columns.join(hubs, name, "left").withColumn(
+        "SALT", F.pmod(F.xxhash64(*columns.columns), F.coalesce("SALTS", F.lit(1))).cast("int")
     )
+    spread = pairs.join(hubs, name, "left").withColumn("SALT", F.explode(F.sequence(F.lit(0), F.coalesce("SALTS", F.lit(1)) - 1)))
+    return spread.drop("SALTS").join(salted.drop("SALTS"), [*on, name, "SALT"]).drop("SALT")
 
 
-def candidate_pairs(candidates: DataFrame) -> DataFrame:
+def candidate_pairs(candidates: DataFrame, hub: int = HUB) -> DataFrame:
     """Parent and child columns of different tables with compatible names.
 
-    Containment is tested by equi-joins on name substrings and base names, so the work grows with
-    the number of columns and of matches, not with its square.
+    Distinct names are paired first, by one reading of each and by an equi-join on base names; then names become
+    columns.  A name of more than `hub` columns is spread over several partitions in that step.  So the work grows
+    with the names, and with the pairs that are found.
     """
+    spark = candidates.sparkSession
     keep = [n for n in ("SOURCE_SYSTEM", "PROFILE_RUN_ID") if n in candidates.columns]
     system = [n for n in keep if n == "SOURCE_SYSTEM"]
 
@@ -59,26 +95,34 @@ def candidate_pairs(candidates: DataFrame) -> DataFrame:
             *carried,
             F.col("TARGET_TABLE").alias(f"{prefix}_TABLE"),
             F.col("TARGET_COLUMN").alias(f"{prefix}_COLUMN"),
+            F.upper("TARGET_COLUMN").alias(f"{prefix}_NAME"),
         )
 
-    parents = side(PARENT_TYPES, "PARENT", keep)
-    children = side(CHILD_TYPES, "CHILD", system)
-    parent_name, child_name = F.upper("PARENT_COLUMN"), F.upper("CHILD_COLUMN")
-    shared_keys = [
-        (parent_name, F.explode(_substrings(child_name))),
-        (F.explode(_substrings(parent_name)), child_name),
-        (F.nullif(name_base(F.col("PARENT_COLUMN")), F.lit("")), F.nullif(name_base(F.col("CHILD_COLUMN")), F.lit(""))),
-    ]
+    parents, children = side(PARENT_TYPES, "PARENT", keep), side(CHILD_TYPES, "CHILD", system)
+    # a row for each name of a side comes to the driver
+    counted = union_all(
+        side_.groupBy(F.col(f"{prefix}_NAME").alias("NAME")).agg(F.count(F.lit(1)).alias("N")).withColumn("SIDE", F.lit(prefix))
+        for side_, prefix in ((parents, "PARENT"), (children, "CHILD"))
+    )
+    names = catalog_rows(counted)
+    of_side = {p: {r.NAME: r.N for r in names if r.SIDE == p and r.NAME is not None} for p in ("PARENT", "CHILD")}
+    known = {p: local_frame(spark, [{f"{p}_NAME": n} for n in sorted(found)], T.StructType([T.StructField(f"{p}_NAME", T.StringType())]))
+             for p, found in of_side.items()}
+    inside = contained_names(spark, of_side["PARENT"].keys() | of_side["CHILD"].keys())
+    based = {p: known[p].withColumn("BASE", F.nullif(name_base(F.col(f"{p}_NAME")), F.lit(""))) for p in known}
     matches = [
-        parents.withColumn("_name", parent_key).join(children.withColumn("_name", child_key), [*system, "_name"])
-        for parent_key, child_key in shared_keys
+        inside.toDF("CHILD_NAME", "PARENT_NAME"), inside.toDF("PARENT_NAME", "CHILD_NAME").select("CHILD_NAME", "PARENT_NAME"),
+        based["CHILD"].join(based["PARENT"], "BASE").select("CHILD_NAME", "PARENT_NAME"),
     ]
-    return (
-        union_all(matches)
-        .where("PARENT_TABLE <> CHILD_TABLE")
-        .select(*keep, *PAIR_KEY)
-        .distinct()
-    )
+    pairs = union_all(matches).join(known["PARENT"], "PARENT_NAME", "left_semi").join(known["CHILD"], "CHILD_NAME", "left_semi").distinct()
+    hubs = {
+        p: local_frame(spark, [{f"{p}_NAME": n, "SALTS": -(-c // hub)} for n, c in sorted(found.items()) if c > hub],
+                       T.StructType([T.StructField(f"{p}_NAME", T.StringType()), T.StructField("SALTS", T.LongType())]))
+        for p, found in of_side.items()
+    }
+    with_parents = _with_columns(pairs, parents, "PARENT_NAME", [], hubs["PARENT"])
+    found = _with_columns(with_parents, children, "CHILD_NAME", system, hubs["CHILD"])
+    return found.where("PARENT_TABLE <> CHILD_TABLE").select(*keep, *PAIR_KEY).distinct()
 
 
 def _word(column_id: Column) -> Column:
