@@ -17,17 +17,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_BYTES = 1 << 23
+
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table.  Texts are long, and a batch of them is there several times on its way to a Python worker and
+    back, so from here on batches of the session end at BATCH_BYTES, however few rows that are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the folder that the cluster shares; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder in the folder that the cluster shares; a local one in local mode only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/tablescout-llm/{name}-{uuid4()}"
 
 

@@ -153,6 +153,7 @@ def _id_arrays(batch: pa.RecordBatch, words: Words) -> Iterator[np.ndarray]:
         ids, ends = words.encode(texts)
         for k in range(b - a):
             yield np.append(ids[ends[k] : ends[k + 1]], np.uint32(END_ID))
+    pa.default_memory_pool().release_unused()  # workers live on, and so does what they once had
 
 
 def fit_dictionary(documents: DataFrame, tokenizer_file: str, dtype: str) -> bytes:
