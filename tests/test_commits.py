@@ -88,7 +88,7 @@ def test_a_run_lost_at_any_step_can_be_run_again(spark, store, monkeypatch, key)
     data = [(1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (4, 2, "d")]
     expected = [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
     real, day = CommitLog.put, 2
-    for stop in range(5):
+    for stop in range(3):  # the second write is that of versions and watermarks
         for behind in (False, True):
             count = iter(range(100))
 

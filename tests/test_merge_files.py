@@ -27,8 +27,7 @@ def content(store):
     return sorted(((r.ID, r.V) for r in store.table("T").collect()), key=str)
 
 
-@pytest.mark.parametrize("lookups", [0, 1000])
-@pytest.mark.parametrize("key", [("id",), ("id", "part")])
+@pytest.mark.parametrize("key, lookups", [(("id",), 1000), (("id",), 0), (("id", "part"), 1000)])
 def test_only_touched_files_are_written(spark, tmp_path, monkeypatch, key, lookups):
     monkeypatch.setattr(ingest_module, "MOST_LOOKUPS", lookups)
     store = TableStore(spark, str(tmp_path))
