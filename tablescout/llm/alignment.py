@@ -36,8 +36,8 @@ RUN_LINKS = 1 << 21
 MERGE_BYTES = 1 << 25  # of pair frames that one task merges
 MERGE_BLOCK = 1 << 13  # pairs of a run that are in memory while it is merged
 LEVEL = 3
-TOGETHER = 1 << 22  # bytes of texts that are aligned by one call
-KNOWN_WORDS = 1 << 20  # whose groups a worker remembers before it starts anew
+TOGETHER = 1 << 21  # bytes of texts that are aligned by one call
+KNOWN_WORDS = 300_000  # whose groups a worker remembers before it starts anew
 # A blank between white space; the white space of A is among what this takes for it.
 _SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 RUN = f"{_SPACE} {_SPACE}|  | $"
@@ -91,7 +91,7 @@ class Aligner:
     def _forget(self) -> None:
         self.word: dict[str, int] = {}
         self.groups: list[str | None] = []
-        self.counts, self.pairs = np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
+        self.counts, self.pairs, self.fine = np.zeros((3, 0), np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def whole(self, texts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
         """Of each text, encoded whole: its groups in writing (None where the bytes of A or B are not those of blank and
@@ -137,6 +137,7 @@ class Aligner:
             groups, counts, pairs = self.whole(new)
             self.word.update(zip(new, range(len(self.word), len(self.word) + len(new)), strict=True))
             self.groups += groups
+            self.fine = np.concatenate([self.fine, [g is not None for g in groups]])
             self.counts = np.concatenate([self.counts, counts], axis=1)
             self.pairs = np.concatenate([self.pairs, pairs])
         return np.fromiter(map(self.word.__getitem__, words), np.int64, len(words))
@@ -156,8 +157,7 @@ class Aligner:
         words = parts.flatten().dictionary_encode()
         of_word = self._places(words.dictionary.to_pylist())[words.indices.to_numpy()]
         bounds = parts.offsets.to_numpy()
-        known = np.array([g is not None for g in self.groups])[of_word]
-        good = np.add.reduceat(~known, bounds[:-1]) == 0
+        good = np.logical_and.reduceat(self.fine[of_word], bounds[:-1])
         good &= np.array([bool(t) and not run for t, run in zip(texts, runs, strict=True)])
         # links of a text: none, those of its words, or its own
         sizes = self.counts[2][of_word] * np.repeat(good, np.diff(bounds))
