@@ -38,6 +38,12 @@ def text_form(name: str, dtype: str) -> str:
     return column if dtype == "string" else f"cast({column} AS string)"
 
 
+def is_negative_zero(name: str) -> str:
+    """Whether a float or double is ``-0.0``, which equals ``0.0`` but has another text."""
+    column = quoted(name)
+    return f"coalesce({column} = 0 AND cast({column} AS string) = '-0.0', false)"
+
+
 def common_domain(left: str, right: str) -> str:
     """The type in which equality of two columns is the same as equality of their text.
 

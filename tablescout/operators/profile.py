@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablescout.functions.values import INTEGRAL, has_text_order, in_domain, is_nested, quoted, ratio, text_form
+from tablescout.functions.values import (
+    FRACTIONAL, INTEGRAL, has_text_order, in_domain, is_negative_zero, is_nested, quoted, ratio, text_form,
+)
 from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.cells import Cell, digested, has_column, union_all, unpivoted
 from tablescout.operators.conform import LINEAGE_COLUMNS
@@ -29,7 +31,9 @@ def columns_to_profile(
     return ordered if limit is None else ordered.limit(limit)
 
 
-def profile_cataloged(spark: SparkSession, frames: Mapping[str, DataFrame], columns: DataFrame) -> DataFrame:
+def profile_cataloged(
+    spark: SparkSession, frames: Mapping[str, DataFrame], columns: DataFrame, signed_zeros: bool = False
+) -> DataFrame:
     """Profile of the cataloged columns given by ``columns_to_profile``."""
     rows = catalog_rows(columns)
     return profile_tables(
@@ -37,24 +41,31 @@ def profile_cataloged(spark: SparkSession, frames: Mapping[str, DataFrame], colu
         frames,
         [(r.TARGET_TABLE, r.TARGET_COLUMN) for r in rows],
         {(r.TARGET_TABLE, r.TARGET_COLUMN): r.TARGET_DATA_TYPE for r in rows},
+        signed_zeros,
     )
 
 
-def _distinct_cells(frames: Mapping[str, DataFrame], kind: str, cells: list[Cell]) -> DataFrame:
-    """Per distinct value: its rows, filled rows, values, and its text where that is cheap to carry."""
+def _distinct_cells(frames: Mapping[str, DataFrame], kind: str, cells: list[Cell], signed_zeros: bool) -> DataFrame:
+    """Per distinct value: its rows, filled rows, values, and its text where that is cheap to carry.
+
+    A zero has two texts when signs count: the least and the greatest of them are carried.
+    """
     rows = unpivoted(frames, cells)
     if kind in ("string", "nested"):
         rows, keys, value, text = digested(rows), ["C", "HASHED", "K"], "K", _NOTHING
     else:
         keys, value, text = ["C", "V"], "V", text_form("V", kind) if has_text_order(kind) else _NOTHING
-    filled = f"{value} IS NOT NULL"
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("N")).selectExpr(
+    filled, low, high, counts = f"{value} IS NOT NULL", text, text, [F.count(F.lit(1)).alias("N")]
+    if signed_zeros and kind in FRACTIONAL:
+        counts.append(F.count_if(F.expr(is_negative_zero("V"))).alias("SIGNED"))
+        low, high = (f"CASE WHEN {test} THEN '-0.0' ELSE {text} END" for test in ("SIGNED > 0", "SIGNED = N"))
+    return rows.groupBy(*keys).agg(*counts).selectExpr(
         "C",
         "N AS ROWS",
         f"CASE WHEN {filled} THEN N ELSE 0L END AS FILLED",
         f"cast({filled} AS bigint) AS VALUES",
-        f"{text} AS LO",
-        f"{text} AS HI",
+        f"{low} AS LO",
+        f"{high} AS HI",
     )
 
 
@@ -70,6 +81,7 @@ def profile_tables(
     frames: Mapping[str, DataFrame],
     columns: Iterable[tuple[str, str]] | None = None,
     data_types: Mapping[tuple[str, str], str] | None = None,
+    signed_zeros: bool = False,
 ) -> DataFrame:
     """Rows, non-NULL, NULL and distinct counts, ratios, and MIN / MAX of the text form per column.
 
@@ -78,6 +90,9 @@ def profile_tables(
     aggregate would expand every row once per column with all columns in it.)  MIN / MAX of text
     columns come from a second, shuffle-free pass over just those columns, so that long texts
     need not be shuffled.
+
+    ``-0.0`` and ``0.0`` are one value.  With `signed_zeros` the bounds are those of the texts that SQL casts them to,
+    ``-0.0`` among them; without, both read as ``0.0``.
     """
     if columns is None:
         columns = [(t, c) for t, frame in frames.items() for c in frame.columns if c not in LINEAGE_COLUMNS]
@@ -99,7 +114,7 @@ def profile_tables(
     if not ids:
         raise ValueError("no columns to profile")
     measured = union_all(
-        [_distinct_cells(frames, kind, cells) for kind, cells in kinds.items()]
+        [_distinct_cells(frames, kind, cells, signed_zeros) for kind, cells in kinds.items()]
         + [_extremes(frames[table], group) for table, group in texts.items()]
     )
     names = ["TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE"]

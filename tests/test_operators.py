@@ -307,3 +307,12 @@ def test_hot_and_null_keys_in_joined_views(spark):
     view = flat_view(parent, child, Edge("P", "k", "C", "k", "1:N"))
     expected = parent.join(child, parent.k == child.k, "left").select("p", "c")
     assert rows(view.select("p", "c")) == rows(expected)
+
+
+def test_profile_bounds_of_signed_zeros(spark):
+    """-0.0 and 0.0 are one value, of which the bounds have the text that SQL casts it to."""
+    frame = spark.createDataFrame([(-0.0, -0.0, -0.0), (-0.0, 0.0, 0.5), (None, None, -2.5)], "n double, b double, f float")
+    found = {r.TARGET_COLUMN: r for r in profile_tables(spark, {"t": frame}, signed_zeros=True).collect()}
+    assert [(found[c].MIN_VALUE, found[c].MAX_VALUE, found[c].DISTINCT_COUNT) for c in "nbf"] == [
+        ("-0.0", "-0.0", 1), ("-0.0", "0.0", 1), ("-0.0", "0.5", 3),
+    ]
