@@ -4,7 +4,8 @@ A row is (C, V, K, N): column number, text of the value, normalised join key, ro
 are there as a digest that is longer than any short text, so V alone tells values apart.  Everything that
 discovery asks of a table can be had from these rows: profiles, value overlap, cardinality, bridge and summary
 views.  Counts are signed: the rows of a delta are added to those of the table, and what adds up to nothing is
-gone, so the index follows a table without reading it again.
+gone, so the index follows a table without reading it again.  SIGNED is how many of a zero's rows are ``-0.0``, which
+only the bounds of a profile may tell from ``0.0``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablescout.functions.rules import CONFIDENCE_BANDS, LABEL_ORDER
-from tablescout.functions.values import INTEGRAL, is_nested, quoted, ratio, text_form
+from tablescout.functions.values import FRACTIONAL, INTEGRAL, is_negative_zero, is_nested, quoted, ratio, text_form
 from tablescout.operators.cells import COLUMNS_PER_UNPIVOT, LONG_TEXT_BYTES, union_all
 from tablescout.operators.conform import LINEAGE_COLUMNS
 from tablescout.operators.relate import PAIR_KEY, labelled_overlap
@@ -73,12 +74,16 @@ def value_rows(frame: DataFrame, observed: DataFrame | None = None) -> DataFrame
         cells = ", ".join(_cell(number, name, dtype, kinds) for number, (name, dtype) in some)
         source = observed if observed is not None and not start else frame
         stacked = source.selectExpr(f"stack({len(some)}, {cells}) AS (C, {', '.join(values)}, LONG_KEY)")
-        counted = stacked.groupBy("C", *values, "LONG_KEY").agg(F.count(F.lit(1)).alias("N"))
+        signed = [is_negative_zero(v) for v, kind in zip(values, kinds, strict=True) if kind in FRACTIONAL]
+        counted = stacked.groupBy("C", *values, "LONG_KEY").agg(
+            F.count(F.lit(1)).alias("N"),
+            (F.count_if(F.expr(" OR ".join(signed))) if signed else F.max(F.lit(0).cast("long"))).alias("SIGNED"),
+        )
         text = "coalesce(" + ", ".join(text_form(v, kind) for v, kind in zip(values, kinds, strict=True)) + ")"
         key = f"CASE WHEN {_IS_DIGEST.format('V')} THEN coalesce(LONG_KEY, V) WHEN TEXTUAL THEN trim(V) ELSE V END"
         parts.append(
-            counted.selectExpr("C", f"{text} AS V", f"V{kinds.index('string')} IS NOT NULL AS TEXTUAL", "LONG_KEY", "N")
-            .selectExpr("C", "V", f"nullif({key}, '') AS K", "N")
+            counted.selectExpr("C", f"{text} AS V", f"V{kinds.index('string')} IS NOT NULL AS TEXTUAL", "LONG_KEY", "N", "SIGNED")
+            .selectExpr("C", "V", f"nullif({key}, '') AS K", "N", "SIGNED")
         )
     return union_all(parts)
 
@@ -94,27 +99,34 @@ def text_extremes(frame: DataFrame) -> dict[str, Column]:
 
 def folded(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Signed rows added up; values that no row has any more are gone."""
-    return rows.groupBy(*keys, "V", "K").agg(F.sum("N").alias("N")).where("N <> 0")
+    return rows.groupBy(*keys, "V", "K").agg(F.sum("N").alias("N"), F.sum("SIGNED").alias("SIGNED")).where("N <> 0 OR SIGNED <> 0")
 
 
 def negated(rows: DataFrame) -> DataFrame:
     """Index rows of rows that are no longer there."""
-    return rows.withColumn("N", -F.col("N"))
+    return rows.withColumns({"N": -F.col("N"), "SIGNED": -F.col("SIGNED")})
 
 
-def column_profiles(rows: DataFrame) -> DataFrame:
-    """(ID, ROW_COUNT, NON_NULL_COUNT, DISTINCT_COUNT, LO, HI) of index rows (ID, V, K, N); bounds are those of the values
-    that are kept as text, and HAS_LONG tells whether there are others."""
+def column_profiles(rows: DataFrame, signed_zeros: bool = False) -> DataFrame:
+    """(ID, ROW_COUNT, NON_NULL_COUNT, DISTINCT_COUNT, LO, HI) of index rows (ID, V, K, N, SIGNED); bounds are those of the
+    values that are kept as text, and HAS_LONG tells whether there are others.  With `signed_zeros` they tell ``-0.0`` from
+    ``0.0``."""
     filled = F.col("V").isNotNull()
     long = F.expr(_IS_DIGEST.format("V"))
     short = F.when(~long, F.col("V"))
+    low, high = short, short
+    if signed_zeros:
+        low, high = (
+            F.when((F.col("SIGNED") > 0) & test, F.lit("-0.0")).otherwise(short)
+            for test in (F.lit(True), F.col("SIGNED") == F.col("N"))
+        )
     return rows.groupBy("ID").agg(
         F.sum("N").alias("ROW_COUNT"),
         F.coalesce(F.sum(F.when(filled, F.col("N"))), F.lit(0)).alias("NON_NULL_COUNT"),
         F.count("V").alias("DISTINCT_COUNT"),
         F.coalesce(F.bool_or(long), F.lit(False)).alias("HAS_LONG"),
-        F.min(short).alias("LO"),
-        F.max(short).alias("HI"),
+        F.min(low).alias("LO"),
+        F.max(high).alias("HI"),
     )
 
 

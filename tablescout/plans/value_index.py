@@ -30,7 +30,7 @@ from tablescout.operators.value_index import (
 from tablescout.operators.views import Edge, bridge_of_keys, summary_of_keys
 from tablescout.plans.store import TableStore, new_run_id
 
-ROWS = "C int, V string, K string, N long, T string, BUCKET int"
+ROWS = "C int, V string, K string, N long, SIGNED long, T string, BUCKET int"
 _COLUMNS = T.StructType(
     [T.StructField(n, T.IntegerType()) for n in ("ID", "C")]
     + [T.StructField(n, T.StringType()) for n in ("T", "TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE", "TEXT_LO", "TEXT_HI")]
@@ -64,7 +64,7 @@ class ValueIndex:
         return f"{self.store.root}/_index/{folder}"
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        """Write rows (T, C, V, K, N); AQE gives writers even shares whatever the number of tables and buckets."""
+        """Write rows (T, C, V, K, N, SIGNED); AQE gives writers even shares whatever the number of tables and buckets."""
         placed = rows.withColumn("BUCKET", F.pmod(F.xxhash64("V"), F.lit(self.buckets)).cast("int"))
         placed.hint("rebalance", F.col("T"), F.col("BUCKET")).write.partitionBy("T", "BUCKET").parquet(self._path(folder))
 
@@ -198,7 +198,7 @@ class ValueIndex:
         return parts[0].drop("BUCKET") if len(parts) == 1 else folded(union_all(parts), ["T", "C"])
 
     def rows(self, entries: Mapping[str, Entry], wanted: Column | None = None, columns: DataFrame | None = None) -> DataFrame:
-        """(ID, V, K, N) of indexed tables, of the wanted buckets, by the numbers of the given columns."""
+        """(ID, V, K, N, SIGNED) of indexed tables, of the wanted buckets, by the numbers of the given columns."""
         single: dict[str, list[str]] = {}
         several: dict[str, list[str]] = {}
         for table, entry in entries.items():
@@ -209,18 +209,19 @@ class ValueIndex:
             parts = [self._folder(f).where(F.col("T").isin(tables)) for f, tables in folders.items()]
             return [p if wanted is None else p.where(wanted) for p in parts]
 
-        parts = [p.select("T", "C", "V", "K", "N") for p in read(single)]
+        names = ["V", "K", "N", "SIGNED"]
+        parts = [p.select("T", "C", *names) for p in read(single)]
         if several:
-            parts.append(folded(union_all(read(several)), ["T", "C"]).select("T", "C", "V", "K", "N"))
+            parts.append(folded(union_all(read(several)), ["T", "C"]).select("T", "C", *names))
         if not parts:
-            return self.spark.createDataFrame([], "ID int, V string, K string, N long")
+            return self.spark.createDataFrame([], "ID int, V string, K string, N long, SIGNED long")
         numbered = self.columns(entries) if columns is None else columns
-        return union_all(parts).join(numbered.select("T", "C", "ID"), ["T", "C"]).select("ID", "V", "K", "N")
+        return union_all(parts).join(numbered.select("T", "C", "ID"), ["T", "C"]).select("ID", *names)
 
-    def profile(self, tables: Iterable[str] | None = None) -> DataFrame:
+    def profile(self, tables: Iterable[str] | None = None, signed_zeros: bool = False) -> DataFrame:
         """Column profiles as `profile_tables` gives them, from the index."""
         entries = self._chosen(tables)
-        return profile_of(column_profiles(self.rows(entries)), self.columns(entries))
+        return profile_of(column_profiles(self.rows(entries), signed_zeros), self.columns(entries))
 
     def held(self, frame: DataFrame, name: str) -> DataFrame:
         """A frame written to the store's folder and read back, for steps that need it more than once."""

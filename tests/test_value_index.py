@@ -177,3 +177,18 @@ def test_pairs_are_refuted_by_a_share_of_the_values(spark):
     assert value_index.least_rate("WEAK") == 0.0
     with pytest.raises(ValueError, match="unknown label"):
         value_index.least_rate("BEST")
+
+
+@pytest.mark.parametrize("zeros,bounds", [([-0.0], ("-0.0", "-0.0")), ([-0.0, 0.0], ("-0.0", "0.0")), ([0.0], ("0.0", "0.0"))])
+def test_signed_zeros_are_bounds(spark, index, zeros, bounds):
+    """The bounds are those of SQL's texts, from tables and from the index; a delta may take a sign away."""
+    frame = spark.createDataFrame([(z, z, 1) for z in zeros] + [(None, None, 1)], "d double, f float, n int")
+    index.build({"t": frame})
+    for profile in (profile_tables(spark, {"t": frame}, signed_zeros=True), index.profile(signed_zeros=True)):
+        found = {r.TARGET_COLUMN: (r.MIN_VALUE, r.MAX_VALUE, r.DISTINCT_COUNT) for r in profile.collect()}
+        assert found == {"d": (*bounds, 1), "f": (*bounds, 1), "n": ("1", "1", 1)}
+    signed = frame.where("cast(d AS string) = '-0.0'")
+    plain = spark.createDataFrame([(0.0, 0.0, 1)], frame.schema)
+    index.follow("t", signed, plain, plain)
+    found = {r.TARGET_COLUMN: (r.MIN_VALUE, r.MAX_VALUE) for r in index.profile(signed_zeros=True).collect()}
+    assert found["d"] == found["f"] == ("0.0", "0.0")

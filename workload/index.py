@@ -43,7 +43,7 @@ def new_index(spark, frames) -> ValueIndex:
 
 def profile_index(spark, sf_dir) -> DataFrame:
     """Profile of every column of every table, from the index."""
-    return new_index(spark, all_tables(spark, sf_dir)).profile()
+    return new_index(spark, all_tables(spark, sf_dir)).profile(signed_zeros=True)
 
 
 def _candidates(index: ValueIndex) -> DataFrame:
@@ -106,7 +106,7 @@ def profile_after_delta(spark, sf_dir) -> DataFrame:
     before, after, removed, added = _loads(spark, sf_dir)
     index = new_index(spark, {"ORDERS_TD": before})
     index.follow("ORDERS_TD", removed, added, after)
-    return index.profile(["ORDERS_TD"])
+    return index.profile(["ORDERS_TD"], signed_zeros=True)
 
 
 def _summaries(spark, sf_dir) -> tuple[ValueIndex, dict, DataFrame]:
