@@ -21,6 +21,8 @@ CODING = {
 PART = 4096
 #: The dictionaries hold, per language, pieces of PIECE bytes of at most SAMPLE documents, chosen by a hash.
 SAMPLE, PIECE = 150, 400
+#: Parts of a language that are sampled on their own before the language is.
+PARTS = 64
 MARGIN = 0.01
 UNKNOWN = "und"
 

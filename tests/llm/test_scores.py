@@ -165,3 +165,13 @@ def test_dictionaries_hold_different_pieces(spark):
         assert len(pieces) == len(set(pieces)) == 10
         assert all(any(p in t.lower() for t in texts) for p in pieces)
     assert sum(p in opening.lower() for p in dictionaries["fr"].decode().split("\n")) < 10
+
+
+def test_dictionaries_sample_in_two_steps(spark, monkeypatch):
+    """The sample of a language does not depend on the parts it is taken from."""
+    frame = spark.createDataFrame([(k, prose(k, 60), "en", None, 1) for k in range(80)], DOCUMENTS)
+    found = set()
+    for parts in (1, 3, 64):
+        monkeypatch.setattr(language, "PARTS", parts)
+        found.add(language.fit_dictionaries(frame, sample=7)["en"])
+    assert len(found) == 1 and len(found.pop().decode().split("\n")) == 7
