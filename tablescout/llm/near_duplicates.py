@@ -28,6 +28,8 @@ ROWS = 4  # coordinates in a band
 MISSED = 1e-7
 STARS = 2
 BLOCK = 512  # classes in a block of a bucket
+WIDE = 4  # blocks that are compared as one by their signatures, which are short
+PIECE = 1 << 20  # bytes of texts that are hashed at once
 TOGETHER = 2048  # rows of small groups that are compared by one call
 _SPACE = separators(SPACES)
 _FIRST, _SECOND = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -71,6 +73,17 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array(ends)
 
 
+def piecewise_sets(column: pa.ChunkedArray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """`shingle_sets` of many texts, of which about PIECE bytes are hashed at once: hashing takes many times their size."""
+    data, offsets = flat_bytes(column)
+    sets, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b in pieces(np.diff(offsets), PIECE):
+        found, bounds = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
+        sets.append(found)
+        ends.append(ends[-1][-1] + bounds[1:])
+    return np.concatenate(sets), np.concatenate(ends)
+
+
 def circulant_signatures(shingles: np.ndarray, starts: np.ndarray, coordinates: int) -> np.ndarray:
     """Signatures of consecutive sets, 16 bits a coordinate: minima of shifts of one permutation."""
     out = np.empty((len(starts), coordinates), np.uint16)
@@ -94,7 +107,7 @@ def signatures(documents: DataFrame, words: int, coordinates: int) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat_bytes(batch.column("text"))
-            for a, b in pieces(np.diff(offsets), 1 << 20):
+            for a, b in pieces(np.diff(offsets), PIECE):
                 shingles, bounds = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
                 counts = np.diff(bounds)
                 full = np.flatnonzero(counts)
@@ -167,18 +180,32 @@ def _star_pairs(members: DataFrame, signs: DataFrame, turn: int, least: int, per
 _MEMBER = "bucket long, low long, high long, own long, band int, node long, label long, size long, signature binary"
 
 
+def _dealt(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members with their signatures, once for each pair of wide blocks of their bucket that they are in."""
+    blocks = F.ceil(F.col("members") / BLOCK)
+    place = F.floor(F.col("own") / WIDE)
+    signed = members.join(nodes, "node").withColumn("own", F.pmod(F.xxhash64("node", "band"), blocks))
+    return (
+        signed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((blocks - 1) / WIDE))))
+        .withColumns({"low": F.least(place, "other"), "high": F.greatest(place, "other")})
+        .select(*(c.split()[0] for c in _MEMBER.split(", ")))
+    )
+
+
 def _remaining_links(
     members: DataFrame, nodes: DataFrame, texts: DataFrame, bands: int, least: int, words: int, percent: int
 ) -> DataFrame:
     """Links (a, b) among all pairs of different labels that share a bucket, from rows of `_labelled`.
 
-    Buckets are dealt out in pairs of blocks.  Pairs never leave a block pair: a first pass over signatures keeps
-    the members that have a candidate in it, a second brings their texts and compares the full sets.
+    Buckets are dealt out in pairs of blocks.  Pairs never leave a block pair: a first pass over signatures, of WIDE
+    blocks at once, keeps the members that have a candidate and names the block pairs of those, a second brings their
+    texts and compares the full sets.
     """
 
-    def paired(rows: dict[str, np.ndarray], signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def paired(rows: dict[str, np.ndarray], signs: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of candidates within groups: different labels, alike in size, enough equal coordinates, and
         no earlier band in common."""
+        own = rows["own"] // wide
         group = _groups(rows)
         found = [(np.zeros(0, np.int64),) * 2]
         for shift in range(1, len(signs)):
@@ -189,7 +216,7 @@ def _remaining_links(
             small, large = np.minimum(rows["size"][i], rows["size"][j]), np.maximum(rows["size"][i], rows["size"][j])
             keep = (
                 (rows["label"][i] != rows["label"][j]) & (100 * small >= percent * large)
-                & ((rows["low"][i] == rows["high"][i]) | (rows["own"][i] != rows["own"][j]))
+                & ((rows["low"][i] == rows["high"][i]) | (own[i] != own[j]))
             )
             i, j = i[keep], j[keep]
             equal = signs[i] == signs[j]
@@ -199,18 +226,24 @@ def _remaining_links(
             found.append((i[here], j[here]))
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
-    def pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def pairs_of(table: pa.Table, wide: int = 1) -> tuple[np.ndarray, np.ndarray]:
         rows = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("signature", "text")}
         data, _ = flat_bytes(table.column("signature"))
-        return paired(rows, data.view(np.uint16).reshape(table.num_rows, -1))
+        return paired(rows, data.view(np.uint16).reshape(table.num_rows, -1), wide)
 
     def ends(table: pa.Table) -> pa.Table:
-        return table.take(np.unique(np.concatenate(pairs_of(table))))
+        one, other = pairs_of(table, WIDE)
+        own = table.column("own").to_numpy()
+        low, high = np.minimum(own[one], own[other]), np.maximum(own[one], own[other])
+        row, low, high = np.unique(np.array([np.append(one, other), np.append(low, low), np.append(high, high)]), axis=1)
+        out = table.take(row)
+        for name, values in (("low", low), ("high", high)):
+            out = out.set_column(out.column_names.index(name), name, pa.array(values, pa.int64()))
+        return out
 
     def links(table: pa.Table) -> pa.Table:
         one, other = pairs_of(table)
-        data, offsets = flat_bytes(table.column("text"))
-        shingles, bounds = shingle_sets(data, offsets, words)
+        shingles, bounds = piecewise_sets(table.column("text"), words)
         node, found = table.column("node").to_numpy(), []
         for i, j in zip(one, other, strict=True):
             a, b = shingles[bounds[i] : bounds[i + 1]], shingles[bounds[j] : bounds[j + 1]]
@@ -250,19 +283,10 @@ def _remaining_links(
 
         return streamed
 
-    blocks = F.ceil(F.col("members") / BLOCK)
-    dealt = (
-        members.withColumn("own", F.pmod(F.xxhash64("node", "band"), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        .join(nodes, "node")
-        .select(*(c.split()[0] for c in _MEMBER.split(", ")))
-    )
-
     def in_groups(rows: DataFrame) -> DataFrame:
         return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
 
-    candidates = staged(in_groups(dealt).mapInArrow(by_group(ends), _MEMBER), "candidates")
+    candidates = staged(in_groups(_dealt(members, nodes)).mapInArrow(by_group(ends), _MEMBER), "candidates")
     return in_groups(candidates.join(texts, "node")).mapInArrow(by_group(links), _PAIRS)
 
 
@@ -404,3 +428,16 @@ def one_of_each_group(documents: DataFrame, words: int = 5, percent: int = 80) -
     grouped = found.select(F.col("doc_id").alias(row), "component_id").join(named, row)
     first = grouped.groupBy("component_id").agg(F.min(F.struct("nameless", "doc_id", "mark", row)).alias("first"))
     return numbered.join(first.select(F.col("first")[row].alias(row)), row, "left_semi").drop(row)
+
+
+def first_of_each_id(documents: DataFrame) -> DataFrame:
+    """Of rows that share a doc_id, the first by its other columns; rows without doc_id stay.
+
+    Only rows of repeated ids are shuffled whole.
+    """
+    several = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if several.isEmpty():
+        return documents
+    rest = [F.col(c) for c in documents.columns if c != "doc_id"]
+    first = documents.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("first"))
+    return documents.join(several, "doc_id", "left_anti").unionByName(first.select("doc_id", "first.*"))

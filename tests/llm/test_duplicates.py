@@ -4,9 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import DOCUMENTS, awkward_rows, duplicate_components, empty, prose, shingles, documents  # noqa: F401
 
+import tablescout.llm.near_duplicates as near_duplicates_module
 from tablescout.llm.near_duplicates import (
     MISSED, ROWS, bands_for, circulant_signatures, components, first_of_each_id, least_agreement, near_duplicates,
 )
@@ -90,3 +92,28 @@ def test_bands_and_agreement_miss_no_more_than_promised(percent):
     below = lambda least: sum(math.comb(k, i) * s**i * (1 - s) ** (k - i) for i in range(least))
     unbanded = (1 - s**ROWS) ** bands
     assert below(least_agreement(percent)) + unbanded <= MISSED < below(least_agreement(percent) + 1) + unbanded
+
+
+def test_members_are_dealt_to_few_block_pairs(spark, monkeypatch):
+    """A member goes with its signature to one pair for each wide block, whatever the number of blocks."""
+    monkeypatch.setattr(near_duplicates_module, "BLOCK", 10)
+    rows = [(1, k % 3, k, k, 100, 80) for k in range(80)] + [(2, 0, k, k, 100, 10) for k in range(10)]
+    members = spark.createDataFrame(rows, "bucket long, band int, node long, label long, size long, members long")
+    nodes = spark.createDataFrame([(k, b"x") for k in range(80)], "node long, signature binary")
+    found = near_duplicates_module._dealt(members, nodes).collect()
+    assert len(found) == 80 * 2 + 10
+    for bucket, places in ((1, {0, 1}), (2, {0})):
+        assert {p for r in found if r.bucket == bucket for p in (r.low, r.high)} == places
+        assert {(r.node, *sorted((r.own // 4, p))) for r in found if r.bucket == bucket for p in places} == {
+            (r.node, r.low, r.high) for r in found if r.bucket == bucket
+        }
+
+
+def test_texts_are_hashed_in_pieces(monkeypatch):
+    texts = [prose(k, 30).encode() for k in range(20)] + [b"", b"one two", b"  "]
+    whole = near_duplicates_module.piecewise_sets(pa.chunked_array([texts[:7], texts[7:]]), 3)
+    monkeypatch.setattr(near_duplicates_module, "PIECE", 100)
+    cut = near_duplicates_module.piecewise_sets(pa.chunked_array([texts]), 3)
+    assert all((a == b).all() for a, b in zip(whole, cut, strict=True)) and len(whole[1]) == len(texts) + 1
+    none = near_duplicates_module.piecewise_sets(pa.chunked_array([], pa.binary()), 3)
+    assert len(none[0]) == 0 and list(none[1]) == [0]
