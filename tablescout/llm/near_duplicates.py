@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -134,16 +133,18 @@ def signatures(documents: DataFrame, words: int, coordinates: int) -> DataFrame:
 _PAIRS = "a long, b long"
 
 
-def _labelled(crowded: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of buckets that hold several labels, with their label."""
+def _labelled(crowded: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Members of buckets that hold several labels, with their label and the leader of their bucket, which each turn draws anew."""
     if labels is None:
         found = crowded.withColumn("label", F.col("node"))
     else:
         found = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    draw = F.xxhash64("bucket", "node", F.lit(turn))
     mixed_ = found.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min("label").alias("low_label"), F.max("label").alias("high_label")
+        F.count("*").alias("members"), F.min("label").alias("low_label"), F.max("label").alias("high_label"),
+        *(F.min_by(c, draw).alias(name) for c, name in (("node", "leader"), ("label", "lead_label"), ("size", "lead_size"))),
     )
-    return found.join(mixed_.where("low_label <> high_label").select("bucket", "members"), "bucket")
+    return found.join(mixed_.where("low_label <> high_label").drop("low_label", "high_label"), "bucket")
 
 
 def _alike_in_size(a: Column, b: Column, percent: int) -> Column:
@@ -151,19 +152,11 @@ def _alike_in_size(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _star_pairs(members: DataFrame, signs: DataFrame, turn: int, least: int, percent: int) -> DataFrame:
+def _star_pairs(members: DataFrame, signs: DataFrame, least: int, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of a bucket's leader and its members of other labels that agree in `least` coordinates."""
-    marked = members.withColumn("draw", F.xxhash64("bucket", "node", F.lit(turn)))
-    drawn = marked.groupBy("bucket").agg(F.min("draw").alias("draw"))
-    leaders = marked.join(drawn, ["bucket", "draw"]).select(
-        "bucket", F.col("node").alias("leader"), F.col("label").alias("lead_label"), F.col("size").alias("lead_size")
-    )
-    pairs = (
-        members.join(leaders, "bucket")
-        .where((F.col("label") != F.col("lead_label")) & _alike_in_size(F.col("size"), F.col("lead_size"), percent))
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-        .distinct()
-    )
+    other_label = (F.col("label") != F.col("lead_label")) & _alike_in_size(F.col("size"), F.col("lead_size"), percent)
+    # a node has a row a band at most, so its rows are made distinct where they meet its signature
+    pairs = members.where(other_label).select("node", "leader").repartition("node").distinct()
 
     def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,9 +165,10 @@ def _star_pairs(members: DataFrame, signs: DataFrame, turn: int, least: int, per
                 keep = pa.array((one == other).sum(axis=1) >= least)
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
-    one = signs.select(F.col("node").alias("a"), F.col("signature").alias("x"))
-    other = signs.select(F.col("node").alias("b"), F.col("signature").alias("y"))
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(agreeing, _PAIRS)
+    one = signs.select("node", F.col("signature").alias("x"))
+    other = signs.select(F.col("node").alias("leader"), F.col("signature").alias("y"))
+    ends = (F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    return pairs.join(one, "node").join(other, "leader").select(*ends, "x", "y").mapInArrow(agreeing, _PAIRS)
 
 
 _MEMBER = "bucket long, low long, high long, own long, band int, node long, label long, size long, signature binary"
@@ -286,7 +280,7 @@ def _remaining_links(
     def in_groups(rows: DataFrame) -> DataFrame:
         return rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
 
-    candidates = staged(in_groups(_dealt(members, nodes)).mapInArrow(by_group(ends), _MEMBER), "candidates")
+    candidates = in_groups(_dealt(members, nodes)).mapInArrow(by_group(ends), _MEMBER)
     return in_groups(candidates.join(texts, "node")).mapInArrow(by_group(links), _PAIRS)
 
 
@@ -324,31 +318,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(similar, _PAIRS)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, label) for the nodes of links (a, b): the smallest node that can be reached.
+def stars(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, label) for the nodes of links (a, b) but for the smallest of each component, which is the others' label.
 
-    Alternates two steps, each a join and an aggregate: large stars hang a node's larger neighbours on its
-    smallest, small stars its smaller ones.  Every step is written; it ends when a step changes nothing.
+    Links may repeat.  With `known`, what this gave for earlier links, it goes on from there.  Alternates two steps, each
+    a join and an aggregate: large stars hang a node's larger neighbours on its smallest, small stars its smaller ones.
+    Neither makes more rows than there were links.  What both make is written; it ends when only stars are left: no node
+    hangs on two, and none that others hang on hangs itself.
     """
-    edges = staged(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    sign = (F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31))))
-    state = tuple(edges.select(*sign).first())
-    while state[0]:
+    if known is not None:
+        if links.isEmpty():
+            return known
+        links = links.unionAll(known.toDF("a", "b"))
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "large-stars")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = staged(small.unionAll(lowest.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
-        now = tuple(edges.select(*sign).first())
-        if now == state:
-            break
-        state = now
-    hung = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return hung.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+        edges = staged(small.unionAll(lowest.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        ends = edges.selectExpr("u AS node", "1 AS hangs").unionAll(edges.selectExpr("v", "0"))
+        ends = ends.groupBy("node").agg(F.sum("hangs").alias("above"), F.min("hangs").alias("least"))
+        if not ends.agg(F.bool_or(F.expr("above > 1 OR (above = 1 AND least = 0)"))).first()[0]:
+            return edges.toDF("node", "label")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label) for the nodes of links (a, b): the smallest node that can be reached."""
+    hung = stars(links)
+    return hung.unionAll(hung.select(F.col("label").alias("node"), "label").distinct())
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -376,7 +375,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     # the sets of a doc_id that has several are linked
     several = signed.where(own).groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
     same_id = signed.join(several.where("low <> high"), "doc_id", "left_semi").join(classes.select("set_key", "node"), "set_key")
-    linked = [staged(same_id.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "same-id")]
+    same_id = same_id.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
 
     slots = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
@@ -389,14 +388,12 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     texts, signs = staged(_texts(documents, nodes), "texts"), nodes.select("node", "signature")
     labels = None
     for turn in range(STARS + 1):
-        labelled = _labelled(crowded, labels)
+        labelled = _labelled(crowded, labels, turn)
         if turn < STARS:
-            pairs = staged(_star_pairs(labelled, signs, turn, least, percent), "pairs")
-            links = _verified(pairs, texts, words, percent)
+            links = _verified(_star_pairs(labelled, signs, least, percent), texts, words, percent)
         else:
             links = _remaining_links(labelled, signs, texts, bands, least, words, percent)
-        linked.append(staged(links, "links"))
-        labels = staged(components(reduce(DataFrame.unionAll, linked)), "labels")
+        labels = stars(staged(links if turn else links.unionAll(same_id), "links"), labels)
     of_set = classes.select("set_key", "node")
     found = signed.join(of_set, "set_key", "left").join(labels, "node", "left")
     component = F.when(own, F.least("doc_id", F.coalesce("label", "node"))).otherwise(F.col("doc_id"))

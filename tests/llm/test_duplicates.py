@@ -10,7 +10,7 @@ from helpers import DOCUMENTS, awkward_rows, duplicate_components, empty, prose,
 
 import tablescout.llm.near_duplicates as near_duplicates_module
 from tablescout.llm.near_duplicates import (
-    MISSED, ROWS, bands_for, circulant_signatures, components, first_of_each_id, least_agreement, near_duplicates,
+    MISSED, ROWS, bands_for, circulant_signatures, components, first_of_each_id, least_agreement, near_duplicates, stars,
 )
 
 
@@ -69,6 +69,19 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_end_at_once_and_go_on(spark, monkeypatch):
+    """Links that are stars already are written once, later links go on from what is known."""
+    written = []
+    staged = near_duplicates_module.staged
+    monkeypatch.setattr(near_duplicates_module, "staged", lambda frame, name: written.append(name) or staged(frame, name))
+    first = stars(spark.createDataFrame([(1, k) for k in range(2, 9)] + [(10, 11), (3, 1)], "a long, b long"))
+    assert written == ["stars"]
+    assert {tuple(r) for r in first.collect()} == {(k, 1) for k in range(2, 9)} | {(11, 10)}
+    assert stars(spark.createDataFrame([], "a long, b long"), first) is first
+    both = stars(spark.createDataFrame([(11, 5)], "a long, b long"), first)
+    assert {tuple(r) for r in both.collect()} == {(k, 1) for k in range(2, 9)} | {(10, 1), (11, 1)}
+
+
 def test_signatures_estimate_similarity():
     random_ = np.random.default_rng(1)
     shared = random_.integers(0, 1 << 63, 400).astype(np.uint64)
