@@ -25,6 +25,8 @@ from tablescout.plans.semantic import (
     with_cardinality,
 )
 from tablescout.plans.store import TableStore
+from workload import runs
+from workload.discovery import INJECTED
 from workload.tables import renamed_views
 
 NAMING = Naming(suffixes=("_TD",))
@@ -164,3 +166,20 @@ def test_unreadable_tables_and_columns_are_skipped(spark):
     )
     with pytest.warns(UserWarning, match="not readable"):
         assert value_overlap(spark, {"GOOD": good}, pairs).count() == 1
+
+
+def test_stored_documents_find_their_edges_once(spark, sf_dir, monkeypatch):
+    seen, real = spark.sparkContext.accumulator(0), runs.classified_edges
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def edges(spark, sf_dir):
+        found = real(spark, sf_dir)
+        return found.mapInArrow(counted, found.schema)
+
+    monkeypatch.setattr(runs, "classified_edges", edges)
+    assert runs.stored_documents(spark, sf_dir).count() > 0
+    assert 0 < seen.value <= len(INJECTED)

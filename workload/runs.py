@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablescout.operators.catalog import latest_watermarks, run_log
 from tablescout.operators.cells import union_all
-from tablescout.plans.discover import Place, discover
+from tablescout.plans.discover import Place, discover, held
 from tablescout.plans.ingest import IncrementalTable, LoadOptions, Target, ingest
 from tablescout.plans.semantic import (
     catalog_assets,
@@ -174,7 +174,7 @@ def registered_views(spark, sf_dir) -> DataFrame:
 def stored_documents(spark, sf_dir) -> DataFrame:
     """Model and catalog written as JSON to the shared folder and read back as rows."""
     path = scratch(spark)
-    entities, edges = td_entities(spark, sf_dir), classified_edges(spark, sf_dir)
+    entities, edges = td_entities(spark, sf_dir), held(classified_edges(spark, sf_dir))
     model_document(entities, edges.drop("cardinality_type"), SYSTEM).write.json(f"{path}/model")
     catalog_document(catalog_assets(entities, edges, SYSTEM, NAMING), SYSTEM).write.json(f"{path}/catalog")
     model = model_relationships(read_model(spark, f"{path}/model"))
