@@ -14,7 +14,7 @@ from tablescout.local import catalog_rows, local_frame
 from tablescout.operators.cells import Cell, digested, union_all, unpivoted
 from tablescout.schemas import EDGE_KEY
 
-_COLUMNS = T.StructType([T.StructField(n, T.StringType()) for n in ("T", "N", "C")])
+_COLUMNS = T.StructType([T.StructField(n, T.StringType()) for n in ("T", "N")] + [T.StructField("C", T.IntegerType())])
 
 
 def key_counts(frames: Mapping[str, DataFrame], columns: Mapping[tuple[str, str], str]) -> DataFrame:
@@ -52,7 +52,7 @@ def detect_cardinality(spark: SparkSession, frames: Mapping[str, DataFrame], edg
     ids = {column: str(number) for number, column in enumerate(known)}
     counts = None
     if ids:
-        numbered = local_frame(spark, [{"T": t, "N": n, "C": c} for (t, n), c in ids.items()], _COLUMNS)
+        numbered = local_frame(spark, [{"T": t, "N": n, "C": int(c)} for (t, n), c in ids.items()], _COLUMNS)
         counts = numbered.join(key_counts(frames, ids), "C", "left")
     return classified(edges, counts)
 

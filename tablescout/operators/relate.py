@@ -137,9 +137,9 @@ def _has(column_id: Column) -> Column:
 
 def _mask(words: int) -> list[str]:
     """Mask words of a cell: the bit of its column id, in its word."""
-    bit = f"shiftleft(1L, cast(C AS int) % {WORD_BITS})"
+    bit = f"shiftleft(1L, C % {WORD_BITS})"
     return [
-        f"CASE WHEN cast(C AS int) div {WORD_BITS} = {word} THEN {bit} ELSE 0L END AS W{word}"
+        f"CASE WHEN C div {WORD_BITS} = {word} THEN {bit} ELSE 0L END AS W{word}"
         for word in range(words)
     ]
 

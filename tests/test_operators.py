@@ -316,3 +316,12 @@ def test_profile_bounds_of_signed_zeros(spark):
     assert [(found[c].MIN_VALUE, found[c].MAX_VALUE, found[c].DISTINCT_COUNT) for c in "nbf"] == [
         ("-0.0", "-0.0", 1), ("-0.0", "0.0", 1), ("-0.0", "0.5", 3),
     ]
+
+
+def test_unpivoted_numbers_are_of_fixed_width(spark):
+    from tablescout.operators.cells import Cell, unpivoted
+
+    frame = spark.createDataFrame([(1, 2)], "a long, b long")
+    found = unpivoted({"T": frame}, [Cell("0", "T", "a"), Cell("1", "T", "b")])
+    assert found.dtypes == [("C", "int"), ("V", "bigint")]
+    assert rows(found) == [(0, 1), (1, 2)]
