@@ -1,7 +1,8 @@
 """The value index: the distinct values of all columns of a table with their counts, made by one scan.
 
 A row is (C, V, K, N): column number, text of the value, normalised join key, rows.  Texts of over LONG_TEXT_BYTES
-are there as a digest that is longer than any short text, so V alone tells values apart.  Everything that
+are there as a digest that is longer than any short text, so V alone tells values apart.  K is stored where V does not
+tell it, for long texts with blanks around them; `with_keys` puts in the others.  Everything that
 discovery asks of a table can be had from these rows: profiles, value overlap, cardinality, bridge and summary
 views.  Counts are signed: the rows of a delta are added to those of the table, and what adds up to nothing is
 gone, so the index follows a table without reading it again.  SIGNED is how many of a zero's rows are ``-0.0``, which
@@ -19,7 +20,10 @@ from tablescout.functions.rules import CONFIDENCE_BANDS, LABEL_ORDER
 from tablescout.functions.values import FRACTIONAL, INTEGRAL, is_negative_zero, is_nested, quoted, ratio, text_form
 from tablescout.operators.cells import COLUMNS_PER_UNPIVOT, LONG_TEXT_BYTES, union_all
 from tablescout.operators.conform import LINEAGE_COLUMNS
-from tablescout.operators.relate import PAIR_KEY, labelled_overlap
+from tablescout.operators.relate import PAIR_KEY, WORD_BITS, labelled_overlap
+
+# So many columns at most are told apart by the bits of masks.
+MASKED_COLUMNS = 4 * WORD_BITS
 
 # Longer than any text that is kept as it is: a name and 64 hexadecimal digits.
 _DIGEST = "concat('sha256:', sha2({}, 256))"
@@ -80,14 +84,17 @@ def value_rows(frame: DataFrame, observed: DataFrame | None = None) -> DataFrame
             (F.count_if(F.expr(" OR ".join(signed))) if signed else F.max(F.lit(0).cast("long"))).alias("SIGNED"),
         )
         text = "coalesce(" + ", ".join(text_form(v, kind) for v, kind in zip(values, kinds, strict=True)) + ")"
-        key = f"CASE WHEN {_IS_DIGEST.format('V')} THEN coalesce(LONG_KEY, V) WHEN TEXTUAL THEN trim(V) ELSE V END"
-        parts.append(
-            counted.selectExpr("C", f"{text} AS V", f"V{kinds.index('string')} IS NOT NULL AS TEXTUAL", "LONG_KEY", "N", "SIGNED")
-            .selectExpr("C", "V", f"nullif({key}, '') AS K", "N", "SIGNED")
-        )
+        parts.append(counted.selectExpr("C", f"{text} AS V", "LONG_KEY AS K", "N", "SIGNED"))
     return union_all(parts)
 
 
+def with_keys(rows: DataFrame) -> DataFrame:
+    """Index rows with the normalised key of every value: texts are trimmed, with blank as NULL.  Texts of other types
+    have no blanks around them."""
+    key = f"nullif(CASE WHEN {_IS_DIGEST.format('V')} THEN coalesce(K, V) ELSE trim(V) END, '')"
+    return rows.withColumn("K", F.expr(key))
+
+
 def text_extremes(frame: DataFrame) -> dict[str, Column]:
     """Aggregates for the least and greatest text of each text column, to be observed while the index is written."""
     return {
@@ -151,20 +158,29 @@ def profile_of(counted: DataFrame, columns: DataFrame) -> DataFrame:
     )
 
 
-def column_sets(rows: DataFrame) -> DataFrame:
-    """(IDS, N): how many values occur in exactly the columns of a sorted array, for sets of two or more.
+def column_sets(rows: DataFrame, columns: int | None = None) -> DataFrame:
+    """(IDS, N): how many values occur in exactly the columns of a sorted array.
 
-    A row is as wide as the columns that hold the value, not as all columns are.
+    A row is as wide as the columns that hold the value, not as all columns are.  Where the ids are known to be those
+    from 0 to `columns` and few, a value is a bit mask of them: that is of fixed width, so no sort groups the values.
     """
-    held = rows.where("V IS NOT NULL").groupBy("V").agg(F.collect_set("ID").alias("IDS")).where("size(IDS) > 1")
-    return held.select(F.sort_array("IDS").alias("IDS")).groupBy("IDS").agg(F.count(F.lit(1)).alias("N"))
+    filled = rows.where("V IS NOT NULL")
+    if columns is None or columns > MASKED_COLUMNS:
+        held = filled.groupBy("V").agg(F.collect_set("ID").alias("IDS"))
+        return held.select(F.sort_array("IDS").alias("IDS")).groupBy("IDS").agg(F.count(F.lit(1)).alias("N"))
+    words = [f"W{word}" for word in range(-(-columns // WORD_BITS))] or ["W0"]
+    bit = f"shiftleft(1L, ID % {WORD_BITS})"
+    masks = [F.bit_or(F.expr(f"CASE WHEN ID div {WORD_BITS} = {n} THEN {bit} ELSE 0L END")).alias(w) for n, w in enumerate(words)]
+    counted = filled.groupBy("V").agg(*masks).groupBy(*words).agg(F.count(F.lit(1)).alias("N"))
+    held = F.array(*[F.when(F.getbit(words[c // WORD_BITS], F.lit(c % WORD_BITS)) == 1, F.lit(c)) for c in range(columns)])
+    return counted.select(F.array_compact(held).cast("array<int>").alias("IDS"), "N")
 
 
 def matches(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """(PARENT_ID, CHILD_ID, MATCH_COUNT): values of a pair's child that the parent also holds."""
     # No more parents than columns for a child.  A set meets only the children in it, and of their parents those in it.
     by_child = pairs.groupBy("CHILD_ID").agg(F.collect_set("PARENT_ID").alias("PARENTS"))
-    met = sets.select("IDS", "N", F.explode("IDS").alias("CHILD_ID")).join(by_child, "CHILD_ID")
+    met = sets.where("size(IDS) > 1").select("IDS", "N", F.explode("IDS").alias("CHILD_ID")).join(by_child, "CHILD_ID")
     return (
         met.select("CHILD_ID", F.explode(F.array_intersect("PARENTS", "IDS")).alias("PARENT_ID"), "N")
         .groupBy("PARENT_ID", "CHILD_ID").agg(F.sum("N").alias("MATCH_COUNT"))
@@ -208,14 +224,19 @@ def distinct_values(rows: DataFrame) -> DataFrame:
     return rows.where("V IS NOT NULL").groupBy("ID").agg(F.count(F.lit(1)).alias("VALUES"))
 
 
+def values_of_sets(sets: DataFrame) -> DataFrame:
+    """(ID, VALUES) of the rows that `column_sets` was made from."""
+    return sets.select(F.explode("IDS").alias("ID"), "N").groupBy("ID").agg(F.sum("N").alias("VALUES"))
+
+
 def key_rows(rows: DataFrame) -> DataFrame:
     """(ID, K, N): rows of each normalised key; values that differ in blanks only have one key."""
     return rows.where("K IS NOT NULL").groupBy("ID", "K").agg(F.sum("N").alias("N"))
 
 
 def key_counts(rows: DataFrame) -> DataFrame:
-    """(ID, DISTINCT_KEYS, DUPLICATE_KEYS): normalised keys of each column, and those on more than one row."""
-    return key_rows(rows).groupBy("ID").agg(
+    """(ID, DISTINCT_KEYS, DUPLICATE_KEYS): of rows (ID, N), one for each normalised key of a column."""
+    return rows.groupBy("ID").agg(
         F.count(F.lit(1)).alias("DISTINCT_KEYS"), F.count_if(F.col("N") > 1).alias("DUPLICATE_KEYS")
     )
 

@@ -8,7 +8,7 @@ more than MOST_FOLDERS.  Profile, overlap, cardinality and the key views read th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 from datetime import UTC, datetime
 from itertools import batched
 from typing import NamedTuple
@@ -24,8 +24,9 @@ from tablescout.operators.cardinality import classified, edge_columns
 from tablescout.operators.cells import LONG_TEXT_BYTES, union_all
 from tablescout.operators.merge import latest_per_key
 from tablescout.operators.value_index import (
-    column_profiles, column_sets, distinct_values, folded, indexed_columns, joined_delta, joined_keys, key_counts, key_rows,
-    least_rate, matches, negated, overlap_of, profile_of, still_possible, text_extremes, value_rows, with_ids,
+    column_profiles, column_sets, distinct_values, folded, indexed_columns, joined_delta, joined_keys, key_counts,
+    key_rows, least_rate, matches, negated, overlap_of, profile_of, still_possible, text_extremes, value_rows, values_of_sets,
+    with_ids, with_keys,
 )
 from tablescout.operators.views import Edge, bridge_of_keys, summary_of_keys
 from tablescout.plans.store import TableStore, new_run_id
@@ -182,9 +183,12 @@ class ValueIndex:
         entries = self.entries()
         return entries if tables is None else {t: entries[t] for t in tables if t in entries}
 
-    def columns(self, entries: Mapping[str, Entry]) -> DataFrame:
-        """Numbered columns of indexed tables."""
-        known = [(t, c, column) for t in sorted(entries) for c, column in enumerate(entries[t].columns)]
+    def columns(self, entries: Mapping[str, Entry], used: Collection[tuple[str, str]] | None = None) -> DataFrame:
+        """Numbered columns of indexed tables; of those (table, column) only that are used, where they are given."""
+        known = [
+            (t, c, column) for t in sorted(entries) for c, column in enumerate(entries[t].columns)
+            if used is None or (t, column[0]) in used
+        ]
         return local_frame(self.spark, [
             {"ID": i, "T": t, "C": c, "TARGET_TABLE": t, "TARGET_COLUMN": name, "DATA_TYPE": dtype, "TEXT_LO": low, "TEXT_HI": high}
             for i, (t, c, (name, dtype, low, high)) in enumerate(known)
@@ -198,7 +202,8 @@ class ValueIndex:
         return parts[0].drop("BUCKET") if len(parts) == 1 else folded(union_all(parts), ["T", "C"])
 
     def rows(self, entries: Mapping[str, Entry], wanted: Column | None = None, columns: DataFrame | None = None) -> DataFrame:
-        """(ID, V, K, N, SIGNED) of indexed tables, of the wanted buckets, by the numbers of the given columns."""
+        """(ID, V, K, N, SIGNED) of indexed tables, of the wanted buckets, with the numbers of the given columns; rows of
+        other columns are not there."""
         single: dict[str, list[str]] = {}
         several: dict[str, list[str]] = {}
         for table, entry in entries.items():
@@ -216,7 +221,7 @@ class ValueIndex:
         if not parts:
             return self.spark.createDataFrame([], "ID int, V string, K string, N long, SIGNED long")
         numbered = self.columns(entries) if columns is None else columns
-        return union_all(parts).join(numbered.select("T", "C", "ID"), ["T", "C"]).select("ID", *names)
+        return with_keys(union_all(parts).join(numbered.select("T", "C", "ID"), ["T", "C"]).select("ID", *names))
 
     def profile(self, tables: Iterable[str] | None = None, signed_zeros: bool = False) -> DataFrame:
         """Column profiles as `profile_tables` gives them, from the index."""
@@ -236,37 +241,38 @@ class ValueIndex:
         a share of the hash buckets is looked at first: pairs that can no longer reach it are out, and of the other
         buckets only columns of the remaining pairs are read.
         """
-        entries = self.entries()
-        columns = self.columns(entries)
-        pairs = self.held(with_ids(pairs, columns, {"PARENT": "PARENT_ID", "CHILD": "CHILD_ID"}), "pairs")
-        tables = union_all(pairs.select(F.col(f"{side}_TABLE").alias("T")) for side in ("PARENT", "CHILD")).distinct()
-        entries = {r.T: entries[r.T] for r in catalog_rows(tables)}
-
-        def rows(left: DataFrame, wanted: Column | None) -> DataFrame:
-            held = union_all(left.select(F.col(c).alias("ID")) for c in ("PARENT_ID", "CHILD_ID")).distinct()
-            return self.rows(entries, wanted, columns).join(held, "ID", "left_semi")
+        entries, pairs = self.entries(), self.held(pairs, "pairs")
+        sides = [pairs.select(F.col(f"{side}_TABLE").alias("T"), F.col(f"{side}_COLUMN").alias("N")) for side in ("PARENT", "CHILD")]
+        entries, used = _used(entries, union_all(sides).distinct())
+        columns = self.columns(entries, used)
+        pairs = with_ids(pairs, columns, {"PARENT": "PARENT_ID", "CHILD": "CHILD_ID"})
+
+        def sets(left: DataFrame, wanted: Column | None) -> DataFrame:
+            rows = self.rows(entries, wanted, columns)
+            if wanted is not None:
+                rows = rows.join(union_all(left.select(F.col(c).alias("ID")) for c in ("PARENT_ID", "CHILD_ID")).distinct(), "ID", "left_semi")
+            return self.held(column_sets(rows, len(used)), "sets")
 
         rate = least_rate(min_label)
-        totals = self.held(distinct_values(rows(pairs, None)), "totals")
         first = max(1, self.buckets // FIRST_SHARE)
-        shares = [None] if rate == 0 or first == self.buckets else [F.col("BUCKET") < first, F.col("BUCKET") >= first]
-        found = []
-        for number, wanted in enumerate(shares):
-            held = rows(pairs, wanted)
-            found.append(self.held(matches(column_sets(held), pairs), "matches"))
-            if number + 1 < len(shares):
-                seen = distinct_values(held)
-                pairs = self.held(still_possible(pairs, found[-1], seen, totals, rate), "pairs")
-        summed = union_all(found).groupBy("PARENT_ID", "CHILD_ID").agg(F.sum("MATCH_COUNT").alias("MATCH_COUNT"))
+        if rate == 0 or first == self.buckets:
+            whole = sets(pairs, None)
+            return overlap_of(pairs, matches(whole, pairs), values_of_sets(whole), min_label)
+        totals = self.held(distinct_values(self.rows(entries, None, columns)), "totals")
+        seen = sets(pairs, F.col("BUCKET") < first)
+        found = self.held(matches(seen, pairs), "matches")
+        pairs = self.held(still_possible(pairs, found, values_of_sets(seen), totals, rate), "pairs")
+        found = union_all([found, matches(sets(pairs, F.col("BUCKET") >= first), pairs)])
+        summed = found.groupBy("PARENT_ID", "CHILD_ID").agg(F.sum("MATCH_COUNT").alias("MATCH_COUNT"))
         return overlap_of(pairs, summed, totals, min_label)
 
     def cardinality(self, edges: DataFrame) -> DataFrame:
         """Edges with key counts and class as `detect_cardinality` gives them, from the index."""
-        used = edge_columns(edges)
-        entries = self._chosen({r.T for r in catalog_rows(used.select("T").distinct())})
-        columns = self.columns(entries).select("ID", "T", F.col("TARGET_COLUMN").alias("N")).join(used, ["T", "N"])
-        counts = key_counts(self.rows(entries).join(columns.select("ID"), "ID", "left_semi"))
-        return classified(edges, columns.join(counts, "ID", "left").drop("ID"))
+        entries, used = _used(self.entries(), edge_columns(edges))
+        columns = self.columns(entries, used)
+        counts = key_counts(key_rows(self.rows(entries, columns=columns)))
+        numbered = columns.select("ID", "T", F.col("TARGET_COLUMN").alias("N"))
+        return classified(edges, numbered.join(counts, "ID", "left").drop("ID"))
 
     def keys(self, table: str, column: str, folders: Iterable[str] | None = None) -> DataFrame:
         """(K, N): rows of each normalised key of a column; of some of its folders only, where they are given."""
@@ -274,7 +280,7 @@ class ValueIndex:
         if folders is not None:
             entry = entry._replace(folders=tuple(folders))
         number = [c[0] for c in entry.columns].index(column)
-        rows = self._read(table, entry).where(F.col("C") == number)
+        rows = with_keys(self._read(table, entry).where(F.col("C") == number))
         return key_rows(rows.withColumnRenamed("C", "ID")).select("K", "N").where("N <> 0")
 
     def _short_keys(self, edge: Edge) -> list[DataFrame]:
@@ -321,3 +327,10 @@ def _with_extremes(frame: DataFrame, found: Mapping) -> tuple:
         (name, dtype, found.get(f"LO{number}"), found.get(f"HI{number}"))
         for number, (name, dtype) in enumerate(indexed_columns(frame))
     )
+
+
+def _used(entries: Mapping[str, Entry], columns: DataFrame) -> tuple[dict[str, Entry], set[tuple[str, str]]]:
+    """Tables with any of the columns (T, N), and those of the columns that are indexed."""
+    asked = {(r.T, r.N) for r in catalog_rows(columns)}
+    used = {(t, c[0]) for t, entry in entries.items() for c in entry.columns} & asked
+    return {t: entries[t] for t in sorted({t for t, _ in used})}, used

@@ -192,3 +192,27 @@ def test_signed_zeros_are_bounds(spark, index, zeros, bounds):
     index.follow("t", signed, plain, plain)
     found = {r.TARGET_COLUMN: (r.MIN_VALUE, r.MAX_VALUE) for r in index.profile(signed_zeros=True).collect()}
     assert found["d"] == found["f"] == ("0.0", "0.0")
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("columns", [1, 3, 63, 64, 130])
+def test_masks_are_the_sets_of_columns(spark, columns):
+    """Values of a few known columns are grouped by masks of fixed width, which says the same as sets do."""
+    held = [(c, str(v)) for v in range(1, 300) for c in range(columns) if (c + 1) % v == 0 or c in (v % 70, v % 7) or v == 299]
+    index_rows = spark.createDataFrame([*held, (0, None)], "ID int, V string").withColumn("N", F.lit(1))
+    masked, sets = value_index.column_sets(index_rows, columns), value_index.column_sets(index_rows)
+    assert "ObjectHashAggregate" in plan(sets) and "ObjectHashAggregate" not in plan(masked)
+    assert masked.dtypes == sets.dtypes and rows(masked) == rows(sets)
+    totals = value_index.distinct_values(index_rows)
+    assert rows(value_index.values_of_sets(masked)) == rows(totals) == rows(value_index.values_of_sets(sets))
+
+
+def test_no_columns_have_no_sets(spark, index):
+    index.build({"t": spark.range(3).toDF("id")})
+    names = T.StructType([T.StructField(n, T.StringType()) for n in PAIR_KEY])
+    gone = local_frame(spark, [dict(zip(PAIR_KEY, ("t", "x", "u", "y"), strict=True))], names)
+    for label in ("WEAK", "HIGH"):
+        assert index.overlap(gone, label).collect() == []
