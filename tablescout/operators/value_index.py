@@ -241,6 +241,11 @@ def key_counts(rows: DataFrame) -> DataFrame:
     )
 
 
+def is_own_key(dtype: str) -> bool:
+    """Whether different values of a type have different keys; texts may differ in blanks, and a zone may print two instants alike."""
+    return dtype in INTEGRAL | FRACTIONAL | {"date", "timestamp_ntz", "boolean"} or dtype.startswith("decimal")
+
+
 def joined_keys(parent: DataFrame, child: DataFrame) -> DataFrame:
     """(K, JOINED_ROW_COUNT) of the keys (K, N) that both sides have."""
     return parent.join(child.withColumnRenamed("N", "M"), "K").select("K", (F.col("N") * F.col("M")).alias("JOINED_ROW_COUNT"))

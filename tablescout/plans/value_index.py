@@ -24,7 +24,7 @@ from tablescout.operators.cardinality import classified, edge_columns
 from tablescout.operators.cells import LONG_TEXT_BYTES, union_all
 from tablescout.operators.merge import latest_per_key
 from tablescout.operators.value_index import (
-    column_profiles, column_sets, distinct_values, folded, indexed_columns, joined_delta, joined_keys, key_counts,
+    column_profiles, column_sets, distinct_values, folded, indexed_columns, is_own_key, joined_delta, joined_keys, key_counts,
     key_rows, least_rate, matches, negated, overlap_of, profile_of, still_possible, text_extremes, value_rows, values_of_sets,
     with_ids, with_keys,
 )
@@ -267,10 +267,16 @@ class ValueIndex:
         return overlap_of(pairs, summed, totals, min_label)
 
     def cardinality(self, edges: DataFrame) -> DataFrame:
-        """Edges with key counts and class as `detect_cardinality` gives them, from the index."""
+        """Edges with key counts and class as `detect_cardinality` gives them, from the index.
+
+        Only values that may share a key are grouped by it; others are counted as they are.
+        """
         entries, used = _used(self.entries(), edge_columns(edges))
         columns = self.columns(entries, used)
-        counts = key_counts(key_rows(self.rows(entries, columns=columns)))
+        own = F.col("DATA_TYPE").isin([d for d in sorted({c[1] for entry in entries.values() for c in entry.columns}) if is_own_key(d)])
+
+        plain, texts = (self.rows(entries, columns=columns.where(some)) for some in (own, ~own))
+        counts = union_all([key_counts(plain.where("V IS NOT NULL").select("ID", "N")), key_counts(key_rows(texts))])
         numbered = columns.select("ID", "T", F.col("TARGET_COLUMN").alias("N"))
         return classified(edges, numbered.join(counts, "ID", "left").drop("ID"))
 

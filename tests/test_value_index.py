@@ -216,3 +216,18 @@ def test_no_columns_have_no_sets(spark, index):
     gone = local_frame(spark, [dict(zip(PAIR_KEY, ("t", "x", "u", "y"), strict=True))], names)
     for label in ("WEAK", "HIGH"):
         assert index.overlap(gone, label).collect() == []
+
+
+def test_values_that_are_their_own_keys_are_not_grouped_again(spark, index):
+    """Numbers are counted as they are in the index, without a shuffle of them; texts by their trimmed keys."""
+    frames = {
+        "one": spark.createDataFrame([(1, "a", 0.0), (1, " a", -0.0), (2, "b", 1.5), (None, " ", None)], "id long, name string, price double"),
+        "two": spark.createDataFrame([(2, "a ", 0.0), (3, None, 2.5)], "id int, name string, price double"),
+    }
+    index.build(frames)
+    names = T.StructType([T.StructField(n, T.StringType()) for n in EDGE_KEY])
+    for columns, grouped in ((["id", "price"], False), (["name"], True), (["id", "name"], True)):
+        edges = local_frame(spark, [dict(zip(EDGE_KEY, ("one", c, "two", c), strict=True)) for c in columns], names)
+        found = index.cardinality(edges)
+        assert rows(found) == rows(detect_cardinality(spark, frames, edges).select(found.columns))
+        assert ("K#" in plan(found)) == grouped
